@@ -1,6 +1,6 @@
 """Sources: topic logs, directories of published files, the manifest."""
 
-from harborlog.sources.committed import read_committed
+from harborlog.sources.committed import read_committed, read_sequence
 from harborlog.sources.envelope import (
     ENVELOPE,
     TOPIC_PARTITION,
@@ -22,6 +22,7 @@ __all__ = [
     "list_files",
     "read_committed",
     "read_manifest",
+    "read_sequence",
     "read_topics",
     "rebuild_manifest",
     "route_counts",

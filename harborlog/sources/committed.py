@@ -33,3 +33,16 @@ def read_committed(
     return named.where(F.col("_parsed").isNotNull()).select(
         *rows.columns, "committed_file", *[F.col(f"_parsed.{part}").alias(part) for part in parts]
     )
+
+
+def read_sequence(spark: SparkSession, topics_root: str) -> DataFrame:
+    """Pairs of all published sequence files: ``key, value``."""
+    hadoop = "org.apache.hadoop."
+    pairs = spark.sparkContext.newAPIHadoopFile(
+        topics_root,
+        f"{hadoop}mapreduce.lib.input.SequenceFileInputFormat",
+        f"{hadoop}io.BytesWritable",
+        f"{hadoop}io.BytesWritable",
+        conf={"mapreduce.input.fileinputformat.input.dir.recursive": "true"},
+    )
+    return pairs.map(lambda pair: (bytes(pair[0]), bytes(pair[1]))).toDF("key binary, value binary")

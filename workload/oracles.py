@@ -150,7 +150,7 @@ ORACLES: dict[str, str] = {
     "records_scan": f"""
 with {TOPICS}
 select {ENVELOPE}, key_hex, cast(strlen(body) as bigint) as value_bytes, ingest_ms from topics""",
-    "route_counts_by_topic": f"""
+    "route_counts": f"""
 with {TOPICS} select topic, kafka_partition, count(*) as n_records from topics group by all""",
     "raw_bytes": f"""
 with {TOPICS} select {ENVELOPE}, key_hex, md5(body) as value_md5 from topics""",
@@ -271,4 +271,26 @@ where l.key not in ('BEGIN', 'END') and l.seq < m.last_end
   and exists (select 1 from plan p where p.temp_file = l.key
               and (p.kafka_partition <> 3 or p.encoded_partition <> 'error'))
 group by l.topic, l.kafka_partition, l.value""",
+    "list_committed": f"""
+with {PLAN}
+select 'topics/' || directory || '/' || committed_file as path, topic, kafka_partition, start_offset, end_offset
+from plan where complete""",
+    "manifest_rebuilt": f"""
+with {PLAN}
+select topic, kafka_partition, encoded_partition, start_offset, end_offset, committed_file from plan""",
+    "read_committed": f"""
+with {PLAN}
+select topic, kafka_partition, start_offset, end_offset, event_id, protocol
+from rec join plan using (topic, kafka_partition)
+where protocol = encoded_partition and kafka_offset // 1000 = chunk""",
+    "parquet_sink_roundtrip": f"""
+with {REC}
+select topic, kafka_partition, event_id, protocol, user_id, epoch_us(ts) // 1000 as ts_millis, value, props,
+       replace(props, ' ', '|') as tags
+from rec""",
+    "sequence_sink_roundtrip": f"""
+with {REC} select printf('%016X', 1706745600000) as key_hex, event_id, protocol, props from rec""",
+    "exactly_once_ingest": f"with {REC} select topic, kafka_partition, event_id, protocol, props from rec",
+    "stream_ingest": f"with {REC} select topic, kafka_partition, event_id, protocol, props from rec",
+    "stream_accept": _strict(REDELIVERED),
 }

@@ -7,14 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from harborlog import IngestConfig, sources
 from harborlog import functions as H
 from harborlog import operators as O
+from harborlog.plans import new_folder
+from harborlog.sinks import SequenceFormat
 from harborlog.sources import (
+    ENVELOPE,
     TOPIC_PARTITION,
     committed_files,
     leaf_directories,
-    route_counts,
+    list_files,
+    read_manifest,
+    read_sequence,
+    rebuild_manifest,
 )
+from harborlog.streaming import ingest_batch, start_ingest
+from harborlog.streaming import stream_accept as accept_stream
 from workload import fixtures as X
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,8 +53,8 @@ def records_scan(spark, sf_dir):
 
 
 @registered
-def route_counts_by_topic(spark, sf_dir):
-    return route_counts(X.topics(spark, sf_dir))
+def route_counts(spark, sf_dir):
+    return sources.route_counts(X.topics(spark, sf_dir))
 
 
 @registered
@@ -243,7 +252,7 @@ def max_offset_file(spark, sf_dir):
 
 @registered
 def committed_positions(spark, sf_dir):
-    assignment = route_counts(X.topics(spark, sf_dir))
+    assignment = sources.route_counts(X.topics(spark, sf_dir))
     return O.committed_positions(X.published(spark, sf_dir), assignment)
 
 
@@ -313,3 +322,121 @@ def commitlog_replay(spark, sf_dir):
     existing = files.where(F.col("chunk") % 2 == 0)
     sources = files.where((F.col("kafka_partition") != 3) | (F.col("encoded_partition") != "error"))
     return O.replay(X.log(spark, sf_dir), existing, sources)
+
+
+# Files and streams --------------------------------------------------------------------------------------------
+
+
+def _published(spark: SparkSession, sf_dir: str, **settings) -> IngestConfig:
+    """Publish the records of ``events`` into a new folder in one batch."""
+    config = IngestConfig(base_path=new_folder(spark, "published"), flush_size=X.FLUSH_SIZE, **settings)
+    ingest_batch(X.records(spark, sf_dir).select(*ENVELOPE.names), 0, config, X.message())
+    return config
+
+
+def _relative(path: str):
+    return F.concat(F.lit("topics/"), F.substring_index(path, "/topics/", -1))
+
+
+@registered
+def list_committed(spark, sf_dir):
+    config = _published(spark, sf_dir, partitioner="protocol", publish_tail=False)
+    files = committed_files(list_files(spark, config.topics_root))
+    return files.select(_relative("path").alias("path"), *TOPIC_PARTITION, "start_offset", "end_offset")
+
+
+@registered
+def manifest_rebuilt(spark, sf_dir):
+    config = _published(spark, sf_dir, partitioner="protocol")
+    rebuilt = rebuild_manifest(spark, config.topics_root)
+    return rebuilt.select(*TOPIC_PARTITION, "encoded_partition", "start_offset", "end_offset", "committed_file")
+
+
+@registered
+def read_committed(spark, sf_dir):
+    config = _published(spark, sf_dir, partitioner="protocol")
+    rows = sources.read_committed(spark, config.topics_root, manifest=read_manifest(spark, config.manifest_root))
+    return rows.select(*TOPIC_PARTITION, "start_offset", "end_offset", "event_id", "protocol")
+
+
+@registered
+def parquet_sink_roundtrip(spark, sf_dir):
+    config = _published(spark, sf_dir)
+    rows = sources.read_committed(spark, config.topics_root)
+    payload = ["event_id", "protocol", "user_id", "ts_millis", "value", "props"]
+    return rows.select(*TOPIC_PARTITION, *payload, F.array_join("tags", "|").alias("tags"))
+
+
+@registered
+def sequence_sink_roundtrip(spark, sf_dir):
+    clock = X.millis(F.lit("2024-02-01 00:00:00").cast("timestamp"))
+    config = _published(spark, sf_dir, format=SequenceFormat(clock=clock))
+    pairs = read_sequence(spark, config.topics_root)
+    rows = O.decode(pairs, X.message())
+    return rows.select(
+        F.hex("key").alias("key_hex"), "payload.event_id", "payload.protocol", "payload.props"
+    )
+
+
+@registered
+def exactly_once_ingest(spark, sf_dir):
+    """Batches that overlap, are replayed, and are replayed after a failure between publishing and committing."""
+    records = X.records(spark, sf_dir).select(*ENVELOPE.names)
+    config = IngestConfig(
+        base_path=new_folder(spark, "exactly-once"), flush_size=X.FLUSH_SIZE, partitioner="protocol"
+    )
+    first, second = records.where("kafka_offset < 1300"), records.where("kafka_offset >= 800")
+
+    def fail(step: str) -> None:
+        if step == "published":
+            raise InterruptedError(step)
+
+    ingest_batch(first, 0, config, X.message())
+    ingest_batch(first, 0, config, X.message())
+    try:
+        ingest_batch(second, 1, config, X.message(), on_step=fail)
+    except InterruptedError:
+        pass
+    ingest_batch(second, 1, config, X.message())
+    rows = sources.read_committed(spark, config.topics_root, manifest=read_manifest(spark, config.manifest_root))
+    return rows.select(*TOPIC_PARTITION, "event_id", "protocol", "props")
+
+
+@registered
+def stream_ingest(spark, sf_dir):
+    """The log arrives in three deliveries that overlap; the stream is restarted for each."""
+    folder = new_folder(spark, "stream")
+    records = X.records(spark, sf_dir).select(*ENVELOPE.names)
+    config = IngestConfig(base_path=f"{folder}/out", flush_size=X.FLUSH_SIZE, partitioner="protocol")
+    for log in _deliveries(records, "kafka_offset", folder, overlap=50):
+        query = start_ingest(log, config, f"{folder}/checkpoint", X.message(), availableNow=True)
+        query.awaitTermination()
+    rows = sources.read_committed(spark, config.topics_root, manifest=read_manifest(spark, config.manifest_root))
+    return rows.select(*TOPIC_PARTITION, "event_id", "protocol", "props")
+
+
+@registered
+def stream_accept(spark, sf_dir):
+    """The redelivered log in three deliveries, accepted by the stateful operator, restarted for each."""
+    folder = new_folder(spark, "accept")
+    rocks = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", rocks)
+    for log in _deliveries(X.redelivered(spark, sf_dir), "arrival_seq", folder):
+        writer = accept_stream(log).writeStream.format("parquet").trigger(availableNow=True)
+        query = writer.option("checkpointLocation", f"{folder}/checkpoint").start(f"{folder}/accepted")
+        query.awaitTermination()
+    return spark.read.parquet(f"{folder}/accepted")
+
+
+def _deliveries(records: DataFrame, position: str, folder: str, overlap: int = 0, parts: int = 3):
+    """Append a log to a folder part by part, in order of ``position``, and stream the folder after each part."""
+    spark = records.sparkSession
+    # Ranges of positions per file let each part read only its own files.
+    records.repartitionByRange(position).write.parquet(f"{folder}/whole")
+    whole = spark.read.schema(records.schema).parquet(f"{folder}/whole")
+    end = whole.agg(F.max(position)).first()[0] + 1
+    for part in range(parts):
+        low, high = end * part // parts, end * (part + 1) // parts
+        rows = whole.where((F.col(position) >= low - overlap) & (F.col(position) < high))
+        rows.write.mode("append").parquet(f"{folder}/log")
+        yield spark.readStream.schema(records.schema).parquet(f"{folder}/log")
