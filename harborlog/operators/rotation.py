@@ -29,13 +29,15 @@ def chunk_bases(accepted: DataFrame, positions: DataFrame | None = None) -> Data
 
 
 def rotate_by_count(
-    accepted: DataFrame, flush_size: int, bases: DataFrame | None = None
+    accepted: DataFrame, flush_size: int, bases: DataFrame | None = None, size_known: bool = False
 ) -> DataFrame:
     """Every ``flush_size`` records close a chunk.
 
     Strict acceptance leaves offsets without gaps, so this is arithmetic on the offset: no sort, no shuffle.
+    ``size_known`` says that ``bases`` is a stored table, which need not be counted before it is broadcast.
     """
-    start = broadcast_if_small(chunk_bases(accepted) if bases is None else bases)
+    start = chunk_bases(accepted) if bases is None else bases
+    start = start if size_known else broadcast_if_small(start)
     chunk = F.expr(f"(kafka_offset - base) div {int(flush_size)}")
     return accepted.join(start, TOPIC_PARTITION).withColumn("chunk", chunk).drop("base")
 

@@ -1,6 +1,7 @@
 """Plan shapes shared by the operators: sliced scans, bounded broadcasts, the shared folder."""
 
 from harborlog.plans.bounded import BROADCAST_ROWS, broadcast_if_small
+from harborlog.plans.shipping import ship
 from harborlog.plans.sliced import SLICE_WIDTH, ranked, running_before, running_total, with_slice
 from harborlog.plans.workspace import new_folder, shared_folder
 
@@ -13,5 +14,6 @@ __all__ = [
     "running_before",
     "running_total",
     "shared_folder",
+    "ship",
     "with_slice",
 ]

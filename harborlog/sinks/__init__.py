@@ -1,14 +1,14 @@
 """Sinks: output formats, and publishing staged files under their final names."""
 
 from harborlog.sinks.formats import FORMATS, OutputFormat, SequenceFormat, TableFormat, format_for
-from harborlog.sinks.publish import commit_part, publish
+from harborlog.sinks.publish import Part, publish
 
 __all__ = [
     "FORMATS",
     "OutputFormat",
+    "Part",
     "SequenceFormat",
     "TableFormat",
-    "commit_part",
     "format_for",
     "publish",
 ]

@@ -7,6 +7,7 @@ of a directory. All renames run in tasks, and every step may be repeated: a targ
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -50,10 +51,23 @@ def _rename(source: str | None, target: str) -> None:
             raise
 
 
-def commit_part(rows: DataFrame, root: str, stream_id: str, batch_id: int) -> None:
-    """Write ``rows`` as the part of one batch; it shows up whole, by one rename, or not at all."""
-    part = f"{root}/stream_id={stream_id}/batch_id={batch_id}"
-    written = f"{root}/_writing/{stream_id}-{batch_id}"
-    rows.write.mode("overwrite").parquet(written)
-    paths.delete_directory(part)
-    paths.move(written, part)
+@dataclass(frozen=True)
+class Part:
+    """What one batch adds to a table of batches. It shows up whole, by one rename, or not at all."""
+
+    root: str
+    stream_id: str
+    batch_id: int
+
+    @property
+    def _written(self) -> str:
+        return f"{self.root}/_writing/{self.stream_id}-{self.batch_id}"
+
+    def write(self, rows: DataFrame) -> None:
+        rows.write.mode("overwrite").parquet(self._written)
+
+    def commit(self) -> None:
+        """Replace what an earlier attempt of the same batch committed."""
+        part = f"{self.root}/stream_id={self.stream_id}/batch_id={self.batch_id}"
+        paths.delete_directory(part)
+        paths.move(self._written, part)

@@ -24,7 +24,7 @@ from harborlog.operators.rotation import rotate_by_count, rotate_ranked
 from harborlog.plans import new_folder
 from harborlog.sinks import paths
 from harborlog.sinks.formats import OutputFormat, format_for
-from harborlog.sinks.publish import commit_part, publish
+from harborlog.sinks.publish import Part, publish
 from harborlog.sources.envelope import TOPIC_PARTITION
 from harborlog.sources.manifest import read_manifest
 
@@ -75,10 +75,11 @@ def ingest_batch(
     output = format_for(config.format)
     scratch = new_folder(spark, "ingest")
     staging = f"{config.staging_root}/{config.stream_id}-{batch_id}-{uuid.uuid4().hex}"
-    before = _written(read_positions(spark, config, batch_id), f"{scratch}/positions")
+    before = read_positions(spark, config, batch_id)
 
     # Read and decode once; everything below works on this copy. Lost blocks are recomputed from the source.
-    landed = _landed(resume(batch, before), config, output, message, mode).persist(StorageLevel.MEMORY_AND_DISK)
+    fresh = resume(batch, before, size_known=True)
+    landed = _landed(fresh, config, output, message, mode).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         accepted, spans = _accept(landed, before, config, arrival, scratch)
         chunked = _chunked(accepted, spans, config)
@@ -87,21 +88,26 @@ def ingest_batch(
         if "decode_error" in chunked.columns:
             rows = decoded(chunked)
             if dead_letter_root is not None:
-                commit_part(dead_letters(chunked), dead_letter_root, config.stream_id, batch_id)
+                dead = Part(dead_letter_root, config.stream_id, batch_id)
+                dead.write(dead_letters(chunked))
+                dead.commit()
         if message is not None and _keeps_value(output):
             rows = rows.withColumn("value", reencode(message, F.col("value")))
 
         files = _files(rows, config, output.extension)
         staged = output.stage(rows, files, staging)
         on_step("staged")
-        manifest = _written(publish(files, staged), f"{scratch}/published")
+        manifest = Part(config.manifest_root, config.stream_id, batch_id)
+        manifest.write(publish(files, staged))
         on_step("published")
 
         # Positions follow the records taken in, not the files: a dead letter at the end moves the position as well.
         taken = chunked.groupBy(*TOPIC_PARTITION).agg((F.max("kafka_offset") + 1).alias("next_offset"))
         after = before.unionByName(taken).groupBy(*TOPIC_PARTITION).agg(F.max("next_offset").alias("next_offset"))
-        commit_part(after, _positions_root(config), config.stream_id, batch_id)
-        commit_part(manifest, config.manifest_root, config.stream_id, batch_id)
+        positions = Part(_positions_root(config), config.stream_id, batch_id)
+        positions.write(after)
+        positions.commit()
+        manifest.commit()
         on_step("committed")
         _drop_old_positions(config, batch_id)
         paths.delete_directory(staging)
@@ -128,6 +134,8 @@ def read_positions(spark: SparkSession, config: IngestConfig, before_batch: int
     if not parts:
         return spark.createDataFrame([], POSITIONS_SCHEMA)
     tables = spark.read.schema(POSITIONS_SCHEMA).parquet(*parts)
+    if len(parts) == 1:
+        return tables
     return tables.groupBy(*TOPIC_PARTITION).agg(F.max("next_offset").alias("next_offset"))
 
 
@@ -189,7 +197,7 @@ def _accept(
 def _chunked(accepted: DataFrame, spans: DataFrame, config: IngestConfig) -> DataFrame:
     """Cut into files, leaving out the unfilled last chunk unless tails are published."""
     if config.acceptance == "strict":
-        rows = rotate_by_count(accepted, config.flush_size, spans.select(*TOPIC_PARTITION, "base"))
+        rows = rotate_by_count(accepted, config.flush_size, spans.select(*TOPIC_PARTITION, "base"), size_known=True)
     else:
         rows = rotate_ranked(accepted, config.flush_size)
     if not config.publish_tail:

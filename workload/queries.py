@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from harborlog import IngestConfig, sources
 from harborlog import functions as H
 from harborlog import operators as O
-from harborlog.plans import new_folder
+from harborlog.plans import new_folder, ship
 from harborlog.sinks import SequenceFormat
 from harborlog.sources import (
     ENVELOPE,
@@ -36,6 +36,7 @@ def registered(build: Query) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         # Times are zone-less in the tables and are read as UTC.
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+        ship(spark)
         return build(spark, sf_dir)
 
     QUERIES[build.__name__] = query
