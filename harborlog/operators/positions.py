@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from harborlog.plans import broadcast_if_small
+from harborlog.plans import stored
 from harborlog.sources.envelope import TOPIC_PARTITION
 
 
@@ -24,13 +24,13 @@ def committed_positions(manifest: DataFrame, assignment: DataFrame | None = None
     )
 
 
-def resume(records: DataFrame, positions: DataFrame, size_known: bool = False) -> DataFrame:
+def resume(records: DataFrame, positions: DataFrame, is_stored: bool = False) -> DataFrame:
     """Leave out records below the position of their topic-partition.
 
-    A position of 0 or less, or none, leaves nothing out. ``size_known`` says that ``positions`` is a stored table,
-    whose size Spark sees for itself, so that it need not be counted before it is broadcast.
+    A position of 0 or less, or none, leaves nothing out. ``is_stored`` says that ``positions`` is read from files
+    already and need not be stored for the join.
     """
-    return _with_position(records, positions, size_known).where(_open()).drop("_next")
+    return _with_position(records, positions, is_stored).where(_open()).drop("_next")
 
 
 def uncommitted_counts(records: DataFrame, positions: DataFrame) -> DataFrame:
@@ -42,9 +42,9 @@ def uncommitted_counts(records: DataFrame, positions: DataFrame) -> DataFrame:
     )
 
 
-def _with_position(records: DataFrame, positions: DataFrame, size_known: bool = False) -> DataFrame:
+def _with_position(records: DataFrame, positions: DataFrame, is_stored: bool = False) -> DataFrame:
     known = positions.select(*TOPIC_PARTITION, F.col("next_offset").alias("_next"))
-    return records.join(known if size_known else broadcast_if_small(known), TOPIC_PARTITION, "left")
+    return records.join(known if is_stored else stored(known), TOPIC_PARTITION, "left")
 
 
 def _open():

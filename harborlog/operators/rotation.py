@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from harborlog.plans import SLICE_WIDTH, broadcast_if_small, ranked
+from harborlog.plans import SLICE_WIDTH, ranked, stored
 from harborlog.sources.envelope import TOPIC_PARTITION
 
 NO_LIMIT = 1 << 62
@@ -29,15 +29,15 @@ def chunk_bases(accepted: DataFrame, positions: DataFrame | None = None) -> Data
 
 
 def rotate_by_count(
-    accepted: DataFrame, flush_size: int, bases: DataFrame | None = None, size_known: bool = False
+    accepted: DataFrame, flush_size: int, bases: DataFrame | None = None, is_stored: bool = False
 ) -> DataFrame:
     """Every ``flush_size`` records close a chunk.
 
     Strict acceptance leaves offsets without gaps, so this is arithmetic on the offset: no sort, no shuffle.
-    ``size_known`` says that ``bases`` is a stored table, which need not be counted before it is broadcast.
+    ``is_stored`` says that ``bases`` is read from files already and need not be stored for the join.
     """
     start = chunk_bases(accepted) if bases is None else bases
-    start = start if size_known else broadcast_if_small(start)
+    start = start if is_stored else stored(start)
     chunk = F.expr(f"(kafka_offset - base) div {int(flush_size)}")
     return accepted.join(start, TOPIC_PARTITION).withColumn("chunk", chunk).drop("base")
 
@@ -131,7 +131,7 @@ def rotate(
                           else 1 + ({place} - 1) div {flush_size} end"""
     )
     return (
-        rows.join(broadcast_if_small(folded), [*TOPIC_PARTITION, clock])
+        rows.join(stored(folded), [*TOPIC_PARTITION, clock])
         .withColumn("chunk", chunk.cast("bigint"))
         .select(*accepted.columns, "chunk")
     )

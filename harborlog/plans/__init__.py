@@ -1,19 +1,18 @@
-"""Plan shapes shared by the operators: sliced scans, bounded broadcasts, the shared folder."""
+"""Plan shapes shared by the operators: sliced scans, stored join sides, the shared folder."""
 
-from harborlog.plans.bounded import BROADCAST_ROWS, broadcast_if_small
+from harborlog.plans.bounded import stored
 from harborlog.plans.shipping import ship
 from harborlog.plans.sliced import SLICE_WIDTH, ranked, running_before, running_total, with_slice
 from harborlog.plans.workspace import new_folder, shared_folder
 
 __all__ = [
-    "BROADCAST_ROWS",
     "SLICE_WIDTH",
-    "broadcast_if_small",
     "new_folder",
     "ranked",
     "running_before",
     "running_total",
     "shared_folder",
     "ship",
+    "stored",
     "with_slice",
 ]

@@ -1,21 +1,20 @@
-"""Broadcast only what has been counted."""
+"""Small join sides whose size is known before the join is planned."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# One row per topic-partition is about 60 bytes, so this bound is some 12 MB per executor.
-BROADCAST_ROWS = 200_000
+from harborlog.plans.workspace import new_folder
 
 
-def broadcast_if_small(side: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast of ``side`` when it has at most ``max_rows`` rows.
+def stored(side: DataFrame, path: str | None = None) -> DataFrame:
+    """Write ``side`` to the shared folder and read it back.
 
-    Beyond the bound the frame comes back without a hint: the join is then a shuffle join, whose hot keys
-    adaptive execution splits. The count is a job of its own; it reads the key columns only and stops one row
-    past the bound.
+    It is computed once, it survives lost executors, and Spark sees how large it is: up to
+    ``spark.sql.autoBroadcastJoinThreshold`` it is broadcast and the large side stays where it is; beyond, the join is a
+    shuffle join whose hot keys adaptive execution splits. No broadcast is forced.
     """
-    if side.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(side)
-    return side
+    spark = side.sparkSession
+    path = path or new_folder(spark, "side")
+    side.write.parquet(path)
+    return spark.read.schema(side.schema).parquet(path)

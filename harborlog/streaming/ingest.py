@@ -21,7 +21,7 @@ from harborlog.operators.files import FILE_KEY, file_plan, with_directory
 from harborlog.operators.payload import FAILFAST, MessageType, dead_letters, decode, decoded, reencode
 from harborlog.operators.positions import resume
 from harborlog.operators.rotation import rotate_by_count, rotate_ranked
-from harborlog.plans import new_folder
+from harborlog.plans import new_folder, stored
 from harborlog.sinks import paths
 from harborlog.sinks.formats import OutputFormat, format_for
 from harborlog.sinks.publish import Part, publish
@@ -78,7 +78,7 @@ def ingest_batch(
     before = read_positions(spark, config, batch_id)
 
     # Read and decode once; everything below works on this copy. Lost blocks are recomputed from the source.
-    fresh = resume(batch, before, size_known=True)
+    fresh = resume(batch, before, is_stored=True)
     landed = _landed(fresh, config, output, message, mode).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         accepted, spans = _accept(landed, before, config, arrival, scratch)
@@ -184,20 +184,20 @@ def _accept(
         base = F.when(F.col("next_offset") > 0, F.col("next_offset")).otherwise(F.col("first"))
         return edges.join(before, TOPIC_PARTITION, "left").withColumn("base", base)
 
-    spans = _written(spans_of(landed), f"{scratch}/delivered")
+    spans = stored(spans_of(landed), f"{scratch}/delivered")
     # A log that delivers each offset once needs no per-record check where its range has no gap.
     gap = "n <> last - first + 1 or first <> base"
     if arrival is None and (config.acceptance == "monotonic" or spans.where(gap).isEmpty()):
         return landed, spans
     accept = accept_strict if config.acceptance == "strict" else accept_monotonic
     accepted = accept(landed, before, arrival or "kafka_offset")
-    return accepted, _written(spans_of(accepted), f"{scratch}/accepted")
+    return accepted, stored(spans_of(accepted), f"{scratch}/accepted")
 
 
 def _chunked(accepted: DataFrame, spans: DataFrame, config: IngestConfig) -> DataFrame:
     """Cut into files, leaving out the unfilled last chunk unless tails are published."""
     if config.acceptance == "strict":
-        rows = rotate_by_count(accepted, config.flush_size, spans.select(*TOPIC_PARTITION, "base"), size_known=True)
+        rows = rotate_by_count(accepted, config.flush_size, spans.select(*TOPIC_PARTITION, "base"), is_stored=True)
     else:
         rows = rotate_ranked(accepted, config.flush_size)
     if not config.publish_tail:
@@ -231,12 +231,6 @@ def _files(rows: DataFrame, config: IngestConfig, extension: str) -> DataFrame:
     )
 
 
-def _written(rows: DataFrame, path: str) -> DataFrame:
-    """Write a small table and read it back: later joins know its size, and it survives lost executors."""
-    rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
-
-
 def _positions_root(config: IngestConfig) -> str:
     return f"{config.base_path.rstrip('/')}/{config.logs_dir}/positions"
 

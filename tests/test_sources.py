@@ -2,8 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from harborlog.operators import files_with_max_offset
-from harborlog.plans import new_folder, ranked, running_before, running_total, shared_folder
-from harborlog.plans.bounded import broadcast_if_small
+from harborlog.plans import new_folder, ranked, running_before, running_total, shared_folder, stored
 from harborlog.sources import (
     committed_files,
     from_log_source,
@@ -112,11 +111,15 @@ def test_sliced_scans_equal_windows(spark, width):
     assert result.exceptAll(expected).isEmpty() and expected.exceptAll(result).isEmpty()
 
 
-def test_broadcast_only_when_counted(spark):
-    small = broadcast_if_small(spark.range(10), 10)
-    large = broadcast_if_small(spark.range(11), 10)
-    assert "hint" in small._jdf.queryExecution().logical().toString().lower()
-    assert "hint" not in large._jdf.queryExecution().logical().toString().lower()
+def test_small_stored_sides_are_broadcast_and_large_ones_are_not(spark):
+    side = stored(spark.range(100).withColumn("v", F.uuid()))
+    rows = spark.range(1000)
+    assert "BroadcastHashJoin" in rows.join(side, "id")._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", 100)
+    try:
+        assert "SortMergeJoin" in rows.join(side, "id")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_folders_are_below_the_shared_folder(spark):
