@@ -50,6 +50,10 @@ class IngestConfig:
     def manifest_root(self) -> str:
         return f"{self.base_path.rstrip('/')}/{self.logs_dir}/manifest"
 
+    @property
+    def positions_root(self) -> str:
+        return f"{self.base_path.rstrip('/')}/{self.logs_dir}/positions"
+
     @property
     def staging_root(self) -> str:
         return f"{self.topics_root}/_staging"

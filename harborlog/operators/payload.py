@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from operator import attrgetter
 from typing import Any
 
 import pyarrow as pa
@@ -101,11 +102,11 @@ def encode(message: MessageType, fields: dict[str, Column]) -> Column:
     @F.arrow_udf(T.BinaryType())
     def build(rows: pa.Array) -> pa.Array:
         cls = message.message_class()
+        columns = [column.to_pylist() for column in rows.flatten()]
         out = []
-        for row in rows.to_pylist():
-            out.append(
-                cls(**{k: v for k, v in row.items() if v is not None}).SerializeToString(deterministic=True)
-            )
+        for row in zip(*columns):
+            present = {name: value for name, value in zip(names, row) if value is not None}
+            out.append(cls(**present).SerializeToString(deterministic=True))
         return pa.array(out, pa.binary())
 
     return build(F.struct(*[column.alias(name) for name, column in zip(names, fields.values())]))
@@ -123,23 +124,22 @@ def _decoder(message: MessageType, mode: str) -> Callable[[Column], Column]:
         from pyspark.sql.pandas.types import to_arrow_type
 
         cls = message.message_class()
-        readers = [_reader(field) for field in cls.DESCRIPTOR.fields]
-        names = [field.name for field in cls.DESCRIPTOR.fields]
-        columns: list[list] = [[] for _ in readers]
-        errors: list[str | None] = []
+        parse, blank = cls.FromString, cls()
+        messages, errors = [], []
         for raw in values.to_pylist():
-            parsed, error = None, None
             try:
-                parsed = cls.FromString(_present(raw))
+                messages.append(parse(_present(raw)))
+                errors.append(None)
             except (DecodeError, ValueError) as failure:
                 if mode == FAILFAST:
                     raise
-                error = "null payload" if raw is None else f"{type(failure).__name__}"
-            errors.append(error)
-            for column, read in zip(columns, readers):
-                column.append(None if parsed is None else read(parsed))
-        kinds = [to_arrow_type(field.dataType) for field in payload.fields]
-        arrays = [pa.array(column, kind) for column, kind in zip(columns, kinds)]
+                messages.append(blank)
+                errors.append("null payload" if raw is None else type(failure).__name__)
+        names = [field.name for field in cls.DESCRIPTOR.fields]
+        arrays = [
+            pa.array(_column_reader(field)(messages), to_arrow_type(kind.dataType))
+            for field, kind in zip(cls.DESCRIPTOR.fields, payload.fields)
+        ]
         failed = pa.array([error is not None for error in errors], pa.bool_())
         rows = pa.StructArray.from_arrays(arrays, names=names, mask=failed)
         return pa.StructArray.from_arrays(
@@ -184,12 +184,13 @@ def _field_type(field: Any, parents: tuple[str, ...]) -> T.DataType:
     return T.ArrayType(one) if field.is_repeated else one
 
 
-def _value_reader(field: Any) -> Callable[[Any], Any]:
+def _value_reader(field: Any) -> Callable[[Any], Any] | None:
+    """How to turn one value into what Arrow takes; None if it can be taken as it is."""
     from google.protobuf.descriptor import FieldDescriptor as D
 
     if field.message_type is not None:
-        inner = [(f.name, _reader(f)) for f in field.message_type.fields]
-        return lambda message: {name: read(message) for name, read in inner}
+        inner = [(f.name, _column_reader(f)) for f in field.message_type.fields]
+        return lambda message: {name: read([message])[0] for name, read in inner}
     if field.enum_type is not None:
         names = {number: value.name for number, value in field.enum_type.values_by_number.items()}
         return lambda number: names.get(number, str(number))
@@ -197,18 +198,24 @@ def _value_reader(field: Any) -> Callable[[Any], Any]:
         from decimal import Decimal
 
         return Decimal
-    return lambda scalar: scalar
+    return None
 
 
-def _reader(field: Any) -> Callable[[Any], Any]:
-    """How to take one field out of a parsed message; an unset field with presence is null."""
-    name = field.name
+def _column_reader(field: Any) -> Callable[[list], list]:
+    """How to take one field out of many messages; an unset field with presence is null."""
+    name, get = field.name, attrgetter(field.name)
     if _is_map(field):
-        read = _value_reader(field.message_type.fields_by_name["value"])
-        return lambda message: [(key, read(value)) for key, value in getattr(message, name).items()]
+        read = _value_reader(field.message_type.fields_by_name["value"]) or (lambda value: value)
+        return lambda messages: [[(key, read(value)) for key, value in get(m).items()] for m in messages]
     read = _value_reader(field)
     if field.is_repeated:
-        return lambda message: [read(item) for item in getattr(message, name)]
+        if read is None:
+            return lambda messages: [list(get(m)) for m in messages]
+        return lambda messages: [[read(item) for item in get(m)] for m in messages]
     if field.has_presence:
-        return lambda message: read(getattr(message, name)) if message.HasField(name) else None
-    return lambda message: read(getattr(message, name))
+        if read is None:
+            return lambda messages: [get(m) if m.HasField(name) else None for m in messages]
+        return lambda messages: [read(get(m)) if m.HasField(name) else None for m in messages]
+    if read is None:
+        return lambda messages: [get(m) for m in messages]
+    return lambda messages: [read(get(m)) for m in messages]

@@ -2,7 +2,7 @@
 
 A format has an ``extension`` and a method ``stage(rows, files, folder)``. ``rows`` carry ``file_id`` and
 ``kafka_offset`` beside the columns to be written, ``files`` has one row per ``file_id``, and the result tells the
-``staged_path`` of each ``file_id``. Anything of this shape can be passed as a format. ``needs_value`` says whether the
+``staged_path`` of each ``file_id``: the file, or a directory that holds just that file. Anything of this shape can be passed as a format. ``needs_value`` says whether the
 format writes the message bytes rather than the decoded payload.
 """
 
@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harborlog.functions.keys import time_key
-from harborlog.sources.listing import list_files
+from harborlog.plans import stored
 
 
 class OutputFormat(Protocol):
@@ -36,8 +36,11 @@ class TableFormat:
 
     def stage(self, rows: DataFrame, files: DataFrame, folder: str) -> DataFrame:
         content = ["payload.*"] if "payload" in rows.columns else ["key", "value"]
-        # All rows of a file meet in one task in offset order, and a file holds at most flush_size rows.
-        ordered = rows.repartition("file_id").sortWithinPartitions("file_id", "kafka_offset")
+        # All rows of a file meet in one task in offset order, and a file holds at most flush_size rows. A stated
+        # number of partitions keeps adaptive execution from merging many small files into one writing task.
+        spark = rows.sparkSession
+        width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+        ordered = rows.repartition(width, "file_id").sortWithinPartitions("file_id", "kafka_offset")
         (
             ordered.select("file_id", *content)
             .write.format(self.name)
@@ -45,10 +48,7 @@ class TableFormat:
             .partitionBy("file_id")
             .save(folder)
         )
-        staged = list_files(rows.sparkSession, folder, "part-*")
-        return staged.select(
-            F.regexp_extract("path", r"/file_id=([^/]+)/", 1).alias("file_id"), F.col("path").alias("staged_path")
-        )
+        return files.select("file_id", F.concat(F.lit(f"{folder}/file_id="), F.col("file_id")).alias("staged_path"))
 
 
 @dataclass(frozen=True)
@@ -63,30 +63,21 @@ class SequenceFormat:
     needs_value: bool = True
 
     def stage(self, rows: DataFrame, files: DataFrame, folder: str) -> DataFrame:
-        spark = rows.sparkSession
         # Spark writes one sequence file per partition, so number the files and make each number a partition. Sorting
         # by the unique id makes the numbers the same whenever they are computed.
-        numbered = (
-            files.select("file_id")
-            .orderBy("file_id")
-            .rdd.map(lambda row: row[0])
-            .zipWithIndex()
-            .toDF("file_id string, file_number int")
-        )
+        numbers = files.select("file_id").orderBy("file_id").rdd.map(lambda row: row[0]).zipWithIndex()
+        numbered = stored(numbers.toDF("file_id string, file_number int"), f"{folder}/numbers")
         clock = self.clock if self.clock is not None else F.unix_millis(F.current_timestamp())
         pairs = (
             rows.withColumn("_clock", time_key(clock))
             .join(numbered, "file_id")
-            .repartitionById(max(files.count(), 1), F.col("file_number"))
+            .repartitionById(max(numbered.count(), 1), F.col("file_number"))
             .sortWithinPartitions("kafka_offset")
             .select("_clock", "value")
         )
-        pairs.rdd.map(lambda row: (bytearray(row[0]), bytearray(row[1]))).saveAsSequenceFile(folder)
-        number = F.regexp_extract("file_name", r"^part-(\d+)$", 1).cast("int")
-        staged = list_files(spark, folder, "part-*").select(
-            number.alias("file_number"), F.col("path").alias("staged_path")
-        )
-        return staged.join(numbered, "file_number").drop("file_number")
+        pairs.rdd.map(lambda row: (bytearray(row[0]), bytearray(row[1]))).saveAsSequenceFile(f"{folder}/pairs")
+        path = F.format_string(f"{folder}/pairs/part-%05d", F.col("file_number"))
+        return numbered.select("file_id", path.alias("staged_path"))
 
 
 # Codec, row group size and page size of published Parquet files.

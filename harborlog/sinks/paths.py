@@ -42,3 +42,19 @@ def subdirectories(path: str) -> list[str]:
     filesystem, name = resolve(path)
     selector = fs.FileSelector(name, allow_not_found=True)
     return [info.base_name for info in filesystem.get_file_info(selector) if info.type == fs.FileType.Directory]
+
+
+def files_at(path: str) -> list[str]:
+    """The path itself if it is a file; if a directory, the data files in it; else nothing."""
+    filesystem, name = resolve(path)
+    kind = filesystem.get_file_info(name).type
+    if kind == fs.FileType.File:
+        return [path]
+    if kind == fs.FileType.NotFound:
+        return []
+    inside = filesystem.get_file_info(fs.FileSelector(name))
+    return [
+        f"{path}/{info.base_name}"
+        for info in inside
+        if info.type == fs.FileType.File and info.base_name.startswith("part-")
+    ]

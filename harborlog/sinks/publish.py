@@ -19,7 +19,7 @@ def publish(files: DataFrame, staged: DataFrame) -> DataFrame:
     """Rename the staged file of each row to ``path``, in tasks, when the result is written.
 
     ``files`` has ``file_id`` and ``path``; its columns come back, except ``file_id``. Fails if a file was not staged,
-    was staged in several pieces, or cannot be renamed.
+    was staged in several pieces, or cannot be renamed. Nothing is listed on the driver.
     """
     width = files.sparkSession.sparkContext.defaultParallelism
     columns = [column for column in files.columns if column != "file_id"]
@@ -41,12 +41,17 @@ def publish(files: DataFrame, staged: DataFrame) -> DataFrame:
 def _rename(source: str | None, target: str) -> None:
     if paths.exists(target):
         return
-    if source is None:
+    pieces = paths.files_at(source) if source is not None else []
+    if len(pieces) > 1:
+        raise RuntimeError(f"several staged files for {target}")
+    if not pieces:
+        # Another attempt of this task may have been faster.
+        if paths.exists(target):
+            return
         raise RuntimeError(f"nothing staged for {target}")
     try:
-        paths.move(source, target)
+        paths.move(pieces[0], target)
     except FileNotFoundError:
-        # Another attempt of this task may have been faster.
         if not paths.exists(target):
             raise
 
@@ -60,14 +65,14 @@ class Part:
     batch_id: int
 
     @property
-    def _written(self) -> str:
+    def written(self) -> str:
         return f"{self.root}/_writing/{self.stream_id}-{self.batch_id}"
 
     def write(self, rows: DataFrame) -> None:
-        rows.write.mode("overwrite").parquet(self._written)
+        rows.write.mode("overwrite").parquet(self.written)
 
     def commit(self) -> None:
         """Replace what an earlier attempt of the same batch committed."""
         part = f"{self.root}/stream_id={self.stream_id}/batch_id={self.batch_id}"
         paths.delete_directory(part)
-        paths.move(self._written, part)
+        paths.move(self.written, part)

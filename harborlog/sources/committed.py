@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harborlog.functions.naming import parsed_name
+from harborlog.plans import stored
+from harborlog.sources.listing import list_files
 
 # Published names are the only ones with three separators; files in progress have none.
 PUBLISHED_GLOB = "*+*+*+*"
@@ -17,7 +19,8 @@ def read_committed(
     """Rows of all published Parquet files plus ``topic, kafka_partition, start_offset, end_offset``.
 
     Directory tokens need not be ``key=value``, so the tree is read as files rather than as a partitioned table. With
-    a ``manifest``, only files it lists are trusted.
+    a ``manifest``, only files it lists are trusted: the files beyond it, as a rule none, are found by comparing names,
+    and rows are checked against those few rather than against the whole manifest.
     """
     reader = (
         spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", PUBLISHED_GLOB)
@@ -27,7 +30,10 @@ def read_committed(
     rows = reader.parquet(topics_root)
     source = rows.withColumn("committed_file", F.col("_metadata.file_name"))
     if manifest is not None:
-        source = source.join(manifest.select("committed_file"), "committed_file", "left_semi")
+        # Listed after the rows, so no file that is read can be missing here.
+        names = list_files(spark, topics_root, PUBLISHED_GLOB).select(F.col("file_name").alias("committed_file"))
+        beyond = stored(names.join(manifest.select("committed_file"), "committed_file", "left_anti"))
+        source = source.join(beyond, "committed_file", "left_anti")
     named = source.withColumn("_parsed", parsed_name(F.col("committed_file")))
     parts = ["topic", "kafka_partition", "start_offset", "end_offset"]
     return named.where(F.col("_parsed").isNotNull()).select(

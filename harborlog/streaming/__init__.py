@@ -1,6 +1,7 @@
-"""Streaming: exactly-once ingest and stateful acceptance."""
+"""Streaming: exactly-once ingest, and acceptance of streams that may redeliver."""
 
-from harborlog.streaming.accept import stream_accept
-from harborlog.streaming.ingest import ingest_batch, read_positions, start_ingest
+from harborlog.streaming.accept import start_accept, stream_accept
+from harborlog.streaming.ingest import ingest_batch, start_ingest
+from harborlog.streaming.positions import Positions
 
-__all__ = ["ingest_batch", "read_positions", "start_ingest", "stream_accept"]
+__all__ = ["Positions", "ingest_batch", "start_accept", "start_ingest", "stream_accept"]

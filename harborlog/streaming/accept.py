@@ -1,7 +1,7 @@
-"""Acceptance as a stateful streaming operator.
+"""Acceptance of a stream that may redeliver.
 
-For sources that may redeliver and do not keep their positions in a checkpoint. The state is one number per
-topic-partition. ``ingest_batch`` needs no operator state and is to be preferred where it can be used.
+``start_accept`` works batch by batch with the table operators, which split a hot topic-partition over many tasks.
+``stream_accept`` is an operator to put into a larger streaming query; its state is one number per topic-partition.
 """
 
 from __future__ import annotations
@@ -12,9 +12,12 @@ from typing import Any
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
+from harborlog.operators.acceptance import accept_monotonic, accept_strict
+from harborlog.sinks.publish import Part
 from harborlog.sources.envelope import TOPIC_PARTITION
+from harborlog.streaming.positions import Positions
 
 
 class _Acceptor(StatefulProcessor):
@@ -42,7 +45,8 @@ def stream_accept(
 ) -> DataFrame:
     """Drop stale and out-of-order records of a stream; see ``accept_strict`` and ``accept_monotonic``.
 
-    Micro-batches must deliver in order of ``arrival``. Needs the RocksDB state store.
+    Micro-batches must deliver in order of ``arrival``. The records of a topic-partition in one micro-batch are sorted
+    in one task, so bound micro-batches by the rate limit of the source. Needs the RocksDB state store.
     """
     return stream.groupBy(*TOPIC_PARTITION).transformWithStateInPandas(
         statefulProcessor=_Acceptor(stream.columns, arrival, mode == "strict"),
@@ -52,6 +56,35 @@ def stream_accept(
     )
 
 
+def start_accept(
+    stream: DataFrame,
+    folder: str,
+    checkpoint: str,
+    arrival: str = "arrival_seq",
+    mode: str = "strict",
+    stream_id: str = "accept",
+    **trigger,
+) -> StreamingQuery:
+    """Write the accepted records of each micro-batch to ``folder/accepted``, exactly once.
+
+    A replayed micro-batch starts from the same positions and overwrites its own part.
+    """
+    accept = accept_strict if mode == "strict" else accept_monotonic
+    positions = Positions(f"{folder}/positions", stream_id)
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        before = positions.read(batch.sparkSession, batch_id)
+        part = Part(f"{folder}/accepted", stream_id, batch_id)
+        part.write(accept(batch, before, arrival))
+        written = batch.sparkSession.read.schema(batch.schema).parquet(part.written)
+        positions.advance(written, before, batch_id)
+        part.commit()
+        positions.forget_before(batch_id)
+
+    writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+    return (writer.trigger(**trigger) if trigger else writer).start()
+
+
 def _strict(offsets: np.ndarray, expected: int) -> tuple[np.ndarray, int]:
     keep = np.zeros(len(offsets), dtype=bool)
     breaks = np.flatnonzero(np.diff(offsets) != 1) + 1

@@ -27,8 +27,7 @@ from harborlog.sinks.formats import OutputFormat, format_for
 from harborlog.sinks.publish import Part, publish
 from harborlog.sources.envelope import TOPIC_PARTITION
 from harborlog.sources.manifest import read_manifest
-
-POSITIONS_SCHEMA = "topic string, kafka_partition int, next_offset bigint"
+from harborlog.streaming.positions import Positions
 
 
 def start_ingest(
@@ -75,7 +74,8 @@ def ingest_batch(
     output = format_for(config.format)
     scratch = new_folder(spark, "ingest")
     staging = f"{config.staging_root}/{config.stream_id}-{batch_id}-{uuid.uuid4().hex}"
-    before = read_positions(spark, config, batch_id)
+    positions = Positions(config.positions_root, config.stream_id)
+    before = positions.read(spark, batch_id)
 
     # Read and decode once; everything below works on this copy. Lost blocks are recomputed from the source.
     fresh = resume(batch, before, is_stored=True)
@@ -102,43 +102,16 @@ def ingest_batch(
         on_step("published")
 
         # Positions follow the records taken in, not the files: a dead letter at the end moves the position as well.
-        taken = chunked.groupBy(*TOPIC_PARTITION).agg((F.max("kafka_offset") + 1).alias("next_offset"))
-        after = before.unionByName(taken).groupBy(*TOPIC_PARTITION).agg(F.max("next_offset").alias("next_offset"))
-        positions = Part(_positions_root(config), config.stream_id, batch_id)
-        positions.write(after)
-        positions.commit()
+        positions.advance(chunked, before, batch_id)
         manifest.commit()
         on_step("committed")
-        _drop_old_positions(config, batch_id)
+        positions.forget_before(batch_id)
         paths.delete_directory(staging)
         paths.delete_directory(scratch)
     finally:
         landed.unpersist()
 
 
-def read_positions(spark: SparkSession, config: IngestConfig, before_batch: int | None = None) -> DataFrame:
-    """Where each topic-partition continues: from earlier batches of this stream and all other streams.
-
-    Batches leave a table of positions with one row per topic-partition, so the growing manifest is not read.
-    """
-    root = _positions_root(config)
-    parts = []
-    for stream in paths.subdirectories(root):
-        if not stream.startswith("stream_id="):
-            continue
-        numbers = [int(name.split("=", 1)[1]) for name in paths.subdirectories(f"{root}/{stream}")]
-        if stream == f"stream_id={config.stream_id}" and before_batch is not None:
-            numbers = [number for number in numbers if number < before_batch]
-        if numbers:
-            parts.append(f"{root}/{stream}/batch_id={max(numbers)}")
-    if not parts:
-        return spark.createDataFrame([], POSITIONS_SCHEMA)
-    tables = spark.read.schema(POSITIONS_SCHEMA).parquet(*parts)
-    if len(parts) == 1:
-        return tables
-    return tables.groupBy(*TOPIC_PARTITION).agg(F.max("next_offset").alias("next_offset"))
-
-
 def published_files(spark: SparkSession, config: IngestConfig) -> DataFrame:
     """The manifest of everything published under ``config``."""
     return read_manifest(spark, config.manifest_root)
@@ -229,15 +202,3 @@ def _files(rows: DataFrame, config: IngestConfig, extension: str) -> DataFrame:
         path.alias("path"),
         _file_id().alias("file_id"),
     )
-
-
-def _positions_root(config: IngestConfig) -> str:
-    return f"{config.base_path.rstrip('/')}/{config.logs_dir}/positions"
-
-
-def _drop_old_positions(config: IngestConfig, batch_id: int) -> None:
-    """Only the part before the last is needed again, when the last batch is replayed."""
-    stream = f"{_positions_root(config)}/stream_id={config.stream_id}"
-    numbers = sorted(int(name.split("=", 1)[1]) for name in paths.subdirectories(stream))
-    for number in [number for number in numbers if number < batch_id][:-1]:
-        paths.delete_directory(f"{stream}/batch_id={number}")

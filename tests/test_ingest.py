@@ -9,7 +9,7 @@ from harborlog import IngestConfig
 from harborlog.operators import PERMISSIVE, encode
 from harborlog.sinks import FORMATS, SequenceFormat, TableFormat, format_for, publish
 from harborlog.sources import ENVELOPE, list_files, read_committed, read_manifest, read_sequence
-from harborlog.streaming import ingest_batch, read_positions, start_ingest
+from harborlog.streaming import Positions, ingest_batch, start_ingest
 from workload.fixtures import message
 
 STEPS = ["staged", "published", "committed"]
@@ -81,12 +81,11 @@ def test_overlap_and_replay(spark, tmp_path):
     ingest_batch(log(spark, {0: (20, 60), 1: (5, 41), 2: (7, 9)}), 1, conf, message())
     ingest_batch(log(spark, {0: (20, 60), 1: (5, 41), 2: (7, 9)}), 1, conf, message())
     assert offsets(spark, conf) == expect({0: (0, 60), 1: (5, 41), 2: (7, 9)})
-    positions = {row.kafka_partition: row.next_offset for row in read_positions(spark, conf).collect()}
+    positions = {row.kafka_partition: row.next_offset for row in Positions(conf.positions_root, conf.stream_id).read(spark).collect()}
     assert positions == {0: 60, 1: 41, 2: 9}
 
 
-@pytest.mark.parametrize("step", STEPS)
-@pytest.mark.parametrize("output", ["parquet", "sequence"])
+@pytest.mark.parametrize("step, output", [*((step, "parquet") for step in STEPS), ("published", "sequence")])
 def test_crash_after_each_step(spark, tmp_path, step, output):
     conf = config(tmp_path, format=output, partitioner="protocol")
 

@@ -3,13 +3,14 @@ import random
 import pytest
 from models import accept
 
-from harborlog.streaming import stream_accept
+from harborlog.streaming import start_accept, stream_accept
 
 SCHEMA = "topic string, kafka_partition int, kafka_offset bigint, arrival_seq bigint"
 
 
 @pytest.mark.parametrize("mode", ["strict", "monotonic"])
-def test_state_carries_over_restarts(spark, tmp_path, mode):
+@pytest.mark.parametrize("stateful", [True, False])
+def test_positions_carry_over_restarts(spark, tmp_path, mode, stateful):
     spark.conf.set(
         "spark.sql.streaming.stateStore.providerClass",
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -28,16 +29,21 @@ def test_state_carries_over_restarts(spark, tmp_path, mode):
         part = [row for row in rows if low <= row[3] < high]
         rng.shuffle(part)
         spark.createDataFrame(part, SCHEMA).write.mode("append").parquet(str(tmp_path / "log"))
-        stream = stream_accept(spark.readStream.schema(SCHEMA).parquet(str(tmp_path / "log")), mode=mode)
-        query = (
-            stream.writeStream.format("parquet")
-            .option("checkpointLocation", str(tmp_path / "checkpoint"))
-            .trigger(availableNow=True)
-            .start(str(tmp_path / "out"))
-        )
+        log, checkpoint = spark.readStream.schema(SCHEMA).parquet(str(tmp_path / "log")), str(tmp_path / "checkpoint")
+        if stateful:
+            writer = stream_accept(log, mode=mode).writeStream.format("parquet").trigger(availableNow=True)
+            query = writer.option("checkpointLocation", checkpoint).start(str(tmp_path / "out"))
+        else:
+            query = start_accept(log, str(tmp_path / "parts"), checkpoint, mode=mode, availableNow=True)
         query.awaitTermination()
+    expected = {topic: accept(log, mode == "strict") for topic, log in logs.items()}
+    if not stateful:
+        rows = spark.read.schema(SCHEMA).parquet(str(tmp_path / "parts" / "accepted")).collect()
+        assert sorted((row.topic, row.arrival_seq) for row in rows) == sorted(
+            (topic, seq) for topic, seqs in expected.items() for seq in seqs
+        )
+        return
     got = {topic: [] for topic in logs}
     for row in spark.read.parquet(str(tmp_path / "out")).collect():
         got[row.topic].append(row.arrival_seq)
-    expected = {topic: accept(log, mode == "strict") for topic, log in logs.items()}
     assert {topic: sorted(seqs) for topic, seqs in got.items()} == expected

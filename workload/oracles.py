@@ -293,4 +293,5 @@ with {REC} select printf('%016X', 1706745600000) as key_hex, event_id, protocol,
     "exactly_once_ingest": f"with {REC} select topic, kafka_partition, event_id, protocol, props from rec",
     "stream_ingest": f"with {REC} select topic, kafka_partition, event_id, protocol, props from rec",
     "stream_accept": _strict(REDELIVERED),
+    "stream_accept_stateful": _strict(REDELIVERED),
 }

@@ -22,7 +22,7 @@ from harborlog.sources import (
     read_sequence,
     rebuild_manifest,
 )
-from harborlog.streaming import ingest_batch, start_ingest
+from harborlog.streaming import ingest_batch, start_accept, start_ingest
 from harborlog.streaming import stream_accept as accept_stream
 from workload import fixtures as X
 
@@ -30,6 +30,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 OFFSET = [*TOPIC_PARTITION, "kafka_offset"]
+DELIVERY = 1_000_000
 
 
 def registered(build: Query) -> Query:
@@ -382,10 +383,10 @@ def sequence_sink_roundtrip(spark, sf_dir):
 @registered
 def exactly_once_ingest(spark, sf_dir):
     """Batches that overlap, are replayed, and are replayed after a failure between publishing and committing."""
-    records = X.records(spark, sf_dir).select(*ENVELOPE.names)
-    config = IngestConfig(
-        base_path=new_folder(spark, "exactly-once"), flush_size=X.FLUSH_SIZE, partitioner="protocol"
-    )
+    folder = new_folder(spark, "exactly-once")
+    X.records(spark, sf_dir).select(*ENVELOPE.names).write.parquet(f"{folder}/log")
+    records = spark.read.schema(ENVELOPE).parquet(f"{folder}/log")
+    config = IngestConfig(base_path=f"{folder}/out", flush_size=X.FLUSH_SIZE, partitioner="protocol")
     first, second = records.where("kafka_offset < 1300"), records.where("kafka_offset >= 800")
 
     def fail(step: str) -> None:
@@ -418,8 +419,18 @@ def stream_ingest(spark, sf_dir):
 
 @registered
 def stream_accept(spark, sf_dir):
-    """The redelivered log in three deliveries, accepted by the stateful operator, restarted for each."""
+    """The redelivered log in deliveries, accepted batch by batch; the stream is restarted for each."""
     folder = new_folder(spark, "accept")
+    for log in _deliveries(X.redelivered(spark, sf_dir), "arrival_seq", folder):
+        start_accept(log, folder, f"{folder}/checkpoint", availableNow=True).awaitTermination()
+    columns = [*OFFSET, "arrival_seq"]
+    return spark.read.parquet(f"{folder}/accepted").select(columns)
+
+
+@registered
+def stream_accept_stateful(spark, sf_dir):
+    """The same with the stateful operator; a delivery bounds what one task sorts."""
+    folder = new_folder(spark, "stateful")
     rocks = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", rocks)
     for log in _deliveries(X.redelivered(spark, sf_dir), "arrival_seq", folder):
@@ -429,13 +440,17 @@ def stream_accept(spark, sf_dir):
     return spark.read.parquet(f"{folder}/accepted")
 
 
-def _deliveries(records: DataFrame, position: str, folder: str, overlap: int = 0, parts: int = 3):
-    """Append a log to a folder part by part, in order of ``position``, and stream the folder after each part."""
+def _deliveries(records: DataFrame, position: str, folder: str, overlap: int = 0):
+    """Append a log to a folder part by part, in order of ``position``, and stream the folder after each part.
+
+    A part covers at most ``DELIVERY`` positions, however long the log is.
+    """
     spark = records.sparkSession
     # Ranges of positions per file let each part read only its own files.
     records.repartitionByRange(position).write.parquet(f"{folder}/whole")
     whole = spark.read.schema(records.schema).parquet(f"{folder}/whole")
     end = whole.agg(F.max(position)).first()[0] + 1
+    parts = max(3, -(-end // DELIVERY))
     for part in range(parts):
         low, high = end * part // parts, end * (part + 1) // parts
         rows = whole.where((F.col(position) >= low - overlap) & (F.col(position) < high))
