@@ -6,11 +6,13 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from typing import Any
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
@@ -48,6 +50,8 @@ def stream_accept(
     Micro-batches must deliver in order of ``arrival``. The records of a topic-partition in one micro-batch are sorted
     in one task, so bound micro-batches by the rate limit of the source. Needs the RocksDB state store.
     """
+    # Spark starts the processor once on the driver, in a process that does not see added Python files.
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     return stream.groupBy(*TOPIC_PARTITION).transformWithStateInPandas(
         statefulProcessor=_Acceptor(stream.columns, arrival, mode == "strict"),
         outputStructType=stream.schema,
