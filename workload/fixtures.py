@@ -15,12 +15,13 @@ from harborlog.operators import (
     rotate_by_count,
     with_directory,
 )
-from harborlog.plans import ranked
+from harborlog.plans import ranked, stored
 from harborlog.sources import TOPIC_PARTITION, from_log_source
 
 FLUSH_SIZE = 1000
 ROTATE_FLUSH_SIZE = 20
 ROTATE_INTERVAL_MS = 21_600_000
+WIDTH = 1 << 14
 BASE = "hdfs://data"
 TOPICS_DIR = "topics"
 
@@ -41,7 +42,7 @@ def rec(spark: SparkSession, sf_dir: str) -> DataFrame:
         "value",
         "props",
     )
-    numbered = ranked(events, TOPIC_PARTITION, "event_id", "_rank")
+    numbered = ranked(events, TOPIC_PARTITION, "event_id", "_rank", WIDTH)
     return numbered.withColumn("kafka_offset", F.col("_rank") - 1).drop("_rank")
 
 
@@ -74,7 +75,7 @@ def topics(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("timestamp").alias("timestamp"),
     )
     messages = events.unionByName(orders).unionByName(documents)
-    numbered = ranked(messages, ["topic", "partition"], "_order", "_rank")
+    numbered = ranked(messages, ["topic", "partition"], "_order", "_rank", WIDTH)
     return from_log_source(
         numbered.withColumn("offset", F.col("_rank") - 1).withColumn("key", time_key(F.col("_order")))
     )
@@ -148,7 +149,7 @@ def redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
     passes = F.when(F.col("kafka_offset") % 500 >= 450, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     rows = rec(spark, sf_dir).select(*TOPIC_PARTITION, "kafka_offset", F.explode(passes).alias("_pass"))
     order = F.expr("(kafka_offset div 500) * 1000 + _pass * 500 + kafka_offset % 500")
-    numbered = ranked(rows.withColumn("_order", order), TOPIC_PARTITION, "_order", "_rank")
+    numbered = ranked(rows.withColumn("_order", order), TOPIC_PARTITION, "_order", "_rank", WIDTH)
     return numbered.select(
         *TOPIC_PARTITION, "kafka_offset", (F.col("_rank") - 1).alias("arrival_seq")
     )
@@ -183,13 +184,13 @@ def plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def published(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The planned files of complete chunks."""
-    return plan(spark, sf_dir).where("complete")
+    """The planned files of complete chunks, as a manifest on disk."""
+    return stored(plan(spark, sf_dir).where("complete"))
 
 
-def log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The commit log of the plan; every third chunk lacks its END."""
-    return commit_log(with_temp(plan(spark, sf_dir)).withColumn("ended", F.col("chunk") % 3 != 2))
+def log(files: DataFrame) -> DataFrame:
+    """The commit log of planned files; every third chunk lacks its END."""
+    return commit_log(with_temp(files).withColumn("ended", F.col("chunk") % 3 != 2))
 
 
 def with_temp(files: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from harborlog import IngestConfig, sources
 from harborlog import functions as H
 from harborlog import operators as O
-from harborlog.plans import new_folder, ship
+from harborlog.plans import new_folder, ship, stored
 from harborlog.sinks import SequenceFormat
 from harborlog.sources import (
     ENVELOPE,
@@ -233,8 +233,8 @@ def redelivery(spark, sf_dir):
 
 @registered
 def publish_pending(spark, sf_dir):
-    plan = X.plan(spark, sf_dir)
-    existing = X.plan(spark, sf_dir).where(F.col("chunk") % 2 == 0)
+    plan = stored(X.plan(spark, sf_dir))
+    existing = plan.where(F.col("chunk") % 2 == 0)
     return O.publish_pending(plan, existing).select(*TOPIC_PARTITION, "chunk", "committed_file")
 
 
@@ -315,15 +315,16 @@ def name_order(spark, sf_dir):
 
 @registered
 def commitlog_entries(spark, sf_dir):
-    return X.log(spark, sf_dir)
+    return X.log(stored(X.plan(spark, sf_dir)))
 
 
 @registered
 def commitlog_replay(spark, sf_dir):
-    files = X.with_temp(X.plan(spark, sf_dir))
+    plan = stored(X.plan(spark, sf_dir))
+    files = X.with_temp(plan)
     existing = files.where(F.col("chunk") % 2 == 0)
     sources = files.where((F.col("kafka_partition") != 3) | (F.col("encoded_partition") != "error"))
-    return O.replay(X.log(spark, sf_dir), existing, sources)
+    return O.replay(X.log(plan), existing, sources)
 
 
 # Files and streams --------------------------------------------------------------------------------------------
