@@ -14,6 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from harborlog.operators.acceptance import accept_monotonic, accept_strict
@@ -81,7 +82,8 @@ def start_accept(
         part = Part(f"{folder}/accepted", stream_id, batch_id)
         part.write(accept(batch, before, arrival))
         written = batch.sparkSession.read.schema(batch.schema).parquet(part.written)
-        positions.advance(written, before, batch_id)
+        ends = written.groupBy(*TOPIC_PARTITION).agg((F.max("kafka_offset") + 1).alias("next_offset"))
+        positions.advance(ends, before, batch_id)
         part.commit()
         positions.forget_before(batch_id)
 

@@ -94,7 +94,7 @@ def ingest_batch(
         if message is not None and _keeps_value(output):
             rows = rows.withColumn("value", reencode(message, F.col("value")))
 
-        files = _files(rows, config, output.extension)
+        files = stored(_files(rows, config, output.extension), f"{scratch}/files")
         staged = output.stage(rows, files, staging)
         on_step("staged")
         manifest = Part(config.manifest_root, config.stream_id, batch_id)
@@ -102,7 +102,7 @@ def ingest_batch(
         on_step("published")
 
         # Positions follow the records taken in, not the files: a dead letter at the end moves the position as well.
-        positions.advance(chunked, before, batch_id)
+        positions.advance(_ends(chunked, spans, config), before, batch_id)
         manifest.commit()
         on_step("committed")
         positions.forget_before(batch_id)
@@ -183,6 +183,13 @@ def _chunked(accepted: DataFrame, spans: DataFrame, config: IngestConfig) -> Dat
     return rows.withColumn("file_id", _file_id())
 
 
+def _ends(chunked: DataFrame, spans: DataFrame, config: IngestConfig) -> DataFrame:
+    """The position after the batch, from the small table of spans where it tells."""
+    if config.publish_tail:
+        return spans.select(*TOPIC_PARTITION, (F.col("last") + 1).alias("next_offset"))
+    return chunked.groupBy(*TOPIC_PARTITION).agg((F.max("kafka_offset") + 1).alias("next_offset"))
+
+
 def _file_id() -> Column:
     return F.md5(F.to_json(F.struct(*FILE_KEY)))
 

@@ -39,9 +39,8 @@ class Positions:
             return tables
         return tables.groupBy(*TOPIC_PARTITION).agg(F.max("next_offset").alias("next_offset"))
 
-    def advance(self, taken: DataFrame, before: DataFrame, batch_id: int) -> None:
-        """Commit the positions after a batch took in ``taken``."""
-        ends = taken.groupBy(*TOPIC_PARTITION).agg((F.max("kafka_offset") + 1).alias("next_offset"))
+    def advance(self, ends: DataFrame, before: DataFrame, batch_id: int) -> None:
+        """Commit the positions after a batch that ended at ``ends``; where it ended nowhere, ``before`` holds."""
         after = before.unionByName(ends).groupBy(*TOPIC_PARTITION).agg(F.max("next_offset").alias("next_offset"))
         part = Part(self.root, self.stream_id, batch_id)
         part.write(after)
