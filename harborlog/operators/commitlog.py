@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from harborlog.plans import SLICE_WIDTH, running_total
+from harborlog.plans import SLICE_WIDTH, running_total, stored
 from harborlog.sources.envelope import TOPIC_PARTITION
 
 # The markers around a group of pairs.
@@ -71,8 +71,8 @@ def replay(
     """Renames to carry out: ``topic, kafka_partition, seq, temp_file, committed_file``.
 
     Pairs count from one BEGIN to the next and are due if an END follows them there. A pair is left out if its
-    target is among ``existing.committed_file`` or its source is not among ``sources.temp_file``; of several pairs
-    for one target the earliest is carried out.
+    target is among ``existing.committed_file`` or its source is not among ``sources.temp_file``. A target is written
+    by the earliest pair that can, and a source that has been renamed is gone for later pairs.
     """
     begins = F.when(F.col("key") == BEGIN, 1).otherwise(0)
     grouped = running_total(log, TOPIC_PARTITION, "seq", begins, "group", width)
@@ -93,6 +93,26 @@ def replay(
         due = due.join(sources.select("temp_file").distinct(), "temp_file", "left_semi")
     if existing is not None:
         due = publish_pending(due, existing)
-    return due.groupBy(*TOPIC_PARTITION, "committed_file").agg(
-        F.min("seq").alias("seq"), F.min_by("temp_file", "seq").alias("temp_file")
-    )
+    return _in_order(due.select(*TOPIC_PARTITION, "seq", "temp_file", "committed_file"))
+
+
+def _in_order(due: DataFrame) -> DataFrame:
+    """The pairs that get both their source and their target when pairs are carried out in order of ``seq``.
+
+    A pair that comes first for its source and for its target is carried out, and then all others of that source or
+    target fall away; what is left goes through the same again. Logs name a source or target twice only after
+    failures, so one round is the rule.
+    """
+    left, done = stored(due), None
+    while True:
+        firsts = left
+        for name in ("temp_file", "committed_file"):
+            first = left.groupBy(*TOPIC_PARTITION, name).agg(F.min("seq").alias("seq"))
+            firsts = firsts.join(first, [*TOPIC_PARTITION, name, "seq"], "left_semi")
+        firsts = stored(firsts.select(due.columns))
+        done = firsts if done is None else done.unionByName(firsts)
+        for name in ("temp_file", "committed_file"):
+            left = left.join(firsts.select(*TOPIC_PARTITION, name), [*TOPIC_PARTITION, name], "left_anti")
+        left = stored(left.select(due.columns))
+        if left.isEmpty():
+            return done

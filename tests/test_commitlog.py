@@ -18,7 +18,9 @@ def test_same_as_entry_by_entry(spark):
                 number += 1
                 # Now and then two sources name the same target.
                 target = number - 1 if number > 1 and rng.random() < 0.2 else number
-                entries.append((f"{topic}/tmp{number}", f"{topic}/file{target}"))
+                # Or one source is named again.
+                source = rng.randrange(1, number) if number > 1 and rng.random() < 0.25 else number
+                entries.append((f"{topic}/tmp{source}", f"{topic}/file{target}"))
             else:
                 entries.append((kind, ""))
         rows += [(topic, 0, seq, key, value) for seq, (key, value) in enumerate(entries)]
@@ -27,6 +29,7 @@ def test_same_as_entry_by_entry(spark):
         existing |= there
         sources |= left
         for source, target in model(entries, there, left):
+            assert target not in expected
             expected[target] = source
     log = spark.createDataFrame(rows, SCHEMA)
     present = spark.createDataFrame([(name,) for name in existing], "committed_file string")
