@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from harborlog.plans.bounded import stored
 from harborlog.plans.sliced import SLICE, SLICE_WIDTH, running_before, with_slice
 from harborlog.sources.envelope import TOPIC_PARTITION
 
@@ -62,8 +63,11 @@ def accept_strict(
         .withColumn("_break", F.when(continues, 0).otherwise(1))
         .withColumn("_run", run.cast("int"))
     )
-    runs = numbered.groupBy(*TOPIC_PARTITION, SLICE, "_run").agg(
-        F.min("kafka_offset").alias("low"), F.max("kafka_offset").alias("high")
+    # Needed twice below and far smaller than the records, so written once.
+    runs = stored(
+        numbered.groupBy(*TOPIC_PARTITION, SLICE, "_run").agg(
+            F.min("kafka_offset").alias("low"), F.max("kafka_offset").alias("high")
+        )
     )
 
     maps = runs.groupBy(*TOPIC_PARTITION, SLICE).applyInPandas(
