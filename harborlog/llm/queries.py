@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborlog.llm import contamination, jaccard, language, lines, packing, shards, topk
+from harborlog.llm import contamination, jaccard, language, licenses, lines, packing, secrets, shards, topk
 from harborlog.plans import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,3 +89,13 @@ def pipeline(spark, sf_dir):
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
+
+
+@registered
+def op3_secret_scan(spark, sf_dir):
+    return secrets.find_secrets(table(spark, sf_dir, "documents"), public_vocabulary("byte_bpe_50k.tiktoken"), path="source")
+
+
+@registered
+def op9_license_scan(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
