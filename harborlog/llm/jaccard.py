@@ -2,7 +2,8 @@
 
 A pair that links shares a token among the first ``n - ceil(t n) + 1`` of each document, whatever the order of tokens. Three
 orders are used: rarest first (by counts over all documents), by hash, and by hash backwards. The first gives candidates by a
-join on its prefix tokens, the other two must agree on prefixes before the sets are intersected exactly.
+join on its prefix tokens, the other two must agree on prefixes before the sets are intersected exactly. Before sets are moved
+at all, parity sketches leave out pairs that differ in too many tokens for certain.
 
 Equal sets are one class from the start. A class proposes few candidates per round, to one pivot of each block of a shared
 token; classes already connected need no further link between them. After some rounds every remaining pair of a block whose
@@ -11,6 +12,7 @@ ends aren't connected yet is verified, so that no link is missed and blocks of n
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,8 +25,10 @@ from harborlog.llm.bytewords import mixed, shingles, slices, words
 from harborlog.plans import stored
 
 #: Counters of shingles, by their leading bits. All documents count; the bound is on resolution only, and any order is right.
-COUNTER_BITS = 20
-CHUNK_BITS = 12
+COUNTER_BITS = 22
+CHUNK_BITS = 14
+#: Bits of a set's parity sketch. Two sketches differ in no more bits than their sets differ in tokens.
+SKETCH_BITS = 2048
 PIVOT_ROUNDS = 5
 PROPOSALS = 2
 
@@ -36,31 +40,38 @@ def _sets(column: pa.Array) -> Iterator[np.ndarray]:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(1 << COUNTER_BITS, np.int64)
+    total = np.zeros(1 << COUNTER_BITS, np.int32)
     for batch in batches:
         for part in slices(batch, "text"):
-            for own in _sets(part.column("text")):
-                np.add.at(total, (own >> np.uint64(64 - COUNTER_BITS)).astype(np.int64), 1)
+            every = [np.zeros(0, np.uint64), *_sets(part.column("text"))]
+            np.add.at(total, (np.concatenate(every) >> np.uint64(64 - COUNTER_BITS)).astype(np.int64), np.int32(1))
     chunks = total.reshape(-1, 1 << CHUNK_BITS)
     yield pa.record_batch({
-        "chunk": pa.array(range(len(chunks)), pa.int32()), "counts": pa.array([c.tobytes() for c in chunks], pa.binary())
+        "chunk": pa.array(range(len(chunks)), pa.int32()), "counts": pa.array([zlib.compress(c.tobytes(), 1) for c in chunks], pa.binary())
     })
 
 
 def _merge(rows: pd.DataFrame) -> pd.DataFrame:
-    total = sum(np.frombuffer(x, np.int64) for x in rows["counts"])
-    return pd.DataFrame({"chunk": rows["chunk"].iloc[:1], "counts": [total.tobytes()]})
+    total = np.zeros(1 << CHUNK_BITS, np.int32)
+    for x in rows["counts"]:
+        total += np.frombuffer(zlib.decompress(x), np.int32)
+    return pd.DataFrame({"chunk": rows["chunk"].iloc[:1], "counts": [zlib.compress(total.tobytes(), 1)]})
 
 
 def shingle_counts(texts: DataFrame) -> np.ndarray:
     """In how many rows shingles occur, by counter; a fixed size, so it may go to the driver."""
     merged = texts.mapInArrow(_count, "chunk int, counts binary").groupBy("chunk").applyInPandas(_merge, "chunk int, counts binary")
-    total = np.zeros((1 << COUNTER_BITS >> CHUNK_BITS, 1 << CHUNK_BITS), np.int64)
+    total = np.zeros((1 << COUNTER_BITS >> CHUNK_BITS, 1 << CHUNK_BITS), np.int32)
     for row in merged.collect():
-        total[row["chunk"]] = np.frombuffer(row["counts"], np.int64)
+        total[row["chunk"]] = np.frombuffer(zlib.decompress(row["counts"]), np.int32)
     return total.reshape(-1)
 
 
+def _sketch(own: np.ndarray) -> np.ndarray:
+    odd = np.bincount((own & np.uint64(SKETCH_BITS - 1)).astype(np.int64), minlength=SKETCH_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def prefix_size(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
@@ -70,12 +81,13 @@ def _described(percent: int, counts, with_set: bool):
         number = counts.value if counts is not None else None
         for batch in batches:
             for part in slices(batch, "text"):
-                n, one, two, tokens = [], [], [], []
+                n, one, two, tokens, sketches = [], [], [], [], []
                 for own in _sets(part.column("text")):
                     n.append(len(own))
                     # Two independent sums over the set tell sets apart.
                     one.append(int(mixed(own).sum(dtype=np.uint64).astype(np.int64)))
                     two.append(int(mixed(own ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).astype(np.int64)))
+                    sketches.append(_sketch(own))
                     if with_set:
                         tokens.append(own.view(np.int64))
                     else:
@@ -83,8 +95,8 @@ def _described(percent: int, counts, with_set: bool):
                         size = prefix_size(len(own), percent) if len(own) else 0
                         tokens.append(own[np.lexsort((own, often))[:size]].view(np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(tokens, pa.list_(pa.int64()))],
-                    names=["id", "n", "d1", "d2", "tokens"],
+                    [part.column("id"), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(tokens, pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.int64()))],
+                    names=["id", "n", "d1", "d2", "tokens", "sketch"],
                 )
 
     return describe
@@ -126,11 +138,11 @@ def jaccard_components(df: DataFrame, text: str = "text", identity: str = "doc_i
     """
     spark = df.sparkSession
     texts = df.select(F.col(identity).alias("id"), F.col(text).alias("text"))
-    counts = spark.sparkContext.broadcast(shingle_counts(texts.select("text")).astype(np.int64))
-    schema = "id long, n long, d1 long, d2 long, tokens array<bigint>"
+    counts = spark.sparkContext.broadcast(shingle_counts(texts.select("text")))
+    schema = "id long, n long, d1 long, d2 long, tokens array<bigint>, sketch array<bigint>"
     base = stored(texts.mapInArrow(_described(percent, counts, False), schema))
     classes = stored(
-        base.where("n > 0 and id is not null").groupBy("d1", "d2").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.min_by("tokens", "id").alias("tokens"))
+        base.where("n > 0 and id is not null").groupBy("d1", "d2").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.min_by("tokens", "id").alias("tokens"), F.min_by("sketch", "id").alias("sketch"))
     )
     postings = classes.select("id", "n", F.explode("tokens").alias("token"))
     shared = postings.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token")
@@ -142,7 +154,19 @@ def jaccard_components(df: DataFrame, text: str = "text", identity: str = "doc_i
     labels = names.select("id", F.col("id").alias("label"))
 
     def verified(pairs: DataFrame) -> DataFrame:
-        """pairs: a, b and their labels. Those that link, as pairs of labels."""
+        """pairs: a, b, their sizes and labels. Those that link, as pairs of labels."""
+        sketch = classes.select("id", "sketch")
+        differ = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("int")), F.lit(0), lambda total, n: total + n)
+        close = (
+            pairs.join(sketch.select(F.col("id").alias("a"), F.col("sketch").alias("sa")), "a")
+            .join(sketch.select(F.col("id").alias("b"), F.col("sketch").alias("sb")), "b")
+            # Of a + b tokens no more than (1 - t) / (1 + t) may be on one side only.
+            .where(differ * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent))
+            .select("a", "b", "la", "lb")
+        )
+        pairs = stored(close)
+        if pairs.isEmpty():
+            return pairs.select(F.col("la").alias("a"), F.col("lb").alias("b"))
         x = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
         y = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
         both = pairs.join(x, "a").join(y, "b")
@@ -166,11 +190,14 @@ def jaccard_components(df: DataFrame, text: str = "text", identity: str = "doc_i
         proposals = (
             named.join(pivots, "token")
             .where((F.col("label") != F.col("p.label")) & _near(F.col("n"), F.col("p.n"), percent))
-            .groupBy(F.col("id").alias("a"), F.col("p.id").alias("b"), F.col("label").alias("la"), F.col("p.label").alias("lb"))
+            .groupBy(
+                F.col("id").alias("a"), F.col("p.id").alias("b"), F.col("n").alias("na"), F.col("p.n").alias("nb"),
+                F.col("label").alias("la"), F.col("p.label").alias("lb"),
+            )
             .agg(F.count(F.lit(1)).alias("c"))
         )
         best = Window.partitionBy("a").orderBy(F.desc("c"), "b")
-        pairs = stored(proposals.withColumn("place", F.row_number().over(best)).where(F.col("place") <= PROPOSALS).select("a", "b", "la", "lb"))
+        pairs = stored(proposals.withColumn("place", F.row_number().over(best)).where(F.col("place") <= PROPOSALS).drop("c", "place"))
         if pairs.isEmpty():
             break
         labels = merged(labels, verified(pairs))
@@ -181,7 +208,7 @@ def jaccard_components(df: DataFrame, text: str = "text", identity: str = "doc_i
     rest = stored(named.join(open_blocks, "token"))
     a = rest.select("token", F.col("id").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"))
     b = rest.select("token", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
-    pairs = a.join(b, "token").where((F.col("la") < F.col("lb")) & _near(F.col("na"), F.col("nb"), percent)).select("a", "b", "la", "lb").distinct()
+    pairs = a.join(b, "token").where((F.col("la") < F.col("lb")) & _near(F.col("na"), F.col("nb"), percent)).drop("token").distinct()
     labels = merged(labels, verified(stored(pairs)))
 
     named = classes.select("d1", "d2", "id").join(labels, "id", "left").select("d1", "d2", F.coalesce("label", "id").alias("class"))

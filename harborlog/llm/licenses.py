@@ -103,7 +103,9 @@ class Templates:
 
 
 def _widest(matches: list[tuple[int, float]], sets: list[np.ndarray]) -> list[tuple[int, float]]:
-    """Of the templates of one block, those that no other one with more words includes."""
+    """Of the templates of one block those that fit best, without those that another one includes."""
+    best = max(c for _, c in matches)
+    matches = [m for m in matches if m[1] == best]
     return [(t, c) for t, c in matches if not any(u != t and len(sets[u]) > len(sets[t]) and np.isin(sets[t], sets[u]).all() for u, _ in matches)]
 
 
@@ -114,7 +116,8 @@ def scan(
     """Per row: identity, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
     Words are runs of ASCII letters and digits and of all other characters beyond ASCII, A-Z in lower case. labels has the base
-    labels and those of the templates found; of templates of which one includes another in the same block the wider one counts.
+    labels and those of the templates found; of several in a block those of greatest containment count, the wider of two of which
+    one includes the other.
     score is the best containment, and 1 where a base phrase stands. Null and empty texts have no words and score 0.
     """
     spark = df.sparkSession
