@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborlog.llm import contamination, jaccard, language, licenses, lines, packing, secrets, shards, topk
+from harborlog.llm import contamination, jaccard, language, licenses, lines, packing, repeats, secrets, shards, topk
 from harborlog.plans import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,3 +99,8 @@ def op3_secret_scan(spark, sf_dir):
 @registered
 def op9_license_scan(spark, sf_dir):
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@registered
+def op7_repeated_passages(spark, sf_dir):
+    return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
