@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harborlog.llm import contamination, jaccard, language, lines, packing
-from harborlog.llm.queries import held_out, public_vocabulary, table
+from harborlog.llm.queries import byte_bpe, held_out, public_vocabulary, table
 from harborlog.plans import new_folder, ship
 
 #: A language's least share of a text's probability.
@@ -52,7 +52,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The rest as sequences of 1024 tokens."""
     ship(spark)
-    return packing.pack(docs, public_vocabulary("byte_bpe_50k.json"))
+    return packing.pack(docs, *byte_bpe())
 
 
 STAGES = [

@@ -8,6 +8,7 @@ and combinations only, whose number depends on the window. Pieces find their pla
 
 from __future__ import annotations
 
+import base64
 import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -127,27 +128,28 @@ def plan(histogram: np.ndarray, window: int) -> Plan:
     return Plan(*columns, sequence)
 
 
-_tokenizers: dict[str, object] = {}
+_encodings: dict[tuple[str, str], object] = {}
 
 
-def _tokenizer(path: str):
-    if path not in _tokenizers:
-        from tokenizers import Tokenizer
+def encoding(ranks_path: str, pattern: str):
+    """The byte-level BPE of a file with a base64 piece and its rank in each line; special tokens are ordinary text."""
+    if (ranks_path, pattern) not in _encodings:
+        import tiktoken
 
-        _tokenizers[path] = Tokenizer.from_file(path)
-        _tokenizers[path].encode_special_tokens = True
-    return _tokenizers[path]
+        with open(ranks_path, "rb") as lines:
+            ranks = {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, lines)}
+        _encodings[ranks_path, pattern] = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    return _encodings[ranks_path, pattern]
 
 
-def _cut(path: str, window: int, end_id: int):
+def _cut(ranks_path: str, pattern: str, window: int, end_id: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _tokenizer(path)
+        known = encoding(ranks_path, pattern)
         for batch in batches:
             for part in slices(batch, "text", 1 << 20):
-                texts = [t or "" for t in part.column("text").to_pylist()]
                 row, start, length, crc, total = [], [], [], [], []
-                for k, one in enumerate(encode.encode_batch_fast(texts, add_special_tokens=False)):
-                    ids = np.array([*one.ids, end_id], "<u4")
+                for k, value in enumerate(part.column("text").to_pylist()):
+                    ids = np.array([*known.encode_ordinary(value or ""), end_id], "<u4")
                     for low in range(0, len(ids), window):
                         piece = ids[low : low + window]
                         row.append(k)
@@ -163,8 +165,10 @@ def _cut(path: str, window: int, end_id: int):
     return cut
 
 
-def pack(df: DataFrame, tokenizer_path: str, window: int = 1024, text: str = "text", identity: str = "doc_id", end_id: int = 0) -> DataFrame:
-    """Cut every text's tokens, followed by ``end_id``, into pieces and place these in sequences of at most ``window`` tokens.
+def pack(
+    df: DataFrame, ranks_path: str, pattern: str, window: int = 1024, text: str = "text", identity: str = "doc_id", end_id: int = 0
+) -> DataFrame:
+    """Cut every text's tokens (byte-level BPE by the ranks of its pieces, words cut by the pattern), followed by ``end_id``, into pieces and place these in sequences of at most ``window`` tokens.
 
     Per piece: identity, start, length, ids_crc32, doc_tokens, sequence_id, offset. A null or empty text is the end alone.
     Repeated rows are packed as often as they occur. An empty table has no sequences.
@@ -172,7 +176,7 @@ def pack(df: DataFrame, tokenizer_path: str, window: int = 1024, text: str = "te
     spark = df.sparkSession
     rows = df.select(F.col(identity).alias("id"), F.col(text).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    cut = rows.mapInArrow(_cut(tokenizer_path, window, end_id), f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long")
+    cut = rows.mapInArrow(_cut(ranks_path, pattern, window, end_id), f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long")
     pieces = stored(cut.withColumn("row", F.monotonically_increasing_id()))
     counts = pieces.groupBy("length").count().collect()  # at most one row per length
     histogram = np.zeros(window + 1, np.int64)

@@ -1,0 +1,292 @@
+"""The operators against plain versions, with nulls, empty and long texts, ties, repeated rows, empty tables, odd columns."""
+
+from __future__ import annotations
+
+import random
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from brute import components, leaks, low, shingles, without_lines, without_repeats
+from pyspark.sql import functions as F
+
+from tokenizers import Tokenizer
+
+from harborlog.plans import new_folder
+from harborlog.llm import bytewords, contamination, jaccard, language, licenses, lines, packing, queries, repeats, secrets, shards, topk
+
+public_tokenizers = pytest.importorskip("public_tokenizers")
+
+SCHEMA = "doc_id long, text string, lang string, shard string, label string, id string"
+
+
+def corpus(n: int = 60, seed: int = 3) -> dict:
+    """Invented texts with copies, near copies, shared lines and passages, and every odd case."""
+    chance = random.Random(seed)
+    vocabulary = ["".join(chance.choices("abcdefghilmnorstuü", k=chance.randint(2, 9))) for _ in range(400)]
+
+    def prose(k):
+        return " ".join(chance.choices(vocabulary, k=k))
+
+    shared, passage, base = "Shared  Line here", prose(40), prose(120)
+    out = {}
+    for i in range(n):
+        kind = i % 6
+        text = prose(chance.randint(1, 90))
+        if kind == 1:
+            text = f"{text}\n \t{shared.upper()}\n{prose(6)}"
+        elif kind == 2:
+            words = base.split(" ")
+            for _ in range(chance.randint(0, 4)):
+                words[chance.randrange(len(words))] = chance.choice(vocabulary)
+            text = " ".join(words)
+        elif kind == 3:
+            text = f"{text} {passage}\n{prose(20)} {passage if i % 4 else ''}"
+        elif kind == 4 and i > 6:
+            text = out[i - 6]
+        out[i] = text
+    out |= {n: None, n + 1: "", n + 2: " \n\t", n + 3: "one two", n + 4: "One  TWO", n + 5: prose(30_000), n + 6: "é" * 5000, n + 7: "\n\n\n"}
+    return out
+
+
+@pytest.fixture(scope="module")
+def texts():
+    return corpus()
+
+
+@pytest.fixture(scope="module")
+def table(spark, texts):
+    rows = [(i, t, "xy"[i % 2], "s", "l", "i") for i, t in texts.items()]
+    return spark.createDataFrame(rows, SCHEMA).repartition(5)
+
+
+@pytest.fixture(scope="module")
+def nothing(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def test_words_match_a_plain_split():
+    column = pa.array(["Ab  cd\tEF", "", None, "x" * 600_000 + " y " + "z " * 200_000, " \n"])
+    found = bytewords.words(column)
+    assert np.diff(found.first).tolist() == [len(low(t or "").split()) for t in column.to_pylist()]
+    assert bytewords.words(pa.array(["AB ab"])).hash[0] == bytewords.words(pa.array(["q ab"])).hash[1]
+
+
+def test_sharding(table, texts, nothing):
+    out = shards.shard(table.select("doc_id", "text"), ["doc_id"], 7, seed=5).collect()
+    assert {(r.shard, r.slot) for r in out} == {(i % 7, i // 7) for i in range(len(texts))}
+    assert all(shards.locate(r.row_number, len(texts), 7, 5) == (r.shard, r.slot) for r in out)
+    assert all(shards.row_at(r.shard, r.slot, len(texts), 7, 5) == r.row_number for r in out)
+    assert [r.row_number for r in sorted(out, key=lambda r: r.doc_id)] == list(range(len(texts)))
+    assert shards.shard(nothing, ["doc_id"], 4).count() == 0
+
+
+def test_sharding_of_repeated_rows(spark):
+    rows = spark.createDataFrame([(None,)] * 40 + [(7,)] * 60 + [(i,) for i in range(5)], "doc_id long").repartition(6)
+    out = shards.shard(rows, ["doc_id"], 4).collect()
+    assert sorted((r.shard, r.slot) for r in out) == sorted((i % 4, i // 4) for i in range(105))
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 17, 100, 1023])
+def test_permutation(n):
+    p = shards.Permutation(n, 9)
+    assert sorted(map(p, range(n))) == list(range(n))
+    assert all(p.inverse(p(i)) == i for i in range(n))
+
+
+def test_line_dedup(table, texts, nothing):
+    out = {r.doc_id: (r.n_lines, r.n_dropped, r.kept_text) for r in lines.drop_frequent_lines(table, min_docs=4).collect()}
+    assert out == dict(zip(texts, without_lines(list(texts.values()), 4)))
+    assert lines.drop_frequent_lines(nothing).count() == 0
+
+
+def test_line_dedup_counts_repeated_rows(spark):
+    rows = spark.createDataFrame([(1, "a\nb\na")] * 3 + [(2, "a"), (None, "c")], "doc_id long, text string")
+    out = lines.drop_frequent_lines(rows, min_docs=4)
+    assert sorted((r.doc_id or 0, r.kept_text) for r in out.collect()) == [(0, "c"), (1, "b"), (1, "b"), (1, "b"), (2, "")]
+
+
+def test_line_runs_by_batches(spark, tmp_path):
+    runs = lines.LineRuns(spark, str(tmp_path), 5, fanout=2)
+    for n in range(7):
+        runs.add(spark.createDataFrame([(1, 1, 1), (2, n, 1), (3, 3, 5 * (n == 0) + 1)], lines.LineRuns.SCHEMA))
+    assert {(r["__h1"], r["__h2"]) for r in runs.frequent_lines().collect()} == {(1, 1), (3, 3)}
+    assert len(runs.levels) > 2
+
+
+def test_jaccard_components(table, texts, nothing):
+    out = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_components(table).collect()}
+    assert out == components(texts)
+    assert jaccard.jaccard_components(nothing).count() == 0
+
+
+def test_jaccard_of_a_chain(spark):
+    """Links that only a chain of near copies makes, and many near copies of one text."""
+    chance = random.Random(1)
+    base, found = [f"w{i}" for i in range(60)], {}
+    for i in range(40):
+        base[chance.randrange(60)] = f"x{i}"
+        found[100 - i] = " ".join(base)
+    out = jaccard.jaccard_components(spark.createDataFrame(list(found.items()), "doc_id long, text string"))
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in out.collect()} == components(found)
+
+
+def test_contamination(spark, table, texts, nothing):
+    words = texts[3].split()
+    items = {1: " ".join(words[5:40]), 2: "one two", 3: None, 4: "", 5: "not there at all of course", 6: " ".join(texts[65].split()[20_000:20_060]).upper()}
+    tests = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    out = {(r.doc_id, r.item_id, r.n_item, r.n_shared) for r in contamination.find_items(table, tests).collect()}
+    assert out == leaks(texts, items)
+    assert contamination.find_items(nothing, tests).count() == contamination.find_items(table, tests.where("false")).count() == 0
+
+
+def test_contamination_in_blocks(spark, table, texts, monkeypatch):
+    items = {i: texts[i] for i in range(0, 30, 3)}
+    monkeypatch.setattr(contamination, "BLOCK_BYTES", 1000)
+    out = contamination.find_items(table, spark.createDataFrame(list(items.items()), "item_id long, text string"))
+    assert {(r.doc_id, r.item_id, r.n_item, r.n_shared) for r in out.collect()} == leaks(texts, items)
+
+
+def test_packing(table, texts, nothing):
+    out = packing.pack(table, *queries.byte_bpe(), window=64).collect()
+    encode = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    encode.encode_special_tokens = True
+    ids = {i: np.array([*encode.encode(t or "", add_special_tokens=False).ids, 0], "<u4") for i, t in texts.items()}
+    for i, own in ids.items():
+        at = 0
+        for r in sorted((r for r in out if r.doc_id == i), key=lambda r: r.start):
+            assert (r.start, r.doc_tokens, r.ids_crc32) == (at, len(own), zlib.crc32(own[at : at + r.length].tobytes()))
+            at += r.length
+        assert at == len(own)
+    sequences: dict = {}
+    for r in sorted(out, key=lambda r: r.offset):
+        assert sequences.setdefault(r.sequence_id, 0) == r.offset
+        sequences[r.sequence_id] += r.length
+    assert max(sequences.values()) <= 64
+    assert sum(sequences.values()) > 0.97 * 64 * len(sequences)
+    assert packing.pack(nothing, *queries.byte_bpe()).count() == 0
+
+
+def test_ids_are_those_of_the_json_file():
+    encode = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    encode.encode_special_tokens = True
+    odd = ["", "a  b", "a \n b", " x", "\u3000 z a", "don't 's 're <|endoftext|> x", "é ñ ü", "日本 語", "1 2 3 ,, .\t b", "a \x1c b", "tail ", "😀" * 50, "a" * 3000]
+    known = packing.encoding(*queries.byte_bpe())
+    assert [known.encode_ordinary(t) for t in odd] == [e.ids for e in encode.encode_batch(odd, add_special_tokens=False)]
+
+
+def test_packing_plan_uses_every_piece_once():
+    histogram = np.zeros(101, np.int64)
+    histogram[[1, 7, 30, 33, 34, 50, 66, 99, 100]] = [3, 500, 20, 100, 90, 41, 60, 5, 8]
+    plan = packing.plan(histogram, 100)
+    assert plan.sequences <= 1.05 * (np.arange(101) * histogram).sum() / 100
+    assert len(plan.rank) == len(plan.length)
+
+
+def test_repeats(table, texts, nothing):
+    out = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in repeats.remove_repeats(table).collect()}
+    assert out == without_repeats(texts, 100)
+    assert repeats.remove_repeats(nothing).count() == 0
+
+
+def test_top_k(spark):
+    chance = np.random.default_rng(2)
+    vectors = np.round(chance.normal(size=(300, 6)), 1)
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(vectors)]
+    rows += [(300, None), (301, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (302, [float("nan")] * 6), (303, [float("inf")] * 6), (None, [1.0] * 6)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(4)
+    out = topk.top_k(table, table.where("vec_id % 20 = 0"), 5).collect()
+    whole = np.floor(64 * vectors.astype(np.float32).astype(float)).astype(int)
+    for q in range(0, 300, 20):
+        score = whole @ whole[q]
+        best = [i for i in np.lexsort((np.arange(300), -score)) if i != q][:5]
+        assert [(r.vec_id, r.score) for r in sorted((r for r in out if r.query_id == q), key=lambda r: r["rank"])] == [(i, score[i]) for i in best]
+    assert {r.query_id for r in out} == set(range(0, 300, 20))
+    assert topk.top_k(table.where("false"), table, 5).count() == 0
+
+
+def test_licenses(spark, nothing):
+    rows = {
+        1: "x\nLicensed under CC BY-NC 4.0.\ny", 2: "General Public\nLicense, all rights reserved; all RIGHTS reserved", 3: None, 4: "", 5: "the license",
+        6: "a Released under the terms of the MIT License b", 7: "Licensed under the Apache License, Version 2.0 (see file)", 8: "cc-by",
+    }
+    out = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(list(rows.items()), "doc_id long, text string")).collect()}
+    assert {i: (r.n_base, r.first_word, r.last_word, r.base_labels, r.labels, r.score) for i, r in out.items()} == {
+        1: (1, 3, 3, "cc-by", "cc-by,cc-by-nc-4.0", 1.0), 2: (3, 0, 6, "gpl,reserved", "gpl,reserved", 1.0), 3: (0, None, None, "", "", 0.0),
+        4: (0, None, None, "", "", 0.0), 5: (0, None, None, "", "", 0.0), 6: (0, None, None, "", "mit", 1.0), 7: (0, None, None, "", "apache-2.0", 1.0),
+        8: (1, 0, 0, "cc-by", "cc-by", 1.0),
+    }
+    assert licenses.scan(nothing).count() == 0
+
+
+def test_secrets(spark, nothing):
+    chance = random.Random(4)
+
+    def key(letters, k):
+        return "".join(chance.choices(letters, k=k))
+
+    rows, real = [], set()
+    for i in range(120):
+        prose = " ".join(key("aeioulmnrst", chance.randint(2, 9)) for _ in range(20))
+        if i % 3 == 0:
+            value = "AKIA" + key("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 15) + "2"
+            real.add(i)
+            prose += f"\nuse {value} now"
+        elif i % 3 == 1:
+            prose += "\nSOMEVERYLONGSHOUTEDWORDS here"
+        rows.append((i, prose, "a/b"))
+    rows += [(200, None, None), (201, "", "x")]
+    out = secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, text string, path string"), public_tokenizers.path("byte_bpe_50k.tiktoken"), path="path")
+    found = out.collect()
+    assert {r.doc_id for r in found} == real and all(r.line == 1 and r.word == 1 for r in found)
+    assert secrets.find_secrets(nothing, public_tokenizers.path("byte_bpe_50k.tiktoken")).count() == 0
+
+
+def test_language(spark, nothing):
+    chance = random.Random(5)
+    parts = {"aa": ["the", "ing", "wh", "ou", "nd"], "bb": ["sch", "ei", "ung", "ü", "ber"]}
+    rows = [(i, " ".join("".join(chance.choices(parts[k], k=3)) for _ in range(30)), k) for i, k in enumerate(["aa", "bb"] * 40)]
+    odd = [(90, None, "aa"), (91, "", None), (92, "12 34 !!", "bb"), (93, "ü" * 4000, None)]
+    table = spark.createDataFrame(rows + odd, "doc_id long, text string, lang string")
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    model = language.train(table.where("doc_id < 40"), path)
+    out = {r.doc_id: (r.lang_pred, r.score) for r in language.predict(table, model).collect()}
+    assert all(out[i][0] == k for i, _, k in rows)
+    assert [out[i] for i in (90, 91, 92)] == [("und", 0.0)] * 3 and out[93][0] == "bb"
+    assert language.train(nothing, path).languages == []
+    assert {r.lang_pred for r in language.predict(table, language.train(nothing, path)).collect()} == {"und"}
+
+
+def test_scores_sum_over_segmentations():
+    pieces = np.unique(bytewords.span_hashes(np.frombuffer(b"ababc", np.uint8), np.array([0, 1, 2, 2, 4]), np.array([1, 2, 4, 5, 5])))
+    chance = np.full((len(pieces), 1), 0.1)
+    # ab|c, a|b|c, abc
+    assert np.isclose(np.exp(language.word_scores([b"abc"], pieces, chance)[0, 0]), 0.1 + 0.01 + 0.001)
+
+
+def test_pipeline_stages(spark, sf_dir):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    path = lambda name: new_folder(spark, name)
+    current = dict(texts)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        where = path(name)
+        stage(spark, docs, sf_dir).write.parquet(where)
+        docs = spark.read.parquet(where)
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+        got = {r.doc_id: r.text for r in docs.collect()}
+        if name == "language_id":
+            assert len(got) >= 0.99 * len(current)
+        elif name == "line_dedup":
+            assert got == {i: k for (i, _), (_, _, k) in zip(current.items(), without_lines(list(current.values()), 10))}
+        elif name == "near_duplicates":
+            assert set(got) == {i for i, (_, c) in components(current).items() if c == i}
+        else:
+            items = {r.item_id: r.text for r in queries.table(spark, sf_dir, "benchmark").collect()}
+            assert set(current) - set(got) == {i for i, *_ in leaks(current, items)}
+        current = got
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir)
+    assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == set(current)
