@@ -54,6 +54,14 @@ class IngestConfig:
     def positions_root(self) -> str:
         return f"{self.base_path.rstrip('/')}/{self.logs_dir}/positions"
 
+    @property
+    def held_root(self) -> str:
+        return f"{self.base_path.rstrip('/')}/{self.logs_dir}/held"
+
+    @property
+    def clock_root(self) -> str:
+        return f"{self.base_path.rstrip('/')}/{self.logs_dir}/clock"
+
     @property
     def staging_root(self) -> str:
         return f"{self.topics_root}/_staging"

@@ -30,11 +30,11 @@ def by_payload_field(field: str = "payload.protocol", unknown: str = UNKNOWN) ->
 
 
 def by_field(field: str) -> Partitioner:
-    """``<field>=<value>``"""
+    """``<field>=<value>``; a null value is written ``null``."""
     if not field:
         raise ValueError("a field partitioner needs a field name")
     label = field.rsplit(".", 1)[-1]
-    return lambda records: F.concat(F.lit(f"{label}="), F.col(field).cast("string"))
+    return lambda records: F.concat(F.lit(f"{label}="), F.coalesce(F.col(field).cast("string"), F.lit("null")))
 
 
 def by_time(
@@ -47,21 +47,22 @@ def by_time(
     """Ingest time floored to ``duration_ms`` and formatted as a path.
 
     ``millis`` defaults to the clock of the query. The week-year letter ``Y`` is read as the calendar year, which
-    is what path formats written for older formatters mean by it. Needs ``spark.sql.session.timeZone=UTC``.
+    is what path formats written for older formatters mean by it. The zone and the language of the path are those given
+    here, whatever the session's are; a null time gives ``null``.
     """
     if duration_ms <= 0:
         raise ValueError("a time partitioner needs a positive duration")
     if not path_format:
         raise ValueError("a time partitioner needs a path format")
     pattern = _calendar_years(path_format).rstrip("/")
-    if not locale.lower().startswith("en") and _has_text_fields(pattern):
-        raise ValueError("month and day names are only written in English; use numeric fields")
+    options = {"timestampFormat": pattern, "timeZone": timezone, "locale": locale.replace("_", "-")}
 
     def token(records: DataFrame) -> Column:
         moment = millis if millis is not None else F.unix_millis(F.current_timestamp())
         floored = F.floor(moment / F.lit(duration_ms)).cast("bigint") * F.lit(duration_ms)
-        local = F.from_utc_timestamp(F.timestamp_millis(floored), timezone)
-        return F.date_format(local, pattern)
+        # date_format() knows no zone but the session's; the JSON writer takes one, and a language.
+        written = F.to_json(F.struct(F.timestamp_millis(floored).alias("at")), options)
+        return F.coalesce(F.get_json_object(written, "$.at"), F.lit("null"))
 
     return token
 
@@ -96,8 +97,3 @@ def _unquoted(pattern: str, rewrite: Callable[[str], str]) -> str:
 
 def _calendar_years(pattern: str) -> str:
     return _unquoted(pattern, lambda piece: piece.replace("Y", "y"))
-
-
-def _has_text_fields(pattern: str) -> bool:
-    fields = "".join(re.split(r"'[^']*'", pattern))
-    return bool(re.search(r"M{3,}|L{3,}|E|a|G", fields))

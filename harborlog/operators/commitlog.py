@@ -99,18 +99,29 @@ def replay(
 def _in_order(due: DataFrame) -> DataFrame:
     """The pairs that get both their source and their target when pairs are carried out in order of ``seq``.
 
-    A pair that comes first for its source and for its target is carried out, and then all others of that source or
-    target fall away; what is left goes through the same again. Logs name a source or target twice only after
-    failures, so one round is the rule.
+    A pair whose source and target no other pair names is carried out as it is. Of the others, one that comes first for its
+    source and for its target is carried out, and then all others of that source or target fall away; what is left goes
+    through the same again. Logs name a source or target twice only after failures, so as a rule there are no others.
     """
-    left, done = stored(due), None
+    due = stored(due)
+    several = [
+        due.groupBy(*TOPIC_PARTITION, name).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*TOPIC_PARTITION, name)
+        for name in ("temp_file", "committed_file")
+    ]
+    shared = due.join(several[0], [*TOPIC_PARTITION, "temp_file"], "left_semi").unionByName(
+        due.join(several[1], [*TOPIC_PARTITION, "committed_file"], "left_semi")
+    )
+    left = stored(shared.select(due.columns).distinct())
+    if left.isEmpty():
+        return due
+    done = due.join(left.select(*TOPIC_PARTITION, "seq"), [*TOPIC_PARTITION, "seq"], "left_anti").select(due.columns)
     while True:
         firsts = left
         for name in ("temp_file", "committed_file"):
             first = left.groupBy(*TOPIC_PARTITION, name).agg(F.min("seq").alias("seq"))
             firsts = firsts.join(first, [*TOPIC_PARTITION, name, "seq"], "left_semi")
         firsts = stored(firsts.select(due.columns))
-        done = firsts if done is None else done.unionByName(firsts)
+        done = done.unionByName(firsts)
         for name in ("temp_file", "committed_file"):
             left = left.join(firsts.select(*TOPIC_PARTITION, name), [*TOPIC_PARTITION, name], "left_anti")
         left = stored(left.select(due.columns))

@@ -6,6 +6,7 @@ the first time, plans the same files, and finds those it already published.
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable
 
@@ -20,8 +21,7 @@ from harborlog.operators.acceptance import accept_monotonic, accept_strict
 from harborlog.operators.files import FILE_KEY, file_plan, with_directory
 from harborlog.operators.payload import FAILFAST, MessageType, dead_letters, decode, decoded, reencode
 from harborlog.operators.positions import resume
-from harborlog.operators.rotation import rotate_by_count, rotate_ranked
-from harborlog.plans import new_folder, stored
+from harborlog.plans import new_folder, ranked, stored
 from harborlog.sinks import paths
 from harborlog.sinks.formats import OutputFormat, format_for
 from harborlog.sinks.publish import Part, publish
@@ -30,6 +30,9 @@ from harborlog.sources.manifest import read_manifest
 from harborlog.streaming.positions import Positions
 
 
+HELD = "_held"
+
+
 def start_ingest(
     stream: DataFrame,
     config: IngestConfig,
@@ -42,14 +45,20 @@ def start_ingest(
 ) -> StreamingQuery:
     """Ingest a stream of envelopes, one micro-batch after another.
 
-    Each micro-batch closes its files. ``trigger`` is passed on, for example ``availableNow=True`` or
-    ``processingTime="10 seconds"``; with ``rotate_interval_ms`` set and no trigger, that interval is used.
+    With ``publish_tail`` each micro-batch closes its files. Without it, files stay open over micro-batches until
+    ``flush_size`` records or ``rotate_interval_ms`` close them, and what an open file has so far is held beside the log.
+    ``trigger`` is passed on, for example ``availableNow=True`` or ``processingTime="10 seconds"``; with
+    ``rotate_interval_ms`` set and no trigger, that interval is used.
+
+    What a batch commits is kept under the id of the query, which its checkpoint keeps. A query with a new checkpoint
+    therefore starts anew, after everything that is published; the two never touch each other's parts.
     """
     if not trigger and config.rotate_interval_ms > 0:
         trigger = {"processingTime": f"{config.rotate_interval_ms} milliseconds"}
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        ingest_batch(batch, batch_id, config, message, mode, dead_letter_root, arrival)
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or _query_id(checkpoint)
+        ingest_batch(batch, batch_id, config, message, mode, dead_letter_root, arrival, query_id=query)
 
     writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     return (writer.trigger(**trigger) if trigger else writer).start()
@@ -64,31 +73,47 @@ def ingest_batch(
     dead_letter_root: str | None = None,
     arrival: str | None = None,
     on_step: Callable[[str], None] = lambda step: None,
+    query_id: str = "",
+    clock_ms: int | None = None,
 ) -> None:
     """Publish one batch. May be called again with the same batch and ``batch_id`` after any failure.
 
-    Without ``arrival``, the batch must hold each offset once, as a topic log delivers it. ``on_step`` is called after
-    each step: ``staged``, ``published``, ``committed``.
+    Without ``arrival``, records count in order of offset, and one of each offset. ``on_step`` is called after each step:
+    ``staged``, ``published``, ``committed``. ``clock_ms`` is the time of the batch, by default that of its first attempt;
+    it is committed before anything is published, so that a replay routes and closes files as before.
     """
     spark = batch.sparkSession
     output = format_for(config.format)
     scratch = new_folder(spark, "ingest")
-    staging = f"{config.staging_root}/{config.stream_id}-{batch_id}-{uuid.uuid4().hex}"
-    positions = Positions(config.positions_root, config.stream_id)
-    before = positions.read(spark, batch_id)
+    stream_id = f"{config.stream_id}-{query_id}" if query_id else config.stream_id
+    attempts = f"{config.staging_root}/{stream_id}-{batch_id}"
+    paths.delete_directory(attempts)  # left by attempts that failed
+    staging = f"{attempts}/{uuid.uuid4().hex}"
+    positions = Positions(config.positions_root, stream_id)
+    before = stored(positions.read(spark, batch_id), f"{scratch}/before")
+    clock_ms = _clock(spark, config, stream_id, batch_id, clock_ms)
 
     # Read and decode once; everything below works on this copy. Lost blocks are recomputed from the source.
-    fresh = resume(batch, before, is_stored=True)
-    landed = _landed(fresh, config, output, message, mode).persist(StorageLevel.MEMORY_AND_DISK)
+    taken = before.select(*TOPIC_PARTITION, F.col("taken_offset").alias("next_offset"))
+    fresh = resume(batch, taken, is_stored=True).withColumn(HELD, F.lit(False))
+    held = _held(spark, config, stream_id, batch_id, fresh)
+    delivered = fresh if held is None else fresh.unionByName(held)
+    landed = _landed(delivered, config, output, message, mode, clock_ms).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        accepted, spans = _accept(landed, before, config, arrival, scratch)
-        chunked = _chunked(accepted, spans, config)
+        accepted, spans = _accept(landed, taken, config, arrival, scratch)
+        spans = stored(_rotations(spans, before, config, clock_ms), f"{scratch}/rotations")
+        numbered = _chunked(accepted, spans, config)
+        chunked = numbered if config.publish_tail else numbered.where("chunk < _closed")
+        left = None if config.publish_tail else stored(
+            numbered.where("chunk >= _closed").select(*TOPIC_PARTITION, "kafka_offset"), f"{scratch}/left"
+        )
+        chunked = chunked.drop("_closed", HELD)
 
         rows = chunked
         if "decode_error" in chunked.columns:
             rows = decoded(chunked)
             if dead_letter_root is not None:
-                dead = Part(dead_letter_root, config.stream_id, batch_id)
+                dead = Part(dead_letter_root, stream_id, batch_id)
                 dead.write(dead_letters(chunked))
                 dead.commit()
         if message is not None and _keeps_value(output):
@@ -97,19 +122,23 @@ def ingest_batch(
         files = stored(_files(rows, config, output.extension), f"{scratch}/files")
         staged = output.stage(rows, files, staging)
         on_step("staged")
-        manifest = Part(config.manifest_root, config.stream_id, batch_id)
+        manifest = Part(config.manifest_root, stream_id, batch_id)
         manifest.write(publish(files, staged))
         on_step("published")
 
         # Positions follow the records taken in, not the files: a dead letter at the end moves the position as well.
+        if left is not None:
+            _hold(delivered, left, config, stream_id, batch_id)
         positions.advance(_ends(chunked, spans, config), before, batch_id)
         manifest.commit()
         on_step("committed")
         positions.forget_before(batch_id)
-        paths.delete_directory(staging)
-        paths.delete_directory(scratch)
+        for root in (config.held_root, config.clock_root):
+            Positions(root, stream_id).forget_before(batch_id)
+        paths.delete_directory(attempts)
     finally:
         landed.unpersist()
+        paths.delete_directory(scratch)
 
 
 def published_files(spark: SparkSession, config: IngestConfig) -> DataFrame:
@@ -122,7 +151,7 @@ def _keeps_value(output: OutputFormat) -> bool:
 
 
 def _landed(
-    fresh: DataFrame, config: IngestConfig, output: OutputFormat, message: MessageType | None, mode: str
+    fresh: DataFrame, config: IngestConfig, output: OutputFormat, message: MessageType | None, mode: str, clock_ms: int
 ) -> DataFrame:
     """Decode and route, keeping no more than the format writes."""
     partitioner = partitioner_for(
@@ -132,7 +161,7 @@ def _landed(
         config.path_format,
         config.timezone,
         config.locale,
-        F.unix_millis("ingest_ts") if "ingest_ts" in fresh.columns else None,
+        F.unix_millis("ingest_ts") if "ingest_ts" in fresh.columns else F.lit(clock_ms).cast("bigint"),
     )
     if message is None:
         return with_directory(fresh, partitioner)
@@ -151,43 +180,108 @@ def _accept(
     """Accepted rows; and per topic-partition the first position, the offset range and the count of them."""
 
     def spans_of(rows: DataFrame) -> DataFrame:
-        edges = rows.groupBy(*TOPIC_PARTITION).agg(
-            F.min("kafka_offset").alias("first"), F.max("kafka_offset").alias("last"), F.count(F.lit(1)).alias("n")
+        # Distinct offsets are counted by bitmaps, so that a duplicate can't make up for a gap.
+        new = F.when(~F.col(HELD), F.col("kafka_offset"))
+        bits = rows.groupBy(*TOPIC_PARTITION, F.bitmap_bucket_number("kafka_offset").alias("_bucket")).agg(
+            F.min(new).alias("first"), F.max(new).alias("last"), F.count(new).alias("n"),
+            F.min(F.when(F.col(HELD), F.col("kafka_offset"))).alias("held_first"), F.count(F.when(F.col(HELD), 1)).alias("carried"),
+            F.bitmap_construct_agg(F.bitmap_bit_position("kafka_offset")).alias("_bits"),
+        )
+        edges = bits.groupBy(*TOPIC_PARTITION).agg(
+            F.min("first").alias("first"), F.max("last").alias("last"), F.sum("n").alias("n"), F.min("held_first").alias("held_first"),
+            F.sum("carried").alias("carried"), (F.sum(F.bitmap_count("_bits")) - F.sum("carried")).alias("n_offsets"),
         )
         base = F.when(F.col("next_offset") > 0, F.col("next_offset")).otherwise(F.col("first"))
         return edges.join(before, TOPIC_PARTITION, "left").withColumn("base", base)
 
     spans = stored(spans_of(landed), f"{scratch}/delivered")
     # A log that delivers each offset once needs no per-record check where its range has no gap.
-    gap = "n <> last - first + 1 or first <> base"
-    if arrival is None and (config.acceptance == "monotonic" or spans.where(gap).isEmpty()):
-        return landed, spans
+    gap = "n > 0 and (n_offsets <> last - first + 1 or first <> base)"
+    once = spans.where("n <> n_offsets").isEmpty()
+    if arrival is None and once and (config.acceptance == "monotonic" or spans.where(gap).isEmpty()):
+        return landed, spans.withColumn("n_dropped", F.lit(0).cast("bigint"))
+    fresh = landed.where(~F.col(HELD))
+    if arrival is None and not once:
+        fresh = fresh.dropDuplicates([*TOPIC_PARTITION, "kafka_offset"])
     accept = accept_strict if config.acceptance == "strict" else accept_monotonic
-    accepted = accept(landed, before, arrival or "kafka_offset")
-    return accepted, stored(spans_of(accepted), f"{scratch}/accepted")
+    accepted = accept(fresh, before, arrival or "kafka_offset").select(landed.columns).unionByName(landed.where(HELD))
+    after = stored(spans_of(accepted), f"{scratch}/accepted")
+    delivered = spans.select(*TOPIC_PARTITION, F.col("n").alias("_n"))
+    counted = after.join(delivered, TOPIC_PARTITION, "right").withColumn("n_dropped", F.col("_n") - F.coalesce("n", F.lit(0)))
+    return accepted, counted.drop("_n").withColumns({name: F.coalesce(name, F.lit(0)) for name in ("n", "carried")})
+
+
+def _rotations(spans: DataFrame, before: DataFrame, config: IngestConfig, clock_ms: int) -> DataFrame:
+    """Per topic-partition what this batch does to its open file.
+
+    The clock is looked at once per batch, when its first record is processed. Elapsed time then closes the open file
+    with that record in it; the first record ever only starts the clock. Counts close files from there on.
+    """
+    rows = spans.join(before.select(*TOPIC_PARTITION, "rotated_ms"), TOPIC_PARTITION, "left")
+    since = F.coalesce("rotated_ms", F.lit(clock_ms).cast("bigint"))
+    fired = (F.lit(config.rotate_interval_ms) > 0) & (F.col("n") > 0) & (F.lit(clock_ms) - since >= config.rotate_interval_ms)
+    rows = rows.withColumn("fired", F.lit(False) if config.publish_tail else fired)
+    closed = F.expr(
+        f"case when fired then 1 + (n - 1) div {config.flush_size} else (carried + n) div {config.flush_size} end"
+    ).cast("bigint")
+    rows = rows.withColumn("_closed", F.coalesce(closed, F.lit(0).cast("bigint")))
+    return rows.withColumn("rotated_ms", F.when(F.col("_closed") > 0, F.lit(clock_ms)).otherwise(since).cast("bigint"))
 
 
 def _chunked(accepted: DataFrame, spans: DataFrame, config: IngestConfig) -> DataFrame:
-    """Cut into files, leaving out the unfilled last chunk unless tails are published."""
-    if config.acceptance == "strict":
-        rows = rotate_by_count(accepted, config.flush_size, spans.select(*TOPIC_PARTITION, "base"), is_stored=True)
-    else:
-        rows = rotate_ranked(accepted, config.flush_size)
-    if not config.publish_tail:
-        closed = F.expr(f"n div {config.flush_size}").alias("_closed")
-        rows = (
-            rows.join(spans.select(*TOPIC_PARTITION, closed), TOPIC_PARTITION)
-            .where("chunk < _closed")
-            .drop("_closed")
-        )
-    return rows.withColumn("file_id", _file_id())
+    """Number the file of each record; ``_closed`` files of a topic-partition are full or due."""
+    known = spans.select(*TOPIC_PARTITION, "first", "carried", "fired", "_closed")
+    rows = accepted
+    place = "(kafka_offset - first)"
+    if config.acceptance != "strict":
+        rows = ranked(accepted, TOPIC_PARTITION, "kafka_offset", "_rank")
+        place = "(_rank - 1 - carried)"
+    chunk = f"""case when {HELD} then 0
+                     when not fired then (carried + {place}) div {config.flush_size}
+                     when {place} = 0 then 0 else 1 + ({place} - 1) div {config.flush_size} end"""
+    rows = rows.join(known, TOPIC_PARTITION).withColumn("chunk", F.coalesce(F.expr(chunk), F.lit(0)).cast("bigint"))
+    return rows.drop("first", "carried", "fired", "_rank").withColumn("file_id", _file_id())
 
 
 def _ends(chunked: DataFrame, spans: DataFrame, config: IngestConfig) -> DataFrame:
-    """The position after the batch, from the small table of spans where it tells."""
+    """The positions after the batch: what is published, and what is taken in."""
+    taken = F.col("last") + 1
     if config.publish_tail:
-        return spans.select(*TOPIC_PARTITION, (F.col("last") + 1).alias("next_offset"))
-    return chunked.groupBy(*TOPIC_PARTITION).agg((F.max("kafka_offset") + 1).alias("next_offset"))
+        ends = spans.withColumns({"next_offset": taken, "taken_offset": taken})
+    else:
+        published = chunked.groupBy(*TOPIC_PARTITION).agg((F.max("kafka_offset") + 1).alias("next_offset"))
+        ends = spans.drop("next_offset").join(published, TOPIC_PARTITION, "left").withColumn("taken_offset", taken)
+    return ends.select(*TOPIC_PARTITION, "next_offset", "taken_offset", "rotated_ms", "n_dropped")
+
+
+def _held(spark: SparkSession, config: IngestConfig, stream_id: str, batch_id: int, like: DataFrame) -> DataFrame | None:
+    """Records that the stream's last batch before this one held back: fewer than a file per topic-partition."""
+    earlier = Positions(config.held_root, stream_id).last_before(batch_id)
+    return None if earlier is None else spark.read.schema(like.schema).parquet(earlier)
+
+
+def _hold(delivered: DataFrame, left: DataFrame, config: IngestConfig, stream_id: str, batch_id: int) -> None:
+    part = Part(config.held_root, stream_id, batch_id)
+    keep = delivered.join(left, [*TOPIC_PARTITION, "kafka_offset"], "left_semi").dropDuplicates([*TOPIC_PARTITION, "kafka_offset"])
+    part.write(keep.select(delivered.columns).withColumn(HELD, F.lit(True)))
+    part.commit()
+
+
+def _clock(spark: SparkSession, config: IngestConfig, stream_id: str, batch_id: int, clock_ms: int | None) -> int:
+    """The time of the batch, written down on its first attempt."""
+    name = f"batch_id={batch_id}"
+    if name in paths.subdirectories(f"{config.clock_root}/stream_id={stream_id}"):
+        return spark.read.schema("clock_ms bigint").parquet(f"{config.clock_root}/stream_id={stream_id}/{name}").first()[0]
+    now = int(time.time() * 1000) if clock_ms is None else clock_ms
+    part = Part(config.clock_root, stream_id, batch_id)
+    part.write(spark.createDataFrame([(now,)], "clock_ms bigint"))
+    part.commit()
+    return now
+
+
+def _query_id(checkpoint: str) -> str:
+    """A name for a checkpoint whose query's id isn't known."""
+    return uuid.uuid5(uuid.NAMESPACE_URL, checkpoint).hex
 
 
 def _file_id() -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,37 +12,45 @@ from harborlog.sinks import paths
 from harborlog.sinks.publish import Part
 from harborlog.sources.envelope import TOPIC_PARTITION
 
-SCHEMA = "topic string, kafka_partition int, next_offset bigint"
+SCHEMA = "topic string, kafka_partition int, next_offset bigint, taken_offset bigint, rotated_ms bigint, n_dropped bigint"
+KNOWN = ["next_offset", "taken_offset", "rotated_ms"]
 
 
 @dataclass(frozen=True)
 class Positions:
-    """One small table per batch, with a row per topic-partition; growing logs and manifests are never read for it."""
+    """One small table per batch, with a row per topic-partition; growing logs and manifests are never read for it.
+
+    ``next_offset`` follows the published files and counts for everyone. ``taken_offset`` also counts records that this stream
+    holds back for its next batch. ``rotated_ms`` is when files were last closed. ``n_dropped`` tells how many delivered
+    records at or beyond the position the batch did not accept: where it stays above 0, strict acceptance waits at a gap.
+    """
 
     root: str
     stream_id: str
 
     def read(self, spark: SparkSession, before_batch: int | None = None) -> DataFrame:
-        """Where each topic-partition continues: after earlier batches of this stream and all of other streams."""
+        """Where each topic-partition continues: after earlier batches of this stream and what others have published."""
         parts = []
         for stream in paths.subdirectories(self.root):
             if not stream.startswith("stream_id="):
                 continue
-            numbers = self._batches(stream)
-            if stream == f"stream_id={self.stream_id}" and before_batch is not None:
+            numbers, own = self._batches(stream), stream == f"stream_id={self.stream_id}"
+            if own and before_batch is not None:
                 numbers = [number for number in numbers if number < before_batch]
             if numbers:
-                parts.append(f"{self.root}/{stream}/batch_id={max(numbers)}")
+                table = spark.read.schema(SCHEMA).parquet(f"{self.root}/{stream}/batch_id={max(numbers)}")
+                if not own:
+                    table = table.withColumns({"taken_offset": F.col("next_offset"), "rotated_ms": F.lit(None).cast("bigint")})
+                parts.append(table.select(*TOPIC_PARTITION, *KNOWN))
         if not parts:
-            return spark.createDataFrame([], SCHEMA)
-        tables = spark.read.schema(SCHEMA).parquet(*parts)
-        if len(parts) == 1:
-            return tables
-        return tables.groupBy(*TOPIC_PARTITION).agg(F.max("next_offset").alias("next_offset"))
+            return spark.createDataFrame([], SCHEMA).select(*TOPIC_PARTITION, *KNOWN)
+        tables = reduce(DataFrame.unionByName, parts)
+        return tables if len(parts) == 1 else _latest(tables)
 
     def advance(self, ends: DataFrame, before: DataFrame, batch_id: int) -> None:
         """Commit the positions after a batch that ended at ``ends``; where it ended nowhere, ``before`` holds."""
-        after = before.unionByName(ends).groupBy(*TOPIC_PARTITION).agg(F.max("next_offset").alias("next_offset"))
+        none = F.lit(None).cast("bigint")
+        after = _latest(before.withColumn("n_dropped", none).unionByName(ends), "n_dropped")
         part = Part(self.root, self.stream_id, batch_id)
         part.write(after)
         part.commit()
@@ -52,5 +61,15 @@ class Positions:
         for number in [number for number in self._batches(stream) if number < batch_id][:-1]:
             paths.delete_directory(f"{self.root}/{stream}/batch_id={number}")
 
+    def last_before(self, batch_id: int) -> str | None:
+        """The folder of the stream's last batch before this one."""
+        stream = f"stream_id={self.stream_id}"
+        numbers = [number for number in self._batches(stream) if number < batch_id]
+        return f"{self.root}/{stream}/batch_id={max(numbers)}" if numbers else None
+
     def _batches(self, stream: str) -> list[int]:
         return sorted(int(name.split("=", 1)[1]) for name in paths.subdirectories(f"{self.root}/{stream}"))
+
+
+def _latest(tables: DataFrame, *more: str) -> DataFrame:
+    return tables.groupBy(*TOPIC_PARTITION).agg(*(F.max(name).alias(name) for name in [*KNOWN, *more]))

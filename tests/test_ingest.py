@@ -253,3 +253,95 @@ def test_settings():
     assert format_for("parquet") is FORMATS["parquet"]
     with pytest.raises(ValueError):
         format_for("avro")
+
+
+def deliver(spark, conf, tmp_path, parts, name="checkpoint", **options):
+    """Stream a folder that grows by one part after another."""
+    folder = str(tmp_path / f"log-{name}")
+    for part in parts:
+        part.write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(part.schema).parquet(folder)
+        start_ingest(stream, conf, str(tmp_path / name), message(), availableNow=True, **options).awaitTermination()
+
+
+@pytest.mark.parametrize("acceptance", ["strict", "monotonic"])
+def test_tail_is_held_between_micro_batches(spark, tmp_path, acceptance):
+    conf = config(tmp_path, publish_tail=False, acceptance=acceptance)
+    deliver(spark, conf, tmp_path, [log(spark, {0: (0, 23), 1: (0, 4)}), log(spark, {0: (23, 48)}), log(spark, {0: (48, 63), 1: (4, 12)})])
+    assert offsets(spark, conf) == expect({0: (0, 60), 1: (0, 10)})
+    files = read_manifest(spark, conf.manifest_root).collect()
+    assert sorted((r.kafka_partition, r.start_offset, r.end_offset) for r in files) == [
+        (0, 0, 9), (0, 10, 19), (0, 20, 29), (0, 30, 39), (0, 40, 49), (0, 50, 59), (1, 0, 9)
+    ]
+
+
+def test_time_closes_files_held_open(spark, tmp_path):
+    conf = config(tmp_path, publish_tail=False, rotate_interval_ms=1000)
+    for n, (start, stop, clock) in enumerate([(0, 4, 0), (4, 6, 500), (6, 9, 1200), (9, 11, 1300)]):
+        ingest_batch(log(spark, {0: (start, stop)}), n, conf, message(), clock_ms=clock + 10_000)
+    # The first record of the third batch closes the file that it joins.
+    assert offsets(spark, conf) == expect({0: (0, 7)})
+    held = spark.read.parquet(f"{conf.held_root}/stream_id=ingest/batch_id=3")
+    assert sorted(r.kafka_offset for r in held.collect()) == [7, 8, 9, 10]
+
+
+def test_new_checkpoint_continues_after_what_is_published(spark, tmp_path):
+    for tail in (True, False):
+        conf = config(tmp_path / str(tail), publish_tail=tail)
+        records = [log(spark, {0: (0, 20), 1: (0, 5)}), log(spark, {0: (20, 34), 1: (5, 10)})]
+        deliver(spark, conf, tmp_path, records[:1], f"one-{tail}")
+        deliver(spark, conf, tmp_path, records, f"two-{tail}")
+        assert offsets(spark, conf) == expect({0: (0, 34 if tail else 30), 1: (0, 10)})
+
+
+def test_two_queries_on_one_base_path(spark, tmp_path):
+    conf = config(tmp_path)
+    deliver(spark, conf, tmp_path, [log(spark, {0: (0, 5)}, "t")], "one")
+    deliver(spark, conf, tmp_path, [log(spark, {3: (0, 5)}, "u")], "two")
+    assert offsets(spark, conf) == expect({0: (0, 5), 3: (0, 5)})
+
+
+def test_replay_keeps_the_clock_of_the_first_attempt(spark, tmp_path):
+    conf = config(tmp_path, partitioner="time", partition_duration_ms=1000, path_format="HH-mm-ss")
+
+    def fail(step):
+        if step == "published":
+            raise InterruptedError(step)
+
+    with pytest.raises(InterruptedError):
+        ingest_batch(log(spark, {0: (0, 15)}), 0, conf, message(), on_step=fail, clock_ms=1_000)
+    ingest_batch(log(spark, {0: (0, 15)}), 0, conf, message(), clock_ms=99_000)
+    assert offsets(spark, conf) == expect({0: (0, 15)})
+    assert {path.rsplit("/", 2)[1] for path in glob.glob(f"{conf.topics_root}/t/*/*.parquet")} == {"00-00-01"}
+
+
+def test_orphan_of_the_same_name_elsewhere_is_not_trusted(spark, tmp_path):
+    conf = config(tmp_path)
+    ingest_batch(log(spark, {0: (0, 10)}), 0, conf, message())
+    (source,) = glob.glob(f"{conf.topics_root}/t/*/*.parquet")
+    other = tmp_path / "out/topics/t/other"
+    other.mkdir()
+    (other / source.rsplit("/", 1)[1]).write_bytes(open(source, "rb").read())
+    assert offsets(spark, conf) == expect({0: (0, 10)})
+    narrowed = read_committed(spark, conf.topics_root, manifest=read_manifest(spark, conf.manifest_root), topic="t", kafka_partition=0)
+    assert narrowed.count() == 10
+
+
+@pytest.mark.parametrize("acceptance", ["strict", "monotonic"])
+def test_a_duplicate_does_not_make_up_for_a_gap(spark, tmp_path, acceptance):
+    conf = config(tmp_path, acceptance=acceptance)
+    records = log(spark, {0: (0, 4)}).where("kafka_offset <> 2")
+    ingest_batch(records.unionByName(records.where("kafka_offset = 1")), 0, conf, message())
+    assert offsets(spark, conf) == [(0, 0), (0, 1)] + ([] if acceptance == "strict" else [(0, 3)])
+    known = spark.read.parquet(f"{conf.positions_root}/stream_id=ingest/batch_id=0").first()
+    assert known.n_dropped == (2 if acceptance == "strict" else 1)
+
+
+def test_nothing_is_left_in_the_shared_folder(spark, tmp_path):
+    from harborlog.plans import shared_folder
+
+    conf = config(tmp_path)
+    before = set(glob.glob(f"{shared_folder(spark)}/harborlog/ingest-*"))
+    for n in range(3):
+        ingest_batch(log(spark, {0: (n * 7, n * 7 + 7)}), n, conf, message())
+    assert set(glob.glob(f"{shared_folder(spark)}/harborlog/ingest-*")) == before

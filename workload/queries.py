@@ -30,7 +30,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 OFFSET = [*TOPIC_PARTITION, "kafka_offset"]
-DELIVERY = 1_000_000
+DELIVERIES = 3
 
 
 def registered(build: Query) -> Query:
@@ -418,6 +418,65 @@ def stream_ingest(spark, sf_dir):
     return rows.select(*TOPIC_PARTITION, "event_id", "protocol", "props")
 
 
+@registered
+def stream_rotation(spark, sf_dir):
+    """Files stay open over deliveries that are no multiples of a file, and only full ones are published."""
+    folder = new_folder(spark, "rotation")
+    records = X.records(spark, sf_dir).select(*ENVELOPE.names)
+    config = IngestConfig(base_path=f"{folder}/out", flush_size=X.FLUSH_SIZE, partitioner="protocol", publish_tail=False)
+    for log in _deliveries(records, "kafka_offset", folder):
+        start_ingest(log, config, f"{folder}/checkpoint", X.message(), availableNow=True).awaitTermination()
+    files = read_manifest(spark, config.manifest_root)
+    return files.select(*TOPIC_PARTITION, "encoded_partition", "start_offset", "end_offset", "n_records", "committed_file")
+
+
+@registered
+def resume_new_checkpoint(spark, sf_dir):
+    """The checkpoint is lost after two deliveries; a query with a new one reads the log from its start."""
+    folder = new_folder(spark, "checkpoint")
+    records = X.records(spark, sf_dir).select(*ENVELOPE.names)
+    config = IngestConfig(base_path=f"{folder}/out", flush_size=X.FLUSH_SIZE, partitioner="protocol")
+    for turn, log in enumerate(_deliveries(records, "kafka_offset", folder)):
+        start_ingest(log, config, f"{folder}/checkpoint-{turn // 2}", X.message(), availableNow=True).awaitTermination()
+    rows = sources.read_committed(spark, config.topics_root, manifest=read_manifest(spark, config.manifest_root))
+    return rows.select(*TOPIC_PARTITION, "event_id", "protocol", "props")
+
+
+@registered
+def replay_time_partitioned(spark, sf_dir):
+    """A batch routed by the clock fails between publishing and committing, and is replayed a day later."""
+    folder = new_folder(spark, "replay")
+    X.records(spark, sf_dir).select(*ENVELOPE.names).drop("ingest_ts").write.parquet(f"{folder}/log")
+    log = spark.read.parquet(f"{folder}/log")
+    config = IngestConfig(
+        base_path=f"{folder}/out", flush_size=X.FLUSH_SIZE, partitioner="time", partition_duration_ms=3_600_000, path_format="yyyy-MM-dd-HH"
+    )
+
+    def fail(step: str) -> None:
+        if step == "published":
+            raise InterruptedError(step)
+
+    try:
+        ingest_batch(log, 0, config, X.message(), on_step=fail, clock_ms=1_706_745_600_000)
+    except InterruptedError:
+        pass
+    ingest_batch(log, 0, config, X.message(), clock_ms=1_706_832_000_000)
+    rows = sources.read_committed(spark, config.topics_root, manifest=read_manifest(spark, config.manifest_root))
+    return rows.select(*TOPIC_PARTITION, "event_id", "protocol", "props")
+
+
+@registered
+def ingest_duplicates(spark, sf_dir):
+    """In each topic-partition one record is missing and another comes twice, so that the count fits the range."""
+    folder = new_folder(spark, "duplicates")
+    records = X.records(spark, sf_dir).select(*ENVELOPE.names)
+    twice = records.where("kafka_offset <> 40").unionByName(records.where("kafka_offset = 30"))
+    config = IngestConfig(base_path=f"{folder}/out", flush_size=X.FLUSH_SIZE, partitioner="protocol")
+    ingest_batch(twice, 0, config, X.message())
+    rows = sources.read_committed(spark, config.topics_root, manifest=read_manifest(spark, config.manifest_root))
+    return rows.select(*TOPIC_PARTITION, "event_id", "protocol", "props")
+
+
 @registered
 def stream_accept(spark, sf_dir):
     """The redelivered log in deliveries, accepted batch by batch; the stream is restarted for each."""
@@ -442,16 +501,12 @@ def stream_accept_stateful(spark, sf_dir):
 
 
 def _deliveries(records: DataFrame, position: str, folder: str, overlap: int = 0):
-    """Append a log to a folder part by part, in order of ``position``, and stream the folder after each part.
-
-    A part covers at most ``DELIVERY`` positions, however long the log is.
-    """
+    """Append a log to a folder part by part, in order of ``position``, and stream the folder after each part."""
     spark = records.sparkSession
     # Ranges of positions per file let each part read only its own files.
     records.repartitionByRange(position).write.parquet(f"{folder}/whole")
     whole = spark.read.schema(records.schema).parquet(f"{folder}/whole")
-    end = whole.agg(F.max(position)).first()[0] + 1
-    parts = max(3, -(-end // DELIVERY))
+    end, parts = whole.agg(F.max(position)).first()[0] + 1, DELIVERIES
     for part in range(parts):
         low, high = end * part // parts, end * (part + 1) // parts
         rows = whole.where((F.col(position) >= low - overlap) & (F.col(position) < high))
