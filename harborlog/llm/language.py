@@ -81,14 +81,21 @@ def _forward(found: np.ndarray, chance: np.ndarray) -> np.ndarray:
 
 def word_scores(terms: list[bytes], pieces: np.ndarray, chance: np.ndarray) -> np.ndarray:
     """Log probability of each term (up to WORD_BYTES) in each language, over all its segmentations."""
-    length, found = _lattice(terms, pieces)
-    total = _forward(found, chance)[length, np.arange(len(terms))]
-    return np.log(np.maximum(total, 1e-300))
+    out = np.empty((len(terms), chance.shape[1]))
+    order = np.argsort([len(t) for t in terms], kind="stable")
+    for low in range(0, len(order), 5_000):
+        some = order[low : low + 5_000]
+        length, found = _lattice([terms[i] for i in some.tolist()], pieces)
+        out[some] = np.log(np.maximum(_forward(found, chance)[length, np.arange(len(some))], 1e-300))
+    return out
 
 
 def fit(languages: list[str], terms: list[bytes], counts: np.ndarray, pieces: np.ndarray) -> Model:
     """counts: terms x languages. Expectation maximisation from equal chances that favour no segmentation length."""
     chance = np.full((len(pieces), len(languages)), 1.0 / 256)
+    # Terms of like lengths together keep the lattices narrow.
+    order = sorted(range(len(terms)), key=lambda i: len(terms[i]))
+    terms, counts = [terms[i] for i in order], counts[order]
     parts = [slice(low, low + 20_000) for low in range(0, len(terms), 20_000)]
     lattices = [_lattice(terms[p], pieces) for p in parts]
     for _ in range(ROUNDS):
