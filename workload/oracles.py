@@ -293,11 +293,11 @@ with {REC} select printf('%016X', 1706745600000) as key_hex, event_id, protocol,
     "exactly_once_ingest": f"with {REC} select topic, kafka_partition, event_id, protocol, props from rec",
     "stream_ingest": f"with {REC} select topic, kafka_partition, event_id, protocol, props from rec",
     "stream_rotation": f"""
-with {REC}, sizes as (select topic, kafka_partition, count(*) // 1000 as full from rec group by all)
+with {REC}, sizes as (select topic, kafka_partition, count(*) // 1000 as n_full from rec group by all)
 select topic, kafka_partition, protocol as encoded_partition, min(kafka_offset) as start_offset, max(kafka_offset) as end_offset,
        count(*) as n_records,
        topic || '+' || kafka_partition || '+' || printf('%010d', min(kafka_offset)) || '+' || printf('%010d', max(kafka_offset)) || '.parquet' as committed_file
-from rec join sizes using (topic, kafka_partition) where kafka_offset // 1000 < full group by topic, kafka_partition, protocol, kafka_offset // 1000""",
+from rec join sizes using (topic, kafka_partition) where kafka_offset // 1000 < n_full group by topic, kafka_partition, protocol, kafka_offset // 1000""",
     "resume_new_checkpoint": f"with {REC} select topic, kafka_partition, event_id, protocol, props from rec",
     "replay_time_partitioned": f"with {REC} select topic, kafka_partition, event_id, protocol, props from rec",
     "ingest_duplicates": f"with {REC} select topic, kafka_partition, event_id, protocol, props from rec where kafka_offset < 40",
