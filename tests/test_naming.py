@@ -125,6 +125,10 @@ def test_time_partitioner(spark):
     assert tokens(spark, H.by_time(F.col("ms"), 600_000, "HHmm"), [-1]) == ["2350"]
     with pytest.raises(ValueError):
         H.by_time(F.col("ms"), -1, path_format)
-    with pytest.raises(ValueError):
-        H.by_time(F.col("ms"), 1000, "MMM", locale="fr")
+    assert tokens(spark, H.by_time(F.col("ms"), 1000, "MMMM", locale="fr"), [0, None]) == ["janvier", "null"]
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert tokens(spark, H.by_time(F.col("ms"), 1000, "yyyy-MM-dd-HH", "Asia/Tehran"), [1704066300000]) == ["2024-01-01-03"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert len(tokens(spark, H.by_time(None, 1000, "yyyy"), [0])[0]) == 4
