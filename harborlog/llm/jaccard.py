@@ -29,8 +29,8 @@ COUNTER_BITS = 22
 CHUNK_BITS = 14
 #: Bits of a set's parity sketch. Two sketches differ in no more bits than their sets differ in tokens.
 SKETCH_BITS = 2048
-PIVOT_ROUNDS = 5
-PROPOSALS = 2
+PIVOT_ROUNDS = 4
+PROPOSALS = 6
 
 
 def _sets(column: pa.Array) -> Iterator[np.ndarray]:
