@@ -95,7 +95,7 @@ def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch({"chunk": pa.array([chunk], pa.int32()), "bits": pa.array([np.packbits(bits).tobytes()], pa.binary())})
 
 
-def _occurrences(length: int, marked):
+def _occurrences(length: int, marked, with_bytes: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = marked.value
         for batch in batches:
@@ -111,13 +111,17 @@ def _occurrences(length: int, marked):
                         stretch = data[a + low : b][: STRETCH + length - 1]
                         at, first, last = at[keep], first[keep], last[keep]
                         context = span_hashes(stretch, first, last + length)
-                        whole = stretch.tobytes()
+                        whole = stretch.tobytes() if with_bytes else b""
                         for column, value in zip(columns, (anchor[keep].view(np.int64), context.view(np.int64), at - first, last - first, np.full(len(keep), doc), first + low)):
                             column.append(value)
-                        columns[6] += [whole[x : y + length] for x, y in zip(first.tolist(), last.tolist())]
-                if columns[6]:
-                    numbers = [np.concatenate(c).astype(np.int64) for c in columns[:6]]
-                    yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in numbers), pa.array(columns[6], pa.binary())], names=["anchor", "context", "before", "behind", "doc", "start", "bytes"])
+                        if with_bytes:
+                            columns[6] += [whole[x : y + length] for x, y in zip(first.tolist(), last.tolist())]
+                if columns[0]:
+                    arrays = [pa.array(np.concatenate(c).astype(np.int64)) for c in columns[:6]]
+                    names = ["anchor", "context", "before", "behind", "doc", "start"]
+                    if with_bytes:
+                        arrays, names = [*arrays, pa.array(columns[6], pa.binary())], [*names, "bytes"]
+                    yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     return run
 
@@ -172,6 +176,14 @@ def _compare(length: int):
     return run
 
 
+def _table_of(anchors: DataFrame):
+    """A bit for each place of the table that an anchor has; a fixed size, so it may go everywhere."""
+    bits = np.zeros(((1 << PLACES_BITS) // PLACE_CHUNK, PLACE_CHUNK // 8), np.uint8)
+    for row in stored(anchors.select("anchor").mapInArrow(_mark, "chunk int, bits binary")).toLocalIterator():
+        bits[row["chunk"]] |= np.frombuffer(row["bits"], np.uint8)
+    return anchors.sparkSession.sparkContext.broadcast(bits.reshape(-1))
+
+
 def remove_repeats(df: DataFrame, length: int = 100, text: str = "text", identity: str = "doc_id") -> DataFrame:
     """Per row: identity, n_bytes, n_removed, n_spans, kept_sha256, kept (bytes).
 
@@ -183,21 +195,19 @@ def remove_repeats(df: DataFrame, length: int = 100, text: str = "text", identit
     rows = df.select(F.col(identity).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     keyed = rows.select(F.coalesce("id", F.lit((1 << 63) - 1)).cast("bigint").alias("id"), "text")
     counted = keyed.select("text").mapInArrow(_all_anchors(length), "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n"))
-    marks = counted.where("n > 1").select("anchor").mapInArrow(_mark, "chunk int, bits binary")
-    bits = np.zeros((1 << PLACES_BITS) // PLACE_CHUNK * PLACE_CHUNK // 8, np.uint8).reshape(-1, PLACE_CHUNK // 8)
-    for row in stored(marks).toLocalIterator():  # each of bounded size, one at a time
-        bits[row["chunk"]] |= np.frombuffer(row["bits"], np.uint8)
-    marked = spark.sparkContext.broadcast(bits.reshape(-1))
-    schema = "anchor long, context long, before long, behind long, doc long, start long, bytes binary"
-    found = keyed.mapInArrow(_occurrences(length, marked), schema)
-    one_class = ["anchor", "context", "before", "behind"]
+    schema = "anchor long, context long, before long, behind long, doc long, start long"
+    found = keyed.mapInArrow(_occurrences(length, _table_of(counted.where("n > 1")), False), schema)
+    one_class, first = ["anchor", "context", "before", "behind"], F.min(F.struct("doc", "start")).alias("f")
+    classes = stored(found.groupBy(*one_class).agg(first, F.count(F.lit(1)).alias("n")))
+    # Texts are read once more for the bytes of anchors of several classes, which are few.
+    several = classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    written = keyed.mapInArrow(_occurrences(length, _table_of(several), True), f"{schema}, bytes binary")
     # The bytes of a class are the same for all its rows.
-    classes = stored(found.groupBy(*one_class).agg(F.min(F.struct("doc", "start")).alias("f"), F.first("bytes").alias("bytes"), F.count(F.lit(1)).alias("n")))
-    several = classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("anchor")
-    mixed_classes = classes.join(several, "anchor").select("anchor", "before", "behind", F.col("f.doc").alias("doc"), F.col("f.start").alias("start"), "bytes")
+    mixed_classes = written.groupBy(*one_class).agg(first, F.first("bytes").alias("bytes"))
+    mixed_classes = mixed_classes.select("anchor", "before", "behind", F.col("f.doc").alias("doc"), F.col("f.start").alias("start"), "bytes")
     firsts = mixed_classes.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_compare(length), "doc long, low long, high long")
     repeated = classes.where("n > 1").select(*one_class, "f")
-    later = found.drop("bytes").join(repeated, one_class).where((F.col("doc") != F.col("f.doc")) | (F.col("start") != F.col("f.start")))
+    later = found.join(repeated, one_class).where((F.col("doc") != F.col("f.doc")) | (F.col("start") != F.col("f.start")))
     spans = later.select("doc", F.col("start").alias("low"), (F.col("start") + F.col("behind") + length).alias("high")).unionByName(firsts)
     by_doc = stored(spans.groupBy("doc").agg(F.collect_set(F.struct("low", "high")).alias("spans")))
 
