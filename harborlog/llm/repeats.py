@@ -25,7 +25,8 @@ PIECE = 20
 STRETCH = 1 << 18
 #: Places of the table of anchors that occur more than once. Anchors that share a place by chance cost work, not results.
 PLACES_BITS = 27
-PLACE_CHUNK = 1 << 21
+#: Bits of Spark's bitmaps.
+BITMAP = 1 << 15
 
 
 def _last_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -83,18 +84,6 @@ def _all_anchors(length: int):
     return run
 
 
-def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Bits of the places of anchors, by chunk."""
-    chunks: dict[int, np.ndarray] = {}
-    for batch in batches:
-        place = _place(batch.column("anchor").to_numpy().view(np.uint64))
-        for chunk in np.unique(place // PLACE_CHUNK).tolist():
-            bits = chunks.setdefault(chunk, np.zeros(PLACE_CHUNK, bool))
-            bits[place[place // PLACE_CHUNK == chunk] % PLACE_CHUNK] = True
-    for chunk, bits in chunks.items():
-        yield pa.record_batch({"chunk": pa.array([chunk], pa.int32()), "bits": pa.array([np.packbits(bits).tobytes()], pa.binary())})
-
-
 def _occurrences(length: int, marked, with_bytes: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = marked.value
@@ -105,7 +94,7 @@ def _occurrences(length: int, marked, with_bytes: bool):
                 for doc, a, b in zip(part.column("id").to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist()):
                     for low, anchor, at, first, last in _anchors(data[a:b], length):
                         place = _place(anchor)
-                        keep = np.flatnonzero((bits[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1)
+                        keep = np.flatnonzero((bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1)
                         if not len(keep):
                             continue
                         stretch = data[a + low : b][: STRETCH + length - 1]
@@ -177,10 +166,12 @@ def _compare(length: int):
 
 
 def _table_of(anchors: DataFrame):
-    """A bit for each place of the table that an anchor has; a fixed size, so it may go everywhere."""
-    bits = np.zeros(((1 << PLACES_BITS) // PLACE_CHUNK, PLACE_CHUNK // 8), np.uint8)
-    for row in stored(anchors.select("anchor").mapInArrow(_mark, "chunk int, bits binary")).toLocalIterator():
-        bits[row["chunk"]] |= np.frombuffer(row["bits"], np.uint8)
+    """A bit for each place of the table that an anchor has; a fixed size, merged by Spark, so it may go everywhere."""
+    number = F.shiftrightunsigned("anchor", 64 - PLACES_BITS) + 1
+    merged = anchors.select(F.bitmap_bucket_number(number).alias("bucket"), F.bitmap_bit_position(number).alias("bit"))
+    bits = np.zeros(((1 << PLACES_BITS) // BITMAP, BITMAP // 8), np.uint8)
+    for row in merged.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")).toLocalIterator():
+        bits[row["bucket"] - 1] = np.frombuffer(row["bits"], np.uint8)
     return anchors.sparkSession.sparkContext.broadcast(bits.reshape(-1))
 
 
