@@ -14,13 +14,16 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from harborlog.llm.bitmaps import marked, table_of
 from harborlog.llm.bytewords import mixed, shingles, slices, words
 from harborlog.plans import stored
 
@@ -29,6 +32,8 @@ COUNTER_BITS = 22
 CHUNK_BITS = 14
 #: Bits of a set's parity sketch. Two sketches differ in no more bits than their sets differ in tokens.
 SKETCH_BITS = 2048
+#: 64-bit words of the sketch that goes with every posting of the last round.
+FOLDED = 8
 PIVOT_ROUNDS = 4
 PROPOSALS = 6
 
@@ -72,6 +77,25 @@ def _sketch(own: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def _folded(i: int) -> Column:
+    """A word of the parity sketch of fewer bits."""
+    return reduce(Column.bitwiseXOR, (F.col("sketch")[k] for k in range(i, SKETCH_BITS // 64, FOLDED)))
+
+
+def _postings(table):
+    """Tokens that several classes may have, one a row."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = table.value
+        for batch in batches:
+            n = pc.list_value_length(batch.column("tokens")).to_numpy(zero_copy_only=False).astype(np.int64)
+            token = batch.column("tokens").flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+            keep = np.flatnonzero(marked(bits, token))
+            row = pa.array(np.repeat(np.arange(batch.num_rows), n)[keep])
+            yield pa.RecordBatch.from_arrays([pa.array(token[keep].view(np.int64)), batch.column("id").take(row), batch.column("n").take(row)], names=["token", "id", "n"])
+
+    return run
+
+
 def prefix_size(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
@@ -141,25 +165,23 @@ def jaccard_components(df: DataFrame, text: str = "text", identity: str = "doc_i
     counts = spark.sparkContext.broadcast(shingle_counts(texts.select("text")))
     schema = "id long, n long, d1 long, d2 long, tokens array<bigint>, sketch array<bigint>"
     base = stored(texts.mapInArrow(_described(percent, counts, False), schema))
-    classes = stored(
-        base.where("n > 0 and id is not null").groupBy("d1", "d2").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.min_by("tokens", "id").alias("tokens"), F.min_by("sketch", "id").alias("sketch"))
-    )
-    postings = classes.select("id", "n", F.explode("tokens").alias("token"))
-    shared = postings.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token")
-    live = stored(postings.join(shared, "token"))
+    whole = base.where("n > 0 and id is not null")
+    classes = stored(whole.groupBy("d1", "d2").agg(F.min("id").alias("id"), F.first("n").alias("n")))
+    heads = whole.join(classes.select("id", "d1", "d2"), ["id", "d1", "d2"], "left_semi")
+    # Tokens of a single class go before postings move.
+    shared = heads.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    postings = heads.select("id", "n", "tokens").mapInArrow(_postings(table_of(shared, "token")), "token long, id long, n long")
+    live = stored(postings.groupBy("token", "id").agg(F.first("n").alias("n")))
     names = stored(live.select("id").distinct())
-    sets = stored(
-        texts.join(names, "id", "left_semi").dropDuplicates(["id"]).mapInArrow(_described(percent, None, True), schema).select("id", "n", "tokens")
-    )
+    sketches = stored(heads.join(names, "id", "left_semi").select("id", "d1", "d2", "sketch").dropDuplicates(["id", "d1", "d2"]).select("id", "sketch"))
     labels = names.select("id", F.col("id").alias("label"))
 
     def verified(pairs: DataFrame) -> DataFrame:
         """pairs: a, b, their sizes and labels. Those that link, as pairs of labels."""
-        sketch = classes.select("id", "sketch")
         differ = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("int")), F.lit(0), lambda total, n: total + n)
         close = (
-            pairs.join(sketch.select(F.col("id").alias("a"), F.col("sketch").alias("sa")), "a")
-            .join(sketch.select(F.col("id").alias("b"), F.col("sketch").alias("sb")), "b")
+            pairs.join(sketches.select(F.col("id").alias("a"), F.col("sketch").alias("sa")), "a")
+            .join(sketches.select(F.col("id").alias("b"), F.col("sketch").alias("sb")), "b")
             # Of a + b tokens no more than (1 - t) / (1 + t) may be on one side only.
             .where(differ * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent))
             .select("a", "b", "la", "lb")
@@ -167,6 +189,9 @@ def jaccard_components(df: DataFrame, text: str = "text", identity: str = "doc_i
         pairs = stored(close)
         if pairs.isEmpty():
             return pairs.select(F.col("la").alias("a"), F.col("lb").alias("b"))
+        ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
+        own = texts.join(ids, "id", "left_semi").dropDuplicates(["id", "text"])
+        sets = stored(own.mapInArrow(_described(percent, None, True), schema).select("id", "n", "tokens"))
         x = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
         y = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
         both = pairs.join(x, "a").join(y, "b")
@@ -205,10 +230,14 @@ def jaccard_components(df: DataFrame, text: str = "text", identity: str = "doc_i
     # All that is left: both ends share a token, and nothing connects them so far.
     named = stored(live.join(labels, "id").select("token", "id", "n", "label"))
     open_blocks = named.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("token")
-    rest = stored(named.join(open_blocks, "token"))
-    a = rest.select("token", F.col("id").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"))
-    b = rest.select("token", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
-    pairs = a.join(b, "token").where((F.col("la") < F.col("lb")) & _near(F.col("na"), F.col("nb"), percent)).drop("token").distinct()
+    folded = sketches.select("id", *(_folded(i).alias(f"s{i}") for i in range(FOLDED)))
+    rest = stored(named.join(open_blocks, "token").join(folded, "id"))
+    a = rest.select("token", F.col("id").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"), *(F.col(f"s{i}").alias(f"a{i}") for i in range(FOLDED)))
+    b = rest.select("token", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"), *(F.col(f"s{i}").alias(f"b{i}") for i in range(FOLDED)))
+    differ = reduce(Column.__add__, (F.bit_count(F.col(f"a{i}").bitwiseXOR(F.col(f"b{i}"))) for i in range(FOLDED)))
+    # The filters meet within the join: a pair that fails one of them is never a row.
+    close = (F.col("la") < F.col("lb")) & _near(F.col("na"), F.col("nb"), percent) & (differ * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent))
+    pairs = a.join(b, (a["token"] == b["token"]) & close).select("a", "b", "na", "nb", "la", "lb").distinct()
     labels = merged(labels, verified(stored(pairs)))
 
     named = classes.select("d1", "d2", "id").join(labels, "id", "left").select("d1", "d2", F.coalesce("label", "id").alias("class"))

@@ -17,16 +17,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from harborlog.llm.bitmaps import marked, table_of
 from harborlog.llm.bytewords import _tables_for, mixed, raw, slices, span_hashes
 from harborlog.plans import stored
 
 PIECE = 20
 #: Bytes of a text that are walked at once.
 STRETCH = 1 << 18
-#: Places of the table of anchors that occur more than once. Anchors that share a place by chance cost work, not results.
-PLACES_BITS = 27
-#: Bits of Spark's bitmaps.
-BITMAP = 1 << 15
 
 
 def _last_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -67,10 +64,6 @@ def _anchors(data: np.ndarray, length: int) -> Iterator[tuple[int, np.ndarray, n
         low += STRETCH
 
 
-def _place(anchor: np.ndarray) -> np.ndarray:
-    return (anchor >> np.uint64(64 - PLACES_BITS)).astype(np.int64)
-
-
 def _all_anchors(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -84,17 +77,16 @@ def _all_anchors(length: int):
     return run
 
 
-def _occurrences(length: int, marked, with_bytes: bool):
+def _occurrences(length: int, table, with_bytes: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = marked.value
+        bits = table.value
         for batch in batches:
             for part in slices(batch, "text", 1 << 20):
                 data, offsets = raw(part.column("text"))
                 columns: list[list] = [[] for _ in range(7)]
                 for doc, a, b in zip(part.column("id").to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist()):
                     for low, anchor, at, first, last in _anchors(data[a:b], length):
-                        place = _place(anchor)
-                        keep = np.flatnonzero((bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1)
+                        keep = np.flatnonzero(marked(bits, anchor))
                         if not len(keep):
                             continue
                         stretch = data[a + low : b][: STRETCH + length - 1]
@@ -165,16 +157,6 @@ def _compare(length: int):
     return run
 
 
-def _table_of(anchors: DataFrame):
-    """A bit for each place of the table that an anchor has; a fixed size, merged by Spark, so it may go everywhere."""
-    number = F.shiftrightunsigned("anchor", 64 - PLACES_BITS) + 1
-    merged = anchors.select(F.bitmap_bucket_number(number).alias("bucket"), F.bitmap_bit_position(number).alias("bit"))
-    bits = np.zeros(((1 << PLACES_BITS) // BITMAP, BITMAP // 8), np.uint8)
-    for row in merged.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")).toLocalIterator():
-        bits[row["bucket"] - 1] = np.frombuffer(row["bits"], np.uint8)
-    return anchors.sparkSession.sparkContext.broadcast(bits.reshape(-1))
-
-
 def remove_repeats(df: DataFrame, length: int = 100, text: str = "text", identity: str = "doc_id") -> DataFrame:
     """Per row: identity, n_bytes, n_removed, n_spans, kept_sha256, kept (bytes).
 
@@ -187,12 +169,12 @@ def remove_repeats(df: DataFrame, length: int = 100, text: str = "text", identit
     keyed = rows.select(F.coalesce("id", F.lit((1 << 63) - 1)).cast("bigint").alias("id"), "text")
     counted = keyed.select("text").mapInArrow(_all_anchors(length), "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n"))
     schema = "anchor long, context long, before long, behind long, doc long, start long"
-    found = keyed.mapInArrow(_occurrences(length, _table_of(counted.where("n > 1")), False), schema)
+    found = keyed.mapInArrow(_occurrences(length, table_of(counted.where("n > 1"), "anchor"), False), schema)
     one_class, first = ["anchor", "context", "before", "behind"], F.min(F.struct("doc", "start")).alias("f")
     classes = stored(found.groupBy(*one_class).agg(first, F.count(F.lit(1)).alias("n")))
     # Texts are read once more for the bytes of anchors of several classes, which are few.
     several = classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    written = keyed.mapInArrow(_occurrences(length, _table_of(several), True), f"{schema}, bytes binary")
+    written = keyed.mapInArrow(_occurrences(length, table_of(several, "anchor"), True), f"{schema}, bytes binary")
     # The bytes of a class are the same for all its rows.
     mixed_classes = written.groupBy(*one_class).agg(first, F.first("bytes").alias("bytes"))
     mixed_classes = mixed_classes.select("anchor", "before", "behind", F.col("f.doc").alias("doc"), F.col("f.start").alias("start"), "bytes")
