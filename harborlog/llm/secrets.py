@@ -1,8 +1,8 @@
 """Secrets in texts, with a random forest that removes false positives.
 
-Candidates are words with a long run of key characters that has a digit or four capitals in a row. Their features are length,
-transitions between kinds of characters, coverage by dictionary words, the path, and the neighbouring words. The forest learns
-from labelled findings; ``labelled`` labels findings by issuers' formats and explicit assignments where no one has.
+Candidates are all long runs of key characters of a word that have a digit or four capitals in a row, and values of any length
+that are assigned to the name of a secret. Their features are length, transitions between kinds of characters, coverage by
+dictionary words, the path, and what stands next to them. The forest learns from labelled findings; ``labelled`` labels findings by issuers' formats and explicit assignments where no one has.
 """
 
 from __future__ import annotations
@@ -22,7 +22,15 @@ TREES, DEPTH, SEED = 20, 6, 7
 
 #: Formats of well-known issuers.
 FORMATS = r"^(AKIA[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35})$"
-ASSIGNED = r"(?i)(password|passwd|pwd|secret|token|api_?key|access_?key|credential|auth)\W*$"
+NAMES = "password|passwd|pwd|secret|token|api_?key|access_?key|credential|auth"
+ASSIGNED = rf"(?i)({NAMES})\W*$"
+#: The name of a secret and an assignment, up to the value, which may be quoted.
+ASSIGNS = rf"(?i:{NAMES})[\s\"'`\]\\]{{0,4}}[:=]{{1,2}}>?[\s\"'`\\]{{0,4}}"
+#: What may stand before a value whose name is in the words before; the line feed marks such a word.
+LEAD = r"[\"'`\]\\:=>]{0,8}"
+#: An assigned value ends at a quote, bracket or separator, before full stops and colons at the word's end, and before a run.
+VALUE = r"(?![:=>])(?:(?![A-Za-z0-9+/_-]{16}|[.:]+$)[^\s\"'`\\,;&<>(){}\[\]])++"
+PART = rf"{RUN}|(?:(?<={ASSIGNS})|(?<=^\n{LEAD})){VALUE}"
 PLACEHOLDER = r"(?i)(example|sample|dummy|placeholder|changeme|xxxx|0000|1234567)"
 KIND_CHANGES = {
     "lower_digit": "[a-z](?=[0-9])", "digit_lower": "[0-9](?=[a-z])", "upper_digit": "[A-Z](?=[0-9])", "digit_upper": "[0-9](?=[A-Z])",
@@ -38,23 +46,35 @@ def dictionary(spark: SparkSession, path: str) -> DataFrame:
 
 
 def candidates(df: DataFrame, text: str, identity: str, path: str | None) -> DataFrame:
-    """One row per candidate: its line and word from 0, its value, what stands before and behind it, and the path."""
-    lines = df.where(F.col(text).rlike(RUN)).select(
+    """One row per candidate: its line and word from 0, its value, what stands before and around it, and the path.
+
+    The first candidate of a word has two words before it, every other one the candidate of the same word before it.
+    """
+    may = F.col(text).rlike(f"{RUN}|{ASSIGNS}")
+    lines = df.where(may).select(
         F.col(identity).alias("__id"), (F.col(path).cast("string") if path else F.lit("")).alias("__path"), F.posexplode(F.split(F.col(text), "\n", -1)).alias("__line", "__s")
     )
-    cut = lines.where(F.col("__s").rlike(RUN)).withColumn("__w", F.split("__s", "[ \\t\\x0b\\f\\r]+", -1))
-    spread = cut.select("__id", "__path", "__line", "__w", F.posexplode("__w").alias("__at", "__word")).where(F.col("__word").rlike(RUN))
-    value = F.regexp_extract("__word", f"({RUN})[^A-Za-z0-9+/_-]*$", 1)
-    value = F.when(value != "", value).otherwise(F.regexp_extract("__word", RUN, 0))
+    cut = lines.where(F.col("__s").rlike(f"{RUN}|{ASSIGNS}")).withColumn("__w", F.split("__s", "[ \\t\\x0b\\f\\r]+", -1))
+    spread = cut.select("__id", "__path", "__line", "__w", F.posexplode("__w").alias("__at", "__word"))
 
     def word(i: int) -> Column:
         return F.coalesce(F.get("__w", F.col("__at") + i), F.lit(""))
 
-    found = spread.select(
-        "__id", "__path", "__line", "__at", "__word", value.alias("__value"), F.concat_ws(" ", word(-2), word(-1)).alias("__ahead"), word(1).alias("__behind")
+    ahead = spread.select("__id", "__path", "__line", "__at", "__word", F.concat_ws(" ", word(-2), word(-1)).alias("__ahead"))
+    led = F.concat_ws(" ", "__ahead", F.regexp_extract("__word", f"^{LEAD}", 0)).rlike(f"{ASSIGNS}$")
+    marked = ahead.withColumn("__word", F.when(led, F.concat(F.lit("\n"), F.col("__word"))).otherwise(F.col("__word"))).where(F.col("__word").rlike(PART))
+    parts = marked.select(
+        "__id", "__path", "__line", "__at", "__ahead", F.regexp_extract_all("__word", F.lit(PART), F.lit(0)).alias("__parts"),
+        F.split("__word", PART, -1).alias("__gaps"),
     )
-    before = F.concat_ws(" ", "__ahead", F.expr("substring_index(__word, __value, 1)"))
-    return found.withColumn("__before", before).where(F.col("__value").rlike("[0-9]") | F.col("__value").rlike("[A-Z]{4}"))
+
+    def part(value: Column, i: Column) -> Column:
+        gap = F.ltrim(F.get("__gaps", i), F.lit("\n"))
+        before = F.when(i == 0, F.concat_ws(" ", "__ahead", gap)).otherwise(F.concat(F.get("__parts", i - 1), gap))
+        return F.struct(value.alias("__value"), before.alias("__before"), F.concat(gap, F.get("__gaps", i + 1)).alias("__around"))
+
+    found = parts.select("__id", "__path", "__line", "__at", F.inline(F.transform("__parts", part)))
+    return found.where(F.col("__value").rlike("[0-9]") | F.col("__value").rlike("[A-Z]{4}") | F.col("__before").rlike(f"{ASSIGNS}$"))
 
 
 def featured(found: DataFrame, pieces: DataFrame) -> DataFrame:
@@ -66,7 +86,7 @@ def featured(found: DataFrame, pieces: DataFrame) -> DataFrame:
     flags = {
         "path_test": F.col("__path").rlike("(?i)test|example|sample|fixture|mock|doc"), "before_key": F.col("__before").rlike("(?i)key|token|secret|pass|auth|credential"),
         "before_assigns": F.col("__before").rlike("[=:]\\W*$"), "before_hash": F.col("__before").rlike("(?i)sha|md5|commit|hash|uuid|digest"),
-        "placeholder": F.col("__value").rlike(PLACEHOLDER), "quoted": F.col("__word").rlike("[\"'`]"),
+        "placeholder": F.col("__value").rlike(PLACEHOLDER), "quoted": F.col("__around").rlike("[\"'`]"),
     }
     columns = {"length": size, "coverage": F.coalesce("__covered", F.lit(0)) / size, "digits": F.regexp_count("__value", F.lit("[0-9]")) / size}
     columns |= {name: F.regexp_count("__value", F.lit(pattern)) / size for name, pattern in KIND_CHANGES.items()}
