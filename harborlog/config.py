@@ -50,14 +50,6 @@ class IngestConfig:
     def manifest_root(self) -> str:
         return f"{self.base_path.rstrip('/')}/{self.logs_dir}/manifest"
 
-    @property
-    def positions_root(self) -> str:
-        return f"{self.base_path.rstrip('/')}/{self.logs_dir}/positions"
-
-    @property
-    def held_root(self) -> str:
-        return f"{self.base_path.rstrip('/')}/{self.logs_dir}/held"
-
     @property
     def clock_root(self) -> str:
         return f"{self.base_path.rstrip('/')}/{self.logs_dir}/clock"

@@ -29,3 +29,10 @@ def shared_folder(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that nothing has used before."""
     return f"{shared_folder(spark)}/harborlog/{label}-{uuid.uuid4().hex}"
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system Spark reaches it by."""
+    context = spark.sparkContext
+    hadoop = context._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(context._jsc.hadoopConfiguration()).delete(hadoop, True)

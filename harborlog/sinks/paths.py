@@ -31,6 +31,11 @@ def move(source: str, target: str) -> None:
     filesystem.move(resolve(source)[1], name)
 
 
+def make_directory(path: str) -> None:
+    filesystem, name = resolve(path)
+    filesystem.create_dir(name, recursive=True)
+
+
 def delete_directory(path: str) -> None:
     filesystem, name = resolve(path)
     if filesystem.get_file_info(name).type != fs.FileType.NotFound:

@@ -58,7 +58,10 @@ def _rename(source: str | None, target: str) -> None:
 
 @dataclass(frozen=True)
 class Part:
-    """What one batch adds to a table of batches. It shows up whole, by one rename, or not at all."""
+    """What one batch adds to a table of batches, and what else it commits with it. All of it shows up by one rename, or nothing.
+
+    Tables of their own that go with the part lie in folders starting with an underscore, which readers of the table skip.
+    """
 
     root: str
     stream_id: str
@@ -68,11 +71,25 @@ class Part:
     def written(self) -> str:
         return f"{self.root}/_writing/{self.stream_id}-{self.batch_id}"
 
+    @property
+    def path(self) -> str:
+        return f"{self.root}/stream_id={self.stream_id}/batch_id={self.batch_id}"
+
     def write(self, rows: DataFrame) -> None:
         rows.write.mode("overwrite").parquet(self.written)
 
+    def attach(self, name: str, rows: DataFrame) -> None:
+        """Commit another table with the part. Call it after ``write``."""
+        rows.write.mode("overwrite").parquet(f"{self.written}/_{name}")
+
+    def attached(self, name: str) -> str | None:
+        """Where a committed part has such a table, if it has one."""
+        return f"{self.path}/_{name}" if paths.exists(f"{self.path}/_{name}") else None
+
+    def committed(self) -> bool:
+        return paths.exists(self.path)
+
     def commit(self) -> None:
         """Replace what an earlier attempt of the same batch committed."""
-        part = f"{self.root}/stream_id={self.stream_id}/batch_id={self.batch_id}"
-        paths.delete_directory(part)
-        paths.move(self.written, part)
+        paths.delete_directory(self.path)
+        paths.move(self.written, self.path)

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from harborlog.operators.acceptance import accept_monotonic, accept_strict
+from harborlog.plans import Scratch, bounded
 from harborlog.sinks.publish import Part
 from harborlog.sources.envelope import TOPIC_PARTITION
 from harborlog.streaming.positions import Positions
@@ -72,20 +73,25 @@ def start_accept(
 ) -> StreamingQuery:
     """Write the accepted records of each micro-batch to ``folder/accepted``, exactly once.
 
-    A replayed micro-batch starts from the same positions and overwrites its own part.
+    The positions are committed with the records. A micro-batch that is replayed after that has nothing left to do; one that
+    failed before starts from the same positions.
     """
     accept = accept_strict if mode == "strict" else accept_monotonic
-    positions = Positions(f"{folder}/positions", stream_id)
+    root = f"{folder}/accepted"
+    positions = Positions(root, stream_id)
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        before = positions.read(batch.sparkSession, batch_id)
-        part = Part(f"{folder}/accepted", stream_id, batch_id)
-        part.write(accept(batch, before, arrival))
-        written = batch.sparkSession.read.schema(batch.schema).parquet(part.written)
-        ends = written.groupBy(*TOPIC_PARTITION).agg((F.max("kafka_offset") + 1).alias("next_offset"))
-        positions.advance(ends, before, batch_id)
-        part.commit()
-        positions.forget_before(batch_id)
+        part = Part(root, stream_id, batch_id)
+        if part.committed():
+            return
+        with Scratch(batch.sparkSession, "accept") as scratch:
+            before = bounded(positions.read(batch.sparkSession, batch_id))
+            part.write(accept(batch, before, arrival, scratch=scratch))
+            written = batch.sparkSession.read.schema(batch.schema).parquet(part.written)
+            ends = written.groupBy(*TOPIC_PARTITION).agg((F.max("kafka_offset") + 1).alias("next_offset"))
+            positions.advance(part, ends, before)
+            part.commit()
+            positions.forget_before(batch_id)
 
     writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     return (writer.trigger(**trigger) if trigger else writer).start()

@@ -21,7 +21,7 @@ from harborlog.operators.acceptance import accept_monotonic, accept_strict
 from harborlog.operators.files import FILE_KEY, file_plan, with_directory
 from harborlog.operators.payload import FAILFAST, MessageType, dead_letters, decode, decoded, reencode
 from harborlog.operators.positions import resume
-from harborlog.plans import new_folder, ranked, stored
+from harborlog.plans import Scratch, bounded, ranked, stored
 from harborlog.sinks import paths
 from harborlog.sinks.formats import OutputFormat, format_for
 from harborlog.sinks.publish import Part, publish
@@ -31,6 +31,7 @@ from harborlog.streaming.positions import Positions
 
 
 HELD = "_held"
+HELD_BACK = "held"
 
 
 def start_ingest(
@@ -76,36 +77,40 @@ def ingest_batch(
     query_id: str = "",
     clock_ms: int | None = None,
 ) -> None:
-    """Publish one batch. May be called again with the same batch and ``batch_id`` after any failure.
+    """Publish one batch. May be called again with the same batch and ``batch_id`` after any failure; once it is committed,
+    that does nothing.
 
     Without ``arrival``, records count in order of offset, and one of each offset. ``on_step`` is called after each step:
-    ``staged``, ``published``, ``committed``. ``clock_ms`` is the time of the batch, by default that of its first attempt;
+    ``staged``, ``published``, ``recorded``, ``committed``. ``clock_ms`` is the time of the batch, by default that of its first attempt;
     it is committed before anything is published, so that a replay routes and closes files as before.
     """
     spark = batch.sparkSession
     output = format_for(config.format)
-    scratch = new_folder(spark, "ingest")
     stream_id = f"{config.stream_id}-{query_id}" if query_id else config.stream_id
     attempts = f"{config.staging_root}/{stream_id}-{batch_id}"
     paths.delete_directory(attempts)  # left by attempts that failed
+    part = Part(config.manifest_root, stream_id, batch_id)
+    if part.committed():
+        return
     staging = f"{attempts}/{uuid.uuid4().hex}"
-    positions = Positions(config.positions_root, stream_id)
-    before = stored(positions.read(spark, batch_id), f"{scratch}/before")
-    clock_ms = _clock(spark, config, stream_id, batch_id, clock_ms)
+    positions = Positions(config.manifest_root, stream_id)
+    before = bounded(positions.read(spark, batch_id))
+    clock_ms = _clock(config, stream_id, batch_id, clock_ms)
 
     # Read and decode once; everything below works on this copy. Lost blocks are recomputed from the source.
     taken = before.select(*TOPIC_PARTITION, F.col("taken_offset").alias("next_offset"))
     fresh = resume(batch, taken, is_stored=True).withColumn(HELD, F.lit(False))
-    held = _held(spark, config, stream_id, batch_id, fresh)
+    held = _held(spark, positions, batch_id, fresh)
     delivered = fresh if held is None else fresh.unionByName(held)
     landed = _landed(delivered, config, output, message, mode, clock_ms).persist(StorageLevel.MEMORY_AND_DISK)
+    scratch = Scratch(spark, "ingest")
     try:
-        accepted, spans = _accept(landed, taken, config, arrival, scratch)
-        spans = stored(_rotations(spans, before, config, clock_ms), f"{scratch}/rotations")
+        accepted, spans = _accept(landed, before, config, arrival, scratch)
+        spans = _rotations(spans, config, clock_ms)
         numbered = _chunked(accepted, spans, config)
         chunked = numbered if config.publish_tail else numbered.where("chunk < _closed")
         left = None if config.publish_tail else stored(
-            numbered.where("chunk >= _closed").select(*TOPIC_PARTITION, "kafka_offset"), f"{scratch}/left"
+            numbered.where("chunk >= _closed").select(*TOPIC_PARTITION, "kafka_offset"), scratch=scratch
         )
         chunked = chunked.drop("_closed", HELD)
 
@@ -119,26 +124,26 @@ def ingest_batch(
         if message is not None and _keeps_value(output):
             rows = rows.withColumn("value", reencode(message, F.col("value")))
 
-        files = stored(_files(rows, config, output.extension), f"{scratch}/files")
+        files = stored(_files(rows, config, output.extension), scratch=scratch)
         staged = output.stage(rows, files, staging)
         on_step("staged")
-        manifest = Part(config.manifest_root, stream_id, batch_id)
-        manifest.write(publish(files, staged))
+        part.write(publish(files, staged))
         on_step("published")
 
         # Positions follow the records taken in, not the files: a dead letter at the end moves the position as well.
+        # Manifest, positions and held records are committed by one rename, so none of them runs ahead of another.
         if left is not None:
-            _hold(delivered, left, config, stream_id, batch_id)
-        positions.advance(_ends(chunked, spans, config), before, batch_id)
-        manifest.commit()
+            part.attach(HELD_BACK, _hold(delivered, left))
+        positions.advance(part, _ends(chunked, spans, config), before)
+        on_step("recorded")
+        part.commit()
         on_step("committed")
         positions.forget_before(batch_id)
-        for root in (config.held_root, config.clock_root):
-            Positions(root, stream_id).forget_before(batch_id)
+        _forget_clocks(config, stream_id, batch_id)
         paths.delete_directory(attempts)
     finally:
         landed.unpersist()
-        paths.delete_directory(scratch)
+        scratch.delete()
 
 
 def published_files(spark: SparkSession, config: IngestConfig) -> DataFrame:
@@ -175,7 +180,7 @@ def _landed(
 
 
 def _accept(
-    landed: DataFrame, before: DataFrame, config: IngestConfig, arrival: str | None, scratch: str
+    landed: DataFrame, before: DataFrame, config: IngestConfig, arrival: str | None, scratch: Scratch
 ) -> tuple[DataFrame, DataFrame]:
     """Accepted rows; and per topic-partition the first position, the offset range and the count of them."""
 
@@ -191,10 +196,11 @@ def _accept(
             F.min("first").alias("first"), F.max("last").alias("last"), F.sum("n").alias("n"), F.min("held_first").alias("held_first"),
             F.sum("carried").alias("carried"), (F.sum(F.bitmap_count("_bits")) - F.sum("carried")).alias("n_offsets"),
         )
-        base = F.when(F.col("next_offset") > 0, F.col("next_offset")).otherwise(F.col("first"))
-        return edges.join(before, TOPIC_PARTITION, "left").withColumn("base", base)
+        base = F.when(F.col("taken_offset") > 0, F.col("taken_offset")).otherwise(F.col("first"))
+        known = before.select(*TOPIC_PARTITION, "taken_offset", "rotated_ms")
+        return edges.join(known, TOPIC_PARTITION, "left").withColumn("base", base)
 
-    spans = stored(spans_of(landed), f"{scratch}/delivered")
+    spans = bounded(spans_of(landed))
     # A log that delivers each offset once needs no per-record check where its range has no gap.
     gap = "n > 0 and (n_offsets <> last - first + 1 or first <> base)"
     once = spans.where("n <> n_offsets").isEmpty()
@@ -204,23 +210,24 @@ def _accept(
     if arrival is None and not once:
         fresh = fresh.dropDuplicates([*TOPIC_PARTITION, "kafka_offset"])
     accept = accept_strict if config.acceptance == "strict" else accept_monotonic
-    accepted = accept(fresh, before, arrival or "kafka_offset").select(landed.columns).unionByName(landed.where(HELD))
-    after = stored(spans_of(accepted), f"{scratch}/accepted")
+    taken = before.select(*TOPIC_PARTITION, F.col("taken_offset").alias("next_offset"))
+    accepted = accept(fresh, taken, arrival or "kafka_offset", scratch=scratch)
+    accepted = accepted.select(landed.columns).unionByName(landed.where(HELD))
+    after = spans_of(accepted)
     delivered = spans.select(*TOPIC_PARTITION, F.col("n").alias("_n"))
     counted = after.join(delivered, TOPIC_PARTITION, "right").withColumn("n_dropped", F.col("_n") - F.coalesce("n", F.lit(0)))
-    return accepted, counted.drop("_n").withColumns({name: F.coalesce(name, F.lit(0)) for name in ("n", "carried")})
+    return accepted, bounded(counted.drop("_n").withColumns({name: F.coalesce(name, F.lit(0)) for name in ("n", "carried")}))
 
 
-def _rotations(spans: DataFrame, before: DataFrame, config: IngestConfig, clock_ms: int) -> DataFrame:
+def _rotations(spans: DataFrame, config: IngestConfig, clock_ms: int) -> DataFrame:
     """Per topic-partition what this batch does to its open file.
 
     The clock is looked at once per batch, when its first record is processed. Elapsed time then closes the open file
     with that record in it; the first record ever only starts the clock. Counts close files from there on.
     """
-    rows = spans.join(before.select(*TOPIC_PARTITION, "rotated_ms"), TOPIC_PARTITION, "left")
     since = F.coalesce("rotated_ms", F.lit(clock_ms).cast("bigint"))
     fired = (F.lit(config.rotate_interval_ms) > 0) & (F.col("n") > 0) & (F.lit(clock_ms) - since >= config.rotate_interval_ms)
-    rows = rows.withColumn("fired", F.lit(False) if config.publish_tail else fired)
+    rows = spans.withColumn("fired", F.lit(False) if config.publish_tail else fired)
     closed = F.expr(
         f"case when fired then 1 + (n - 1) div {config.flush_size} else (carried + n) div {config.flush_size} end"
     ).cast("bigint")
@@ -250,35 +257,40 @@ def _ends(chunked: DataFrame, spans: DataFrame, config: IngestConfig) -> DataFra
         ends = spans.withColumns({"next_offset": taken, "taken_offset": taken})
     else:
         published = chunked.groupBy(*TOPIC_PARTITION).agg((F.max("kafka_offset") + 1).alias("next_offset"))
-        ends = spans.drop("next_offset").join(published, TOPIC_PARTITION, "left").withColumn("taken_offset", taken)
+        ends = spans.drop("taken_offset").join(published, TOPIC_PARTITION, "left").withColumn("taken_offset", taken)
     return ends.select(*TOPIC_PARTITION, "next_offset", "taken_offset", "rotated_ms", "n_dropped")
 
 
-def _held(spark: SparkSession, config: IngestConfig, stream_id: str, batch_id: int, like: DataFrame) -> DataFrame | None:
+def _held(spark: SparkSession, positions: Positions, batch_id: int, like: DataFrame) -> DataFrame | None:
     """Records that the stream's last batch before this one held back: fewer than a file per topic-partition."""
-    earlier = Positions(config.held_root, stream_id).last_before(batch_id)
+    last = positions.last_before(batch_id)
+    earlier = last.attached(HELD_BACK) if last is not None else None
     return None if earlier is None else spark.read.schema(like.schema).parquet(earlier)
 
 
-def _hold(delivered: DataFrame, left: DataFrame, config: IngestConfig, stream_id: str, batch_id: int) -> None:
-    part = Part(config.held_root, stream_id, batch_id)
+def _hold(delivered: DataFrame, left: DataFrame) -> DataFrame:
     keep = delivered.join(left, [*TOPIC_PARTITION, "kafka_offset"], "left_semi").dropDuplicates([*TOPIC_PARTITION, "kafka_offset"])
-    part.write(keep.select(delivered.columns).withColumn(HELD, F.lit(True)))
-    part.commit()
+    return keep.select(delivered.columns).withColumn(HELD, F.lit(True))
 
 
-def _clock(spark: SparkSession, config: IngestConfig, stream_id: str, batch_id: int, clock_ms: int | None) -> int:
-    """The time of the batch, written down on its first attempt."""
-    name = f"batch_id={batch_id}"
-    if name in paths.subdirectories(f"{config.clock_root}/stream_id={stream_id}"):
-        return spark.read.schema("clock_ms bigint").parquet(f"{config.clock_root}/stream_id={stream_id}/{name}").first()[0]
+def _clock(config: IngestConfig, stream_id: str, batch_id: int, clock_ms: int | None) -> int:
+    """The time of the batch, written down on its first attempt as the name of a folder."""
+    folder = f"{config.clock_root}/stream_id={stream_id}/batch_id={batch_id}"
+    known = [name for name in paths.subdirectories(folder) if name.startswith("at=")]
+    if known:
+        return int(min(known).removeprefix("at="))
     now = int(time.time() * 1000) if clock_ms is None else clock_ms
-    part = Part(config.clock_root, stream_id, batch_id)
-    part.write(spark.createDataFrame([(now,)], "clock_ms bigint"))
-    part.commit()
+    paths.make_directory(f"{folder}/at={now:020d}")
     return now
 
 
+def _forget_clocks(config: IngestConfig, stream_id: str, batch_id: int) -> None:
+    folder = f"{config.clock_root}/stream_id={stream_id}"
+    for name in paths.subdirectories(folder):
+        if int(name.removeprefix("batch_id=")) < batch_id:
+            paths.delete_directory(f"{folder}/{name}")
+
+
 def _query_id(checkpoint: str) -> str:
     """A name for a checkpoint whose query's id isn't known."""
     return uuid.uuid5(uuid.NAMESPACE_URL, checkpoint).hex

@@ -14,15 +14,18 @@ from harborlog.sources.envelope import TOPIC_PARTITION
 
 SCHEMA = "topic string, kafka_partition int, next_offset bigint, taken_offset bigint, rotated_ms bigint, n_dropped bigint"
 KNOWN = ["next_offset", "taken_offset", "rotated_ms"]
+POSITIONS = "positions"
 
 
 @dataclass(frozen=True)
 class Positions:
     """One small table per batch, with a row per topic-partition; growing logs and manifests are never read for it.
 
-    ``next_offset`` follows the published files and counts for everyone. ``taken_offset`` also counts records that this stream
-    holds back for its next batch. ``rotated_ms`` is when files were last closed. ``n_dropped`` tells how many delivered
-    records at or beyond the position the batch did not accept: where it stays above 0, strict acceptance waits at a gap.
+    It is committed with the batch's part of the table at ``root``, by the same rename: positions never run ahead of what
+    is published, nor behind. ``next_offset`` follows the published files and counts for everyone. ``taken_offset`` also counts
+    records that this stream holds back for its next batch. ``rotated_ms`` is when files were last closed. ``n_dropped`` tells
+    how many delivered records at or beyond the position the batch did not accept: where it stays above 0, strict acceptance
+    waits at a gap.
     """
 
     root: str
@@ -30,46 +33,56 @@ class Positions:
 
     def read(self, spark: SparkSession, before_batch: int | None = None) -> DataFrame:
         """Where each topic-partition continues: after earlier batches of this stream and what others have published."""
-        parts = []
+        tables = []
         for stream in paths.subdirectories(self.root):
             if not stream.startswith("stream_id="):
                 continue
-            numbers, own = self._batches(stream), stream == f"stream_id={self.stream_id}"
-            if own and before_batch is not None:
-                numbers = [number for number in numbers if number < before_batch]
-            if numbers:
-                table = spark.read.schema(SCHEMA).parquet(f"{self.root}/{stream}/batch_id={max(numbers)}")
+            stream_id = stream.removeprefix("stream_id=")
+            own = stream_id == self.stream_id
+            last = self._last(stream_id, before_batch if own else None)
+            if last is not None:
+                table = spark.read.schema(SCHEMA).parquet(last)
                 if not own:
                     table = table.withColumns({"taken_offset": F.col("next_offset"), "rotated_ms": F.lit(None).cast("bigint")})
-                parts.append(table.select(*TOPIC_PARTITION, *KNOWN))
-        if not parts:
+                tables.append(table.select(*TOPIC_PARTITION, *KNOWN))
+        if not tables:
             return spark.createDataFrame([], SCHEMA).select(*TOPIC_PARTITION, *KNOWN)
-        tables = reduce(DataFrame.unionByName, parts)
-        return tables if len(parts) == 1 else _latest(tables)
+        return tables[0] if len(tables) == 1 else _latest(reduce(DataFrame.unionByName, tables))
 
-    def advance(self, ends: DataFrame, before: DataFrame, batch_id: int) -> None:
-        """Commit the positions after a batch that ended at ``ends``; where it ended nowhere, ``before`` holds."""
-        none = F.lit(None).cast("bigint")
-        after = _latest(before.withColumn("n_dropped", none).unionByName(ends), "n_dropped")
-        part = Part(self.root, self.stream_id, batch_id)
-        part.write(after)
-        part.commit()
+    def advance(self, part: Part, ends: DataFrame, before: DataFrame) -> None:
+        """Attach the positions after a batch that ended at ``ends`` to its part; where it ended nowhere, ``before`` holds.
+
+        ``ends`` may have ``next_offset`` alone: nothing is held back then.
+        """
+        if "taken_offset" not in ends.columns:
+            ends = ends.withColumn("taken_offset", F.col("next_offset"))
+        after = _latest(before.unionByName(ends, allowMissingColumns=True), "n_dropped")
+        part.attach(POSITIONS, after.coalesce(1))
 
     def forget_before(self, batch_id: int) -> None:
         """Drop what no replay can need: all but the last table before ``batch_id``."""
-        stream = f"stream_id={self.stream_id}"
-        for number in [number for number in self._batches(stream) if number < batch_id][:-1]:
-            paths.delete_directory(f"{self.root}/{stream}/batch_id={number}")
+        for number in [number for number in self._batches(self.stream_id) if number < batch_id][-2:-1]:
+            for name in paths.subdirectories(Part(self.root, self.stream_id, number).path):
+                paths.delete_directory(f"{Part(self.root, self.stream_id, number).path}/{name}")
+
+    def last_before(self, batch_id: int) -> Part | None:
+        """The stream's last batch before this one."""
+        numbers = [number for number in self._batches(self.stream_id) if number < batch_id]
+        return Part(self.root, self.stream_id, max(numbers)) if numbers else None
 
-    def last_before(self, batch_id: int) -> str | None:
-        """The folder of the stream's last batch before this one."""
-        stream = f"stream_id={self.stream_id}"
-        numbers = [number for number in self._batches(stream) if number < batch_id]
-        return f"{self.root}/{stream}/batch_id={max(numbers)}" if numbers else None
+    def _last(self, stream_id: str, before_batch: int | None) -> str | None:
+        for number in reversed(self._batches(stream_id)):
+            if before_batch is None or number < before_batch:
+                found = Part(self.root, stream_id, number).attached(POSITIONS)
+                if found is not None:
+                    return found
+        return None
 
-    def _batches(self, stream: str) -> list[int]:
-        return sorted(int(name.split("=", 1)[1]) for name in paths.subdirectories(f"{self.root}/{stream}"))
+    def _batches(self, stream_id: str) -> list[int]:
+        return sorted(int(name.split("=", 1)[1]) for name in paths.subdirectories(f"{self.root}/stream_id={stream_id}"))
 
 
 def _latest(tables: DataFrame, *more: str) -> DataFrame:
-    return tables.groupBy(*TOPIC_PARTITION).agg(*(F.max(name).alias(name) for name in [*KNOWN, *more]))
+    columns = [*KNOWN, *more]
+    tables = tables.withColumns({name: F.lit(None).cast("bigint") for name in columns if name not in tables.columns})
+    return tables.groupBy(*TOPIC_PARTITION).agg(*(F.max(name).alias(name) for name in columns))

@@ -4,7 +4,7 @@ import pytest
 from models import accept
 
 from harborlog.operators import accept_monotonic, accept_strict
-from harborlog.operators.acceptance import fold_map
+from harborlog.operators import acceptance
 
 SCHEMA = "topic string, kafka_partition int, kafka_offset bigint, arrival_seq bigint"
 
@@ -78,19 +78,44 @@ def test_other_columns_pass_through(spark):
     assert [bytes(row.value) for row in accept_monotonic(frame).collect()] == [b"x"]
 
 
-def test_fold_map_is_the_composition_of_its_runs():
-    rng = random.Random(5)
-    for _ in range(3000):
-        runs = [(low, low + rng.randrange(0, 6)) for low in (rng.randrange(0, 20) for _ in range(rng.randrange(1, 8)))]
-        pieces = fold_map([low for low, _ in runs], [high for _, high in runs])
-        assert all(left[1] < right[0] for left, right in zip(pieces, pieces[1:]))
-        for position in range(-1, 30):
-            walked = position
-            for low, high in runs:
-                walked = high + 1 if low <= walked <= high else walked
-            mapped = next((t for low, high, t in pieces if low <= position <= high), position)
-            assert mapped == walked
+def every_second(n):
+    return [("t", 0, at, at) for at in range(0, n, 2)]
 
 
-def test_a_slice_with_redelivery_is_one_piece():
-    assert fold_map([0, 450, 950], [499, 999, 1499]) == [(0, 1499, 1500)]
+def test_walk_holds_a_row_per_bucket_where_every_second_offset_is_missing(spark, monkeypatch):
+    """The streaming pass, the only task that a hot topic-partition has to itself, sees none of the single runs."""
+    n, width = 40_000, 100
+    walked = spark.sparkContext.accumulator(0)
+    enter = acceptance._enter_buckets
+
+    def counting(batches):
+        def counted():
+            for batch in batches:
+                walked.add(len(batch))
+                yield batch
+
+        return enter(counted())
+
+    monkeypatch.setattr(acceptance, "_enter_buckets", counting)
+    late = [("t", 0, at, n + at) for at in range(1, n, 2)]
+    again = [("t", 0, at, 2 * n + at) for at in range(n)]
+    frame = spark.createDataFrame(every_second(n) + late + again, SCHEMA)
+    kept = [(row.kafka_offset, row.arrival_seq) for row in accept_strict(frame, width=width).collect()]
+    # Offset 0, then 1 when it comes late, then the rest when all is delivered again.
+    assert sorted(kept) == [(0, 0), (1, n + 1)] + [(at, 2 * n + at) for at in range(2, n)]
+    assert 0 < walked.value <= 4 * n // width
+
+
+def test_a_hot_offset_is_one_run_of_its_slice(spark):
+    rows = [("t", 0, 7, at) for at in range(5000)] + [("t", 0, 8, 5000)]
+    assert places(accept_strict(spark.createDataFrame(rows, SCHEMA))) == {("t", 0): [0, 5000]}
+
+
+@pytest.mark.parametrize("width", [2, 3, 8])
+def test_start_inside_and_between_buckets(spark, width):
+    rng = random.Random(width)
+    logs = {(f"t{case}", 0): [rng.randrange(0, 14) for _ in range(rng.randrange(1, 40))] for case in range(60)}
+    known = {tp: rng.randrange(0, 14) for tp in logs if rng.random() < 0.5}
+    records = spark.createDataFrame([(*tp, o, at) for tp, log in logs.items() for at, o in enumerate(log)], SCHEMA)
+    positions = spark.createDataFrame([(*tp, p) for tp, p in known.items()], "topic string, kafka_partition int, next_offset bigint")
+    assert places(accept_strict(records, positions, width=width)) == expected(logs, True, known)

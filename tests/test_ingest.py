@@ -12,7 +12,7 @@ from harborlog.sources import ENVELOPE, list_files, read_committed, read_manifes
 from harborlog.streaming import Positions, ingest_batch, start_ingest
 from workload.fixtures import message
 
-STEPS = ["staged", "published", "committed"]
+STEPS = ["staged", "published", "recorded", "committed"]
 
 
 def log(spark, ranges, topic="t"):
@@ -81,7 +81,7 @@ def test_overlap_and_replay(spark, tmp_path):
     ingest_batch(log(spark, {0: (20, 60), 1: (5, 41), 2: (7, 9)}), 1, conf, message())
     ingest_batch(log(spark, {0: (20, 60), 1: (5, 41), 2: (7, 9)}), 1, conf, message())
     assert offsets(spark, conf) == expect({0: (0, 60), 1: (5, 41), 2: (7, 9)})
-    positions = {row.kafka_partition: row.next_offset for row in Positions(conf.positions_root, conf.stream_id).read(spark).collect()}
+    positions = {row.kafka_partition: row.next_offset for row in Positions(conf.manifest_root, conf.stream_id).read(spark).collect()}
     assert positions == {0: 60, 1: 41, 2: 9}
 
 
@@ -109,6 +109,28 @@ def test_crash_after_each_step(spark, tmp_path, step, output):
     assert listed.count() == manifest.count()
 
 
+@pytest.mark.parametrize("step", STEPS)
+def test_crash_after_each_step_with_a_new_checkpoint(spark, tmp_path, step):
+    conf = config(tmp_path, partitioner="protocol")
+
+    def crash(at):
+        if at == step:
+            raise InterruptedError(at)
+
+    with pytest.raises(InterruptedError):
+        ingest_batch(log(spark, {0: (0, 20)}), 0, conf, message(), on_step=crash, query_id="old")
+    for batch_id, ranges in enumerate([{0: (0, 13)}, {0: (0, 30)}]):
+        ingest_batch(log(spark, ranges), batch_id, conf, message(), query_id="new")
+    assert offsets(spark, conf) == expect({0: (0, 30)})
+
+
+def test_a_held_tail_is_published_once(spark, tmp_path):
+    for batch_id, (start, stop) in enumerate([(0, 15), (15, 17), (17, 20), (20, 22)]):
+        conf = config(tmp_path, publish_tail=batch_id > 0)
+        ingest_batch(log(spark, {0: (start, stop)}), batch_id, conf, message())
+    assert offsets(spark, conf) == expect({0: (0, 22)})
+
+
 def test_other_streams_count(spark, tmp_path):
     ingest_batch(log(spark, {0: (0, 30)}), 0, config(tmp_path, stream_id="one"), message())
     conf = config(tmp_path, stream_id="two")
@@ -281,7 +303,7 @@ def test_time_closes_files_held_open(spark, tmp_path):
         ingest_batch(log(spark, {0: (start, stop)}), n, conf, message(), clock_ms=clock + 10_000)
     # The first record of the third batch closes the file that it joins.
     assert offsets(spark, conf) == expect({0: (0, 7)})
-    held = spark.read.parquet(f"{conf.held_root}/stream_id=ingest/batch_id=3")
+    held = spark.read.parquet(f"{conf.manifest_root}/stream_id=ingest/batch_id=3/_held")
     assert sorted(r.kafka_offset for r in held.collect()) == [7, 8, 9, 10]
 
 
@@ -333,7 +355,7 @@ def test_a_duplicate_does_not_make_up_for_a_gap(spark, tmp_path, acceptance):
     records = log(spark, {0: (0, 4)}).where("kafka_offset <> 2")
     ingest_batch(records.unionByName(records.where("kafka_offset = 1")), 0, conf, message())
     assert offsets(spark, conf) == [(0, 0), (0, 1)] + ([] if acceptance == "strict" else [(0, 3)])
-    known = spark.read.parquet(f"{conf.positions_root}/stream_id=ingest/batch_id=0").first()
+    known = spark.read.parquet(f"{conf.manifest_root}/stream_id=ingest/batch_id=0/_positions").first()
     assert known.n_dropped == (2 if acceptance == "strict" else 1)
 
 

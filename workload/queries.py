@@ -442,6 +442,45 @@ def resume_new_checkpoint(spark, sf_dir):
     return rows.select(*TOPIC_PARTITION, "event_id", "protocol", "props")
 
 
+@registered
+def tail_drained(spark, sf_dir):
+    """A batch holds its tail back; from the next one on tails are published, over three batches."""
+    folder = new_folder(spark, "drained")
+    X.records(spark, sf_dir).select(*ENVELOPE.names).write.parquet(f"{folder}/log")
+    log = spark.read.schema(ENVELOPE).parquet(f"{folder}/log")
+    settings = {"base_path": f"{folder}/out", "flush_size": X.FLUSH_SIZE, "partitioner": "protocol"}
+    edges = [0, 333, 347, 1411]
+    for batch_id, (low, high) in enumerate(zip(edges, [*edges[1:], None])):
+        config = IngestConfig(**settings, publish_tail=batch_id > 0)
+        part = log.where(F.col("kafka_offset") >= low)
+        ingest_batch(part if high is None else part.where(F.col("kafka_offset") < high), batch_id, config, X.message())
+    rows = sources.read_committed(spark, config.topics_root, manifest=read_manifest(spark, config.manifest_root))
+    return rows.select(*TOPIC_PARTITION, "event_id", "protocol", "props")
+
+
+@registered
+def crash_before_manifest(spark, sf_dir):
+    """A batch fails just before it is committed and its checkpoint is lost; a new query reads the log in other batches."""
+    folder = new_folder(spark, "crash")
+    X.records(spark, sf_dir).select(*ENVELOPE.names).write.parquet(f"{folder}/log")
+    log = spark.read.schema(ENVELOPE).parquet(f"{folder}/log")
+    config = IngestConfig(base_path=f"{folder}/out", flush_size=X.FLUSH_SIZE, partitioner="protocol")
+
+    def fail(step: str) -> None:
+        if step == "recorded":
+            raise InterruptedError(step)
+
+    ingest_batch(log.where("kafka_offset < 120"), 0, config, X.message(), query_id="lost")
+    try:
+        ingest_batch(log.where("kafka_offset < 777"), 1, config, X.message(), query_id="lost", on_step=fail)
+    except InterruptedError:
+        pass
+    ingest_batch(log.where("kafka_offset < 500"), 0, config, X.message(), query_id="new")
+    ingest_batch(log, 1, config, X.message(), query_id="new")
+    rows = sources.read_committed(spark, config.topics_root, manifest=read_manifest(spark, config.manifest_root))
+    return rows.select(*TOPIC_PARTITION, "event_id", "protocol", "props")
+
+
 @registered
 def replay_time_partitioned(spark, sf_dir):
     """A batch routed by the clock fails between publishing and committing, and is replayed a day later."""
