@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborlog.llm import contamination, jaccard, language, licenses, lines, packing, repeats, secrets, shards, topk
+from harborlog.llm import contamination, jaccard, language, licenses, lines, merkle, packing, repeats, secrets, shards, topk
 from harborlog.plans import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -111,3 +112,16 @@ def op9_license_scan(spark, sf_dir):
 @registered
 def op7_repeated_passages(spark, sf_dir):
     return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
+@registered
+def op13_merkle_manifest(spark, sf_dir):
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    lowered = F.translate("text", ascii_uppercase, ascii_lowercase)
+    changed = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, F.lit(False))
+    documents = table(spark, sf_dir, "documents")
+    tampered = merkle.leaf_of(*(F.col(c) for c in fields[:-1]), F.when(changed, lowered).otherwise(F.col("text")))
+    rows = merkle.manifest(documents.withColumn("tampered", tampered), fields, keep=["doc_id", "tampered"])
+    rows = rows.withColumn("folded_root", merkle.folded(F.col("tampered"), F.col("proof")))
+    proof = F.sha2(merkle.proof_text(F.col("proof")).cast("binary"), 256).alias("proof_sha256")
+    return rows.select("doc_id", "leaf", "subroot", "root", proof, "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
