@@ -8,7 +8,7 @@ from string import ascii_lowercase, ascii_uppercase
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborlog.llm import contamination, jaccard, language, licenses, lines, merkle, packing, repeats, secrets, shards, topk
+from harborlog.llm import bpe, contamination, jaccard, language, licenses, lines, merkle, packing, repeats, secrets, shards, topk
 from harborlog.plans import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -125,3 +125,14 @@ def op13_merkle_manifest(spark, sf_dir):
     rows = rows.withColumn("folded_root", merkle.folded(F.col("tampered"), F.col("proof")))
     proof = F.sha2(merkle.proof_text(F.col("proof")).cast("binary"), 256).alias("proof_sha256")
     return rows.select("doc_id", "leaf", "subroot", "root", proof, "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+@registered
+def op11_prefix_bpe(spark, sf_dir):
+    vocabulary = byte_bpe()
+    ids = bpe.encode(table(spark, sf_dir, "documents"), *vocabulary, keep=["doc_id"])
+    rows = bpe.decode(ids, *vocabulary)
+    decimal = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return rows.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(decimal.cast("binary"), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
