@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import base64
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import ahocorasick
@@ -27,10 +27,13 @@ from harborlog.llm.bytewords import slices
 
 #: Characters beyond its end that the pattern may look at before it settles a piece.
 LOOKAHEAD = 8
-#: Characters that are split into pieces at once, and how many pieces and pairs of tokens a worker remembers.
+#: Characters that are split into pieces at once, and how many pieces a worker remembers beyond a segment (pairs of tokens: four times).
 SEGMENT = 1 << 20
 REMEMBERED = 1 << 18
-REMEMBERED_BYTES = 64
+#: Bytes of a piece up to which tokens are looked up one by one; an automaton finds those in longer pieces.
+SHORT = 48
+#: A rank beyond all ranks.
+NEVER = 1 << 31
 
 
 class Vocabulary:
@@ -42,54 +45,106 @@ class Vocabulary:
         self.bytes = {rank: token for token, rank in self.rank.items()}
         self.longest = max(map(len, self.rank))
         self.pattern = regex.compile(pattern)
-        self._pairs: dict[tuple[int, int], bool] = {}
-        self._pieces = _Pieces(self)
+        self._pairs: dict[int, bool] = {}
+        self._halves: dict[int, tuple[int, int] | None] = {}
+        self._pieces: dict[str, bytes] = {}
+        #: By its last three bytes, how long a token may be.
+        self._reach: dict[bytes, int] = {}
+        for token in self.rank:
+            if len(token) > 2:
+                self._reach[token[-3:]] = max(len(token), self._reach.get(token[-3:], 0))
         self._ends = ahocorasick.Automaton()
         for token, rank in self.rank.items():
             self._ends.add_word(token.decode("latin-1"), (len(token), rank))
         self._ends.make_automaton()
 
-    def merged(self, data: bytes) -> list[int]:
-        """Merge the leftmost pair of least rank until none is left; for the few bytes of two tokens."""
+    def merged(self, data: bytes, down_to: int = 1) -> list[int]:
+        """Merge the leftmost pair of least rank until none, or only so many parts, are left; for the bytes of a token or two."""
         parts = [data[i : i + 1] for i in range(len(data))]
-        while len(parts) > 1:
-            least, at = min((self.rank.get(a + b, len(self.rank) + 256), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
-            if parts[at] + parts[at + 1] not in self.rank:
+        while len(parts) > down_to:
+            least, at = min((self.rank.get(a + b, NEVER), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
+            if least == NEVER:
                 break
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return [self.rank[part] for part in parts]
 
-    def follows(self, left: int, right: int) -> bool:
-        """Whether ``right`` may come after ``left`` (-1: the start of a piece)."""
-        known = self._pairs.get((left, right))
-        if known is None:
-            if len(self._pairs) >= REMEMBERED * 4:
-                self._pairs.clear()
-            tokens = [right] if left < 0 else [left, right]
-            known = self._pairs[left, right] = self.merged(b"".join(self.bytes[t] for t in tokens)) == tokens
-        return known
-
-    def ending(self, data: bytes, low: int) -> Iterator[tuple[int, list[tuple[int, int]]]]:
-        """For each byte from ``low`` on, how many bytes there are up to it, and length and rank of the tokens that end with it."""
-        first = max(0, low - self.longest)
-        here, found = low, []
-        for at, (n, rank) in self._ends.iter(data[first:].decode("latin-1")):
-            end = first + at + 1
-            if end <= low:
+    def _halves_of(self, token: int) -> tuple[int, int] | None:
+        """The two tokens whose merge makes a token; None for a byte, and for what merging never makes."""
+        if token not in self._halves:
+            data = self.bytes[token]
+            parts = self.merged(data, 2) if len(data) > 1 else []
+            self._halves[token] = tuple(parts) if len(parts) == 2 else None
+        return self._halves[token]
+
+    def _check(self, left: int, right: int) -> bool:
+        """Whether ``right`` may come after ``left`` (-1: the start of a piece).
+
+        Merges are undone from the last to the first on both sides of the border. The tokens may stand side by side if the
+        parts that touched there were never to be merged before the merge that is undone next; of two merges of equal
+        rank the left one comes first.
+        """
+        if len(self._pairs) >= REMEMBERED * 4:
+            self._pairs.clear()
+        if not self._made(right):
+            fits = False
+        elif left < 0:
+            fits = True
+        else:
+            fits = self._apart(left, right)
+        self._pairs[(left << 32) + right] = fits
+        return fits
+
+    def _made(self, token: int) -> bool:
+        return len(self.bytes[token]) == 1 or self._halves_of(token) is not None
+
+    def _apart(self, left: int, right: int) -> bool:
+        rank, text, until = self.rank, self.bytes, NEVER
+        while True:
+            if rank.get(text[left] + text[right], NEVER) < until:
+                return False
+            of_left, of_right = self._halves_of(left), self._halves_of(right)
+            if of_left is not None and (of_right is None or left > right):
+                until, left = left, of_left[1]
+            elif of_right is not None:
+                until, right = right + 1, of_right[0]
+            else:
+                return True
+
+    def extend(self, data: bytes, low: int, last: array | list[int], stop: Callable[[int], bool] | None = None) -> int:
+        """Add the last token of each prefix longer than ``low`` to those in ``last``, until ``stop`` says so; how many there were."""
+        first, pairs, check, before = max(0, low - self.longest), self._pairs, self._check, len(last)
+        end = low
+        for at, (n, token) in self._ends.iter(data[first:].decode("latin-1")):
+            at += first + 1
+            if at <= end or n > at:
                 continue
-            if end != here and found:
-                yield here, found
-                found = []
-            here = end
-            if n <= end:
-                found.append((n, rank))
-        if found:
-            yield here, found
+            left = last[at - n]
+            fits = pairs.get((left << 32) + token)
+            if fits if fits is not None else check(left, token):
+                last.append(token)
+                end = at
+                if stop is not None and stop(end):
+                    break
+        return len(last) - before
+
+    def back(self, last: array | list[int], at: int) -> list[int]:
+        """The encoding of the first ``at`` bytes, from its end to its start and turned round."""
+        out, text = [], self.bytes
+        while at:
+            token = last[at]
+            out.append(token)
+            at -= len(text[token])
+        out.reverse()
+        return out
 
     def piece(self, data: bytes) -> tuple[int, ...]:
         """A piece that is a token is that token; else its encoding."""
         known = self.rank.get(data)
-        return (known,) if known is not None else tuple(Prefixes(self, data).ids())
+        if known is not None:
+            return (known,)
+        last = [-1]
+        self.extend(data, 0, last)
+        return tuple(self.back(last, len(data)))
 
     def split(self, text: str) -> Iterator[list[str]]:
         """All pieces of a text in order, segment by segment, so a long text is never split whole."""
@@ -110,31 +165,63 @@ class Vocabulary:
                 low = high
             yield pieces
 
+    def remember(self, pieces: set[str]) -> None:
+        """Encode all pieces that aren't known, in bytewise order: what a piece shares with the one before it is done already."""
+        known, missing = self._pieces, []
+        if len(known) > REMEMBERED:
+            known.clear()
+        for piece in pieces:
+            if piece not in known:
+                data = piece.encode()
+                whole = self.rank.get(data)
+                if whole is None:
+                    missing.append((data, piece))
+                else:
+                    known[piece] = whole.to_bytes(4, "little")
+        missing.sort()
+        rank, reach, fits, check, last, former = self.rank.get, self._reach.get, self._pairs.get, self._check, [-1], b""
+        for data, piece in missing:
+            end, most = 0, min(len(data), len(former))
+            while end < most and data[end] == former[end]:
+                end += 1
+            del last[end + 1 :]
+            former = data
+            if len(data) > SHORT:
+                self.extend(data, end, last)
+            else:
+                while end < len(data):
+                    end += 1
+                    for low in range(max(0, end - reach(data[end - 3 : end], 2)) if end > 2 else 0, end):
+                        token = rank(data[low:end])
+                        if token is not None:
+                            fit = fits((last[low] << 32) + token)
+                            if fit or (fit is None and check(last[low], token)):
+                                last.append(token)
+                                break
+            known[piece] = array("i", self.back(last, len(data))).tobytes()
+
+    def ids_of(self, pieces: list[str]) -> np.ndarray:
+        return np.frombuffer(b"".join(map(self._pieces.__getitem__, pieces)), "<i4")
+
     def encode(self, text: str) -> np.ndarray:
-        known = self._pieces
-        parts = [np.fromiter(chain.from_iterable(map(known.__getitem__, pieces)), np.int32) for pieces in self.split(text)]
+        parts = []
+        for pieces in self.split(text):
+            self.remember(set(pieces))
+            parts.append(self.ids_of(pieces))
         return np.concatenate(parts) if parts else np.zeros(0, np.int32)
 
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """Encode texts of a segment's size together, longer ones each on its own."""
+        if sum(map(len, texts)) > 2 * SEGMENT:
+            return [self.encode(text) for text in texts]
+        split = [list(chain.from_iterable(self.split(text))) for text in texts]
+        self.remember(set().union(*split))
+        return [self.ids_of(pieces) for pieces in split]
+
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes.__getitem__, ids))
 
 
-class _Pieces(dict):
-    """Encodings of pieces that came before; a bounded number of short ones."""
-
-    def __init__(self, vocabulary: Vocabulary) -> None:
-        self.vocabulary = vocabulary
-
-    def __missing__(self, piece: str) -> tuple[int, ...]:
-        data = piece.encode()
-        found = self.vocabulary.piece(data)
-        if len(data) <= REMEMBERED_BYTES:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[piece] = found
-        return found
-
-
 class Prefixes:
     """The last token of every prefix of a growing or changing piece of bytes."""
 
@@ -146,38 +233,28 @@ class Prefixes:
         """Exact: what is stored stays, and each new byte adds a number."""
         low = len(self.data)
         self.data += more
-        self._go_on(low, None)
+        self.vocabulary.extend(self.data, low, self.last)
 
     def replace(self, start: int, stop: int, new: bytes) -> int:
         """Put ``new`` in place of the bytes from start to stop; how many numbers had to be worked out anew."""
-        old = self.last[stop + 1 :]
+        old, agreed, last = self.last[stop + 1 :], 0, self.last
         self.data = self.data[:start] + new + self.data[stop:]
-        del self.last[start + 1 :]
-        return self._go_on(start, (start + len(new), old))
-
-    def _go_on(self, low: int, earlier: tuple[int, array] | None) -> int:
-        follows, last, agreed = self.vocabulary.follows, self.last, 0
-        done = 0
-        for end, tokens in self.vocabulary.ending(self.data, low):
-            for n, rank in tokens:
-                if follows(last[end - n], rank):
-                    last.append(rank)
-                    break
-            done += 1
-            if earlier is not None and end > earlier[0]:
-                agreed = agreed + 1 if earlier[1][end - earlier[0] - 1] == last[end] else 0
-                if agreed >= self.vocabulary.longest:
-                    last.extend(earlier[1][end - earlier[0] :])
-                    break
+        del last[start + 1 :]
+        since = start + len(new)
+
+        def as_before(end: int) -> bool:
+            nonlocal agreed
+            if end > since:
+                agreed = agreed + 1 if old[end - since - 1] == last[end] else 0
+            return agreed >= self.vocabulary.longest
+
+        done = self.vocabulary.extend(self.data, start, last, as_before)
+        last.extend(old[len(last) - 1 - since :] if len(last) - 1 >= since else [])
         return done
 
     def ids(self, length: int | None = None) -> list[int]:
         """The encoding of the first ``length`` bytes, by default all."""
-        at, out = len(self.data) if length is None else length, []
-        while at:
-            out.append(self.last[at])
-            at -= len(self.vocabulary.bytes[out[-1]])
-        return out[::-1]
+        return self.vocabulary.back(self.last, len(self.data) if length is None else length)
 
 
 class Document:
@@ -256,7 +333,7 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", nam
         known = vocabulary(ranks_path, pattern)
         for batch in batches:
             for part in slices(batch, given, 1 << 20):
-                ids = [known.encode(value or "") for value in part.column(part.num_columns - 1).to_pylist()]
+                ids = known.encode_all([value or "" for value in part.column(part.num_columns - 1).to_pylist()])
                 ends = np.cumsum([0, *map(len, ids)])
                 made = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids)))
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], made], names=[*kept, name])

@@ -37,6 +37,21 @@ def test_same_as_tiktoken(known, plain):
         assert ids == plain.encode_ordinary(text) and known.decode(ids) == text.encode()
 
 
+def test_neighbours_are_what_merging_leaves_alone(known):
+    chance = random.Random(7)
+    ranks = list(known.bytes)
+    for _ in range(30_000):
+        left, right = chance.choice(ranks), chance.choice(ranks[: chance.choice([300, 3_000, len(ranks)])])
+        assert known._apart(left, right) == (known.merged(known.bytes[left] + known.bytes[right]) == [left, right])
+    # Pairs that come from cutting tokens in two are the ones most likely to be merged otherwise.
+    for token in chance.sample(ranks, 20_000):
+        data = known.bytes[token] + known.bytes[chance.choice(ranks[:2_000])]
+        cut = chance.randint(1, len(data) - 1)
+        left, right = known.rank.get(data[:cut]), known.rank.get(data[cut:])
+        if left is not None and right is not None:
+            assert known._apart(left, right) == (known.merged(data) == [left, right])
+
+
 def test_long_texts_and_pieces(known, plain):
     chance = random.Random(2)
     letters = "".join(chance.choices("abcde", k=300_000))
