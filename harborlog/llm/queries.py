@@ -8,7 +8,7 @@ from string import ascii_lowercase, ascii_uppercase
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborlog.llm import bpe, contamination, jaccard, language, licenses, lines, merkle, packing, repeats, secrets, shards, topk
+from harborlog.llm import bpe, collocations, contamination, jaccard, language, licenses, lines, merkle, packing, repeats, secrets, shards, topk
 from harborlog.plans import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -136,3 +136,8 @@ def op11_prefix_bpe(spark, sf_dir):
     return rows.select(
         "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(decimal.cast("binary"), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
+
+
+@registered
+def op12_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents").select("text", "lang"))

@@ -127,3 +127,31 @@ folding as (
 select doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(proof, lambda s: s.l || s.r), '')) as proof_sha256,
        node as folded_root, node = root as verified
 from folding where done = len(proof)"""
+
+ORACLES["op12_collocations"] = f"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, unnest(string_split_regex({LOWER.format("coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) as piece from documents),
+numbered as (select row_number() over () as id, lang, regexp_extract_all(piece, '[^\\x20\\x09]+') as w from pieces),
+words as (select id, lang, unnest(w) as w1, generate_subscripts(w, 1) as i from numbered),
+runs as materialized (
+  select lang, w1, lead(w1, 1) over ahead as w2, lead(w1, 2) over ahead as w3, lead(w1, 3) over ahead as w4
+  from words window ahead as (partition by id order by i)),
+places as (
+  select lang, 1 as k, w1 as phrase from runs
+  union all select lang, 2, w1 || ' ' || w2 from runs where w2 is not null
+  union all select lang, 3, w1 || ' ' || w2 || ' ' || w3 from runs where w3 is not null
+  union all select lang, 4, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 from runs where w4 is not null),
+f as materialized (select lang, k, phrase, count(*) as a from places group by all),
+totals as (select lang, cast(sum(a) as bigint) as n from f where k = 1 group by lang),
+candidates as materialized (select *, string_split(phrase, ' ') as w from f where k >= 2 and a >= 30),
+cuts as (
+  select c.lang, c.k, c.phrase, c.a, cut, x.a as l, y.a as r, cast((2000000::hugeint * c.a) // (x.a + y.a) as bigint) as score
+  from candidates c join (values (1), (2), (3)) as cuts(cut) on cut < c.k
+  join f x on x.lang = c.lang and x.k = cut and x.phrase = array_to_string(c.w[1:cut], ' ')
+  join f y on y.lang = c.lang and y.k = c.k - cut and y.phrase = array_to_string(c.w[cut + 1:], ' ')),
+best as (select * from cuts qualify row_number() over (partition by lang, phrase order by score, cut) = 1),
+kept as (
+  select * from best b where not exists (
+    select 1 from candidates m where m.lang = b.lang and m.k > b.k and 100 * m.a >= 80 * b.a and contains(' ' || m.phrase || ' ', ' ' || b.phrase || ' '))),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept)
+select lang, rank, phrase, a, l, r, n, score from ranked join totals using (lang) where rank <= 2000"""
