@@ -48,11 +48,11 @@ class Vocabulary:
         self._pairs: dict[int, bool] = {}
         self._halves: dict[int, tuple[int, int] | None] = {}
         self._pieces: dict[str, bytes] = {}
-        #: By its last three bytes, how long a token may be.
-        self._reach: dict[bytes, int] = {}
-        for token in self.rank:
-            if len(token) > 2:
-                self._reach[token[-3:]] = max(len(token), self._reach.get(token[-3:], 0))
+        #: By its last three bytes, how long a token may be, from the longest on.
+        self._lengths: dict[bytes, tuple[int, ...]] = {}
+        for token in sorted(self.rank, key=len):
+            if len(token) > 2 and len(token) not in self._lengths.get(token[-3:], (2, 1))[:1]:
+                self._lengths[token[-3:]] = (len(token), *self._lengths.get(token[-3:], (2, 1)))
         self._ends = ahocorasick.Automaton()
         for token, rank in self.rank.items():
             self._ends.add_word(token.decode("latin-1"), (len(token), rank))
@@ -179,7 +179,7 @@ class Vocabulary:
                 else:
                     known[piece] = whole.to_bytes(4, "little")
         missing.sort()
-        rank, reach, fits, check, last, former = self.rank.get, self._reach.get, self._pairs.get, self._check, [-1], b""
+        rank, lengths, fits, check, last, former = self.rank.get, self._lengths.get, self._pairs.get, self._check, [-1], b""
         for data, piece in missing:
             end, most = 0, min(len(data), len(former))
             while end < most and data[end] == former[end]:
@@ -191,7 +191,10 @@ class Vocabulary:
             else:
                 while end < len(data):
                     end += 1
-                    for low in range(max(0, end - reach(data[end - 3 : end], 2)) if end > 2 else 0, end):
+                    for n in lengths(data[end - 3 : end], (2, 1)) if end > 2 else (2, 1):
+                        low = end - n
+                        if low < 0:
+                            continue
                         token = rank(data[low:end])
                         if token is not None:
                             fit = fits((last[low] << 32) + token)
