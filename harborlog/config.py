@@ -31,6 +31,10 @@ class IngestConfig:
     acceptance: str = "strict"
     publish_tail: bool = True
     stream_id: str = "ingest"
+    #: ``staged`` files are renamed when they are published; ``direct`` ones are written where they stay (Parquet only).
+    publish: str = "staged"
+    #: Merge the manifest's parts as they come, so that readers visit few folders however many batches there were.
+    compact_manifest: bool = True
 
     def __post_init__(self) -> None:
         if not self.base_path:
@@ -39,6 +43,10 @@ class IngestConfig:
             raise ValueError("flush_size must be at least 1")
         if self.zero_pad_width < 0:
             raise ValueError("zero_pad_width must not be negative")
+        if self.publish not in ("staged", "direct"):
+            raise ValueError(f"unknown way to publish {self.publish!r}")
+        if self.publish == "direct" and self.format != "parquet":
+            raise ValueError("direct publishing writes Parquet files")
         if self.acceptance not in ("strict", "monotonic"):
             raise ValueError(f"unknown acceptance mode {self.acceptance!r}")
 

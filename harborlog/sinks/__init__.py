@@ -1,5 +1,6 @@
 """Sinks: output formats, and publishing staged files under their final names."""
 
+from harborlog.sinks.direct import stray_files, write_committed
 from harborlog.sinks.formats import FORMATS, OutputFormat, SequenceFormat, TableFormat, format_for
 from harborlog.sinks.publish import Part, publish
 
@@ -11,4 +12,6 @@ __all__ = [
     "TableFormat",
     "format_for",
     "publish",
+    "stray_files",
+    "write_committed",
 ]

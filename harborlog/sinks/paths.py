@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from urllib.parse import urlsplit
 
 from pyarrow import fs
@@ -63,3 +64,49 @@ def files_at(path: str) -> list[str]:
         for info in inside
         if info.type == fs.FileType.File and info.base_name.startswith("part-")
     ]
+
+
+def file_names(path: str) -> list[str]:
+    """Base names of the files directly in a directory."""
+    filesystem, name = resolve(path)
+    selector = fs.FileSelector(name, allow_not_found=True)
+    return [info.base_name for info in filesystem.get_file_info(selector) if info.type == fs.FileType.File]
+
+
+def put_if_absent(path: str, data: bytes) -> bool:
+    """Write a small file whole unless there is one; whether it was written.
+
+    A local file system decides between writers by itself. Others are asked first, so two writers at the very same moment need
+    a store that refuses the second.
+    """
+    filesystem, name = resolve(path)
+    filesystem.create_dir(name.rsplit("/", 1)[0], recursive=True)
+    if isinstance(filesystem, fs.LocalFileSystem):
+        # Written aside and linked, so that the file shows up whole.
+        aside = f"{name.rsplit('/', 1)[0]}/_{os.getpid()}-{os.urandom(8).hex()}"
+        with open(aside, "wb") as out:
+            out.write(data)
+        try:
+            os.link(aside, name)
+        except FileExistsError:
+            return False
+        finally:
+            os.unlink(aside)
+        return True
+    if filesystem.get_file_info(name).type != fs.FileType.NotFound:
+        return False
+    with filesystem.open_output_stream(name) as out:
+        out.write(data)
+    return True
+
+
+def delete_file(path: str) -> None:
+    filesystem, name = resolve(path)
+    if filesystem.get_file_info(name).type == fs.FileType.File:
+        filesystem.delete_file(name)
+
+
+def delete_if_empty(path: str) -> None:
+    filesystem, name = resolve(path)
+    if filesystem.get_file_info(name).type == fs.FileType.Directory and not filesystem.get_file_info(fs.FileSelector(name)):
+        filesystem.delete_dir(name)

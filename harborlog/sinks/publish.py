@@ -66,10 +66,12 @@ class Part:
     root: str
     stream_id: str
     batch_id: int
+    #: Written where it stays; the file that makes it a part comes last and commits it.
+    in_place: bool = False
 
     @property
     def written(self) -> str:
-        return f"{self.root}/_writing/{self.stream_id}-{self.batch_id}"
+        return self.path if self.in_place else f"{self.root}/_writing/{self.stream_id}-{self.batch_id}"
 
     @property
     def path(self) -> str:
@@ -79,15 +81,15 @@ class Part:
         rows.write.mode("overwrite").parquet(self.written)
 
     def attach(self, name: str, rows: DataFrame) -> None:
-        """Commit another table with the part. Call it after ``write``."""
+        """Commit another table with the part. Call it after ``write``, or before what commits a part that is written in place."""
         rows.write.mode("overwrite").parquet(f"{self.written}/_{name}")
 
     def attached(self, name: str) -> str | None:
         """Where a committed part has such a table, if it has one."""
-        return f"{self.path}/_{name}" if paths.exists(f"{self.path}/_{name}") else None
+        return f"{self.path}/_{name}" if paths.exists(f"{self.path}/_{name}") and self.committed() else None
 
     def committed(self) -> bool:
-        return paths.exists(self.path)
+        return any(name.startswith("part-") for name in paths.file_names(self.path))
 
     def commit(self) -> None:
         """Replace what an earlier attempt of the same batch committed."""

@@ -10,13 +10,14 @@ from harborlog.sources.envelope import (
     stream_topics,
 )
 from harborlog.sources.listing import committed_files, leaf_directories, list_files
-from harborlog.sources.manifest import MANIFEST_SCHEMA, read_manifest, rebuild_manifest
+from harborlog.sources.manifest import MANIFEST_SCHEMA, compact_manifest, read_manifest, rebuild_manifest
 
 __all__ = [
     "ENVELOPE",
     "MANIFEST_SCHEMA",
     "TOPIC_PARTITION",
     "committed_files",
+    "compact_manifest",
     "from_log_source",
     "leaf_directories",
     "list_files",

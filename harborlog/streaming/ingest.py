@@ -23,10 +23,11 @@ from harborlog.operators.payload import FAILFAST, MessageType, dead_letters, dec
 from harborlog.operators.positions import resume
 from harborlog.plans import Scratch, bounded, ranked, stored
 from harborlog.sinks import paths
+from harborlog.sinks.direct import write_committed
 from harborlog.sinks.formats import OutputFormat, format_for
 from harborlog.sinks.publish import Part, publish
 from harborlog.sources.envelope import TOPIC_PARTITION
-from harborlog.sources.manifest import read_manifest
+from harborlog.sources.manifest import compact_manifest, is_covered, read_manifest
 from harborlog.streaming.positions import Positions
 
 
@@ -89,8 +90,8 @@ def ingest_batch(
     stream_id = f"{config.stream_id}-{query_id}" if query_id else config.stream_id
     attempts = f"{config.staging_root}/{stream_id}-{batch_id}"
     paths.delete_directory(attempts)  # left by attempts that failed
-    part = Part(config.manifest_root, stream_id, batch_id)
-    if part.committed():
+    part = Part(config.manifest_root, stream_id, batch_id, config.publish == "direct")
+    if part.committed() or is_covered(config.manifest_root, stream_id, batch_id):
         return
     staging = f"{attempts}/{uuid.uuid4().hex}"
     positions = Positions(config.manifest_root, stream_id)
@@ -124,28 +125,39 @@ def ingest_batch(
         if message is not None and _keeps_value(output):
             rows = rows.withColumn("value", reencode(message, F.col("value")))
 
-        files = stored(_files(rows, config, output.extension), scratch=scratch)
-        staged = output.stage(rows, files, staging)
-        on_step("staged")
-        part.write(publish(files, staged))
-        on_step("published")
-
         # Positions follow the records taken in, not the files: a dead letter at the end moves the position as well.
-        # Manifest, positions and held records are committed by one rename, so none of them runs ahead of another.
-        if left is not None:
-            part.attach(HELD_BACK, _hold(delivered, left))
-        positions.advance(part, _ends(chunked, spans, config), before)
-        on_step("recorded")
-        part.commit()
+        ends = _ends(chunked, spans, config)
+        if config.publish == "direct":
+            _record(part, positions, delivered, left, ends, before)
+            on_step("recorded")
+            write_committed(rows, config.topics_root, part, output.extension, config.zero_pad_width)
+        else:
+            files = stored(_files(rows, config, output.extension), scratch=scratch)
+            staged = output.stage(rows, files, staging)
+            on_step("staged")
+            part.write(publish(files, staged))
+            on_step("published")
+            _record(part, positions, delivered, left, ends, before)
+            on_step("recorded")
+            part.commit()
         on_step("committed")
         positions.forget_before(batch_id)
         _forget_clocks(config, stream_id, batch_id)
+        if config.compact_manifest:
+            compact_manifest(spark, config.manifest_root, stream_id)
         paths.delete_directory(attempts)
     finally:
         landed.unpersist()
         scratch.delete()
 
 
+def _record(part: Part, positions: Positions, delivered: DataFrame, left: DataFrame | None, ends: DataFrame, before: DataFrame) -> None:
+    """Put held records and positions beside the manifest. All are committed at once, so none of them runs ahead of another."""
+    if left is not None:
+        part.attach(HELD_BACK, _hold(delivered, left))
+    positions.advance(part, ends, before)
+
+
 def published_files(spark: SparkSession, config: IngestConfig) -> DataFrame:
     """The manifest of everything published under ``config``."""
     return read_manifest(spark, config.manifest_root)

@@ -68,7 +68,8 @@ class Positions:
     def last_before(self, batch_id: int) -> Part | None:
         """The stream's last batch before this one."""
         numbers = [number for number in self._batches(self.stream_id) if number < batch_id]
-        return Part(self.root, self.stream_id, max(numbers)) if numbers else None
+        parts = (Part(self.root, self.stream_id, number) for number in reversed(numbers))
+        return next((part for part in parts if part.committed()), None)
 
     def _last(self, stream_id: str, before_batch: int | None) -> str | None:
         for number in reversed(self._batches(stream_id)):

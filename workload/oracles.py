@@ -298,6 +298,9 @@ select topic, kafka_partition, protocol as encoded_partition, min(kafka_offset)
        count(*) as n_records,
        topic || '+' || kafka_partition || '+' || printf('%010d', min(kafka_offset)) || '+' || printf('%010d', max(kafka_offset)) || '.parquet' as committed_file
 from rec join sizes using (topic, kafka_partition) where kafka_offset // 1000 < n_full group by topic, kafka_partition, protocol, kafka_offset // 1000""",
+    "manifest_compacted": f"""
+with {PLAN} select topic, kafka_partition, encoded_partition, start_offset, end_offset, n_records, committed_file from plan where complete""",
+    "manifest_addressed": f"with {REC} select topic, kafka_partition, event_id, protocol, props from rec",
     "tail_drained": f"with {REC} select topic, kafka_partition, event_id, protocol, props from rec",
     "crash_before_manifest": f"with {REC} select topic, kafka_partition, event_id, protocol, props from rec",
     "resume_new_checkpoint": f"with {REC} select topic, kafka_partition, event_id, protocol, props from rec",

@@ -11,11 +11,12 @@ from harborlog import IngestConfig, sources
 from harborlog import functions as H
 from harborlog import operators as O
 from harborlog.plans import new_folder, ship, stored
-from harborlog.sinks import SequenceFormat
+from harborlog.sinks import Part, SequenceFormat
 from harborlog.sources import (
     ENVELOPE,
     TOPIC_PARTITION,
     committed_files,
+    compact_manifest,
     leaf_directories,
     list_files,
     read_manifest,
@@ -31,6 +32,7 @@ QUERIES: dict[str, Query] = {}
 
 OFFSET = [*TOPIC_PARTITION, "kafka_offset"]
 DELIVERIES = 3
+BATCHES = 20
 
 
 def registered(build: Query) -> Query:
@@ -405,6 +407,45 @@ def exactly_once_ingest(spark, sf_dir):
     return rows.select(*TOPIC_PARTITION, "event_id", "protocol", "props")
 
 
+@registered
+def manifest_addressed(spark, sf_dir):
+    """Overlapping and replayed batches published in place: no file is renamed, and one put commits a batch."""
+    folder = new_folder(spark, "direct")
+    X.records(spark, sf_dir).select(*ENVELOPE.names).write.parquet(f"{folder}/log")
+    log = spark.read.schema(ENVELOPE).parquet(f"{folder}/log")
+    config = IngestConfig(base_path=f"{folder}/out", flush_size=X.FLUSH_SIZE, partitioner="protocol", publish="direct")
+
+    def fail(step: str) -> None:
+        if step == "recorded":
+            raise InterruptedError(step)
+
+    first, second = log.where("kafka_offset < 1300"), log.where("kafka_offset >= 800")
+    ingest_batch(first, 0, config, X.message())
+    ingest_batch(first, 0, config, X.message())
+    try:
+        ingest_batch(second, 1, config, X.message(), on_step=fail)
+    except InterruptedError:
+        pass
+    ingest_batch(second, 1, config, X.message())
+    rows = sources.read_committed(spark, config.topics_root, manifest=read_manifest(spark, config.manifest_root))
+    return rows.select(*TOPIC_PARTITION, "event_id", "protocol", "props")
+
+
+@registered
+def manifest_compacted(spark, sf_dir):
+    """The file plan as the manifest of many batches, merged as they come, read through the runs and the newest parts."""
+    root = f"{new_folder(spark, 'manifest')}/manifest"
+    columns = [*TOPIC_PARTITION, "encoded_partition", "start_offset", "end_offset", "n_records", "committed_file"]
+    plan = X.published(spark, sf_dir).select(*columns, F.lit("").alias("path"))
+    plan = stored(plan.withColumn("batch", F.pmod(F.xxhash64("committed_file"), F.lit(BATCHES))))
+    for batch_id in range(BATCHES):
+        part = Part(root, "plan", batch_id)
+        part.write(plan.where(F.col("batch") == batch_id).drop("batch"))
+        part.commit()
+        compact_manifest(spark, root, "plan", fan_in=3)
+    return read_manifest(spark, root).select(*columns)
+
+
 @registered
 def stream_ingest(spark, sf_dir):
     """The log arrives in three deliveries that overlap; the stream is restarted for each."""
