@@ -6,8 +6,10 @@
 
 from __future__ import annotations
 
+import pickle
 import sys
 from collections.abc import Iterator
+from itertools import chain
 from typing import Any
 
 import numpy as np
@@ -25,20 +27,46 @@ from harborlog.streaming.positions import Positions
 
 
 class _Acceptor(StatefulProcessor):
+    """The position of a topic-partition, and a buffer for the rows of a micro-batch that come in several pieces.
+
+    Pieces come in any order, so what is accepted is known after the last one. Until then their rows are kept in the state
+    store, which is on disk, and memory holds two numbers per row.
+    """
+
     def __init__(self, columns: list[str], arrival: str, strict: bool) -> None:
         self.columns, self.arrival, self.strict = columns, arrival, strict
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.position = handle.getValueState("position", "expected bigint")
+        self.buffer = handle.getListState("buffer", "piece binary")
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timer: Any) -> Iterator[pd.DataFrame]:
-        # The rows of one key and micro-batch; the source's rate limit bounds them.
-        batch = pd.concat(list(rows), ignore_index=True).sort_values(self.arrival)
-        offsets = batch["kafka_offset"].to_numpy()
+        first, second = next(rows), next(rows, None)
+        if second is None:
+            (keep,) = self._accepted([first[[self.arrival, "kafka_offset"]].to_numpy(np.int64)])
+            yield first.sort_values(self.arrival)[self.columns] if keep.all() else first[keep].sort_values(self.arrival)[self.columns]
+            return
+        seen = []
+        for piece in chain((first, second), rows):
+            seen.append(piece[[self.arrival, "kafka_offset"]].to_numpy(np.int64))
+            self.buffer.appendValue((pickle.dumps(piece[self.columns], protocol=pickle.HIGHEST_PROTOCOL),))
+        del first, second, piece
+        for keep, (data,) in zip(self._accepted(seen), self.buffer.get()):
+            if keep.any():
+                yield pickle.loads(bytes(data))[keep]
+        self.buffer.clear()
+
+    def _accepted(self, pieces: list[np.ndarray]) -> list[np.ndarray]:
+        """Which rows of each piece are accepted; moves the position."""
+        seen = np.concatenate(pieces)
+        order = np.argsort(seen[:, 0], kind="stable")
+        offsets = seen[order, 1]
         expected = int(self.position.get()[0]) if self.position.exists() else int(offsets[0])
-        keep, expected = (_strict if self.strict else _monotonic)(offsets, expected)
+        in_order, expected = (_strict if self.strict else _monotonic)(offsets, expected)
         self.position.update((expected,))
-        yield batch[keep][self.columns]
+        keep = np.zeros(len(offsets), bool)
+        keep[order] = in_order
+        return np.split(keep, np.cumsum([len(piece) for piece in pieces])[:-1])
 
     def close(self) -> None:
         pass
@@ -49,8 +77,9 @@ def stream_accept(
 ) -> DataFrame:
     """Drop stale and out-of-order records of a stream; see ``accept_strict`` and ``accept_monotonic``.
 
-    Micro-batches must deliver in order of ``arrival``. The records of a topic-partition in one micro-batch are sorted
-    in one task, so bound micro-batches by the rate limit of the source. Needs the RocksDB state store.
+    Micro-batches must deliver in order of ``arrival``. The records of a topic-partition in one micro-batch go through one task,
+    which holds two numbers for each, and the records themselves in the state store; bound micro-batches by the rate limit of the
+    source. Needs the RocksDB state store.
     """
     # Spark starts the processor once on the driver, in a process that does not see added Python files.
     cloudpickle.register_pickle_by_value(sys.modules[__name__])

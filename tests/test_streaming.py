@@ -47,3 +47,31 @@ def test_positions_carry_over_restarts(spark, tmp_path, mode, stateful):
     for row in spark.read.parquet(str(tmp_path / "out")).collect():
         got[row.topic].append(row.arrival_seq)
     assert {topic: sorted(seqs) for topic, seqs in got.items()} == expected
+
+
+def test_rows_of_a_hot_key_go_through_the_state_store(spark, tmp_path):
+    """Rows of one key come in several pieces; they are wide, and none are put together."""
+    import resource
+
+    spark.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    )
+    from pyspark.sql import functions as F
+
+    n = 60_000
+    rows = spark.range(n).select(
+        F.lit("t").alias("topic"), F.lit(0).alias("kafka_partition"),
+        # The second half redelivers the first but for its last tenth.
+        F.expr(f"if(id < {n // 2}, id, id - {n // 2} + {n // 20})").alias("kafka_offset"), F.col("id").alias("arrival_seq"),
+        F.rpad(F.col("id").cast("string"), 200, "x").alias("wide"),
+    )
+    rows.repartition(6).write.parquet(str(tmp_path / "log"))
+    log = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "log"))
+    writer = stream_accept(log).writeStream.format("parquet").trigger(availableNow=True)
+    writer.option("checkpointLocation", str(tmp_path / "checkpoint")).start(str(tmp_path / "out")).awaitTermination()
+    kept = spark.read.parquet(str(tmp_path / "out"))
+    assert kept.count() == n // 2 + n // 20 == kept.select("kafka_offset").distinct().count()
+    assert kept.where(f"arrival_seq < {n // 2}").count() == n // 2
+    workers = spark.sparkContext.parallelize([0], 1).map(lambda _: resource.getrusage(resource.RUSAGE_SELF).ru_maxrss).first()
+    assert workers < 1 << 20

@@ -569,11 +569,12 @@ def stream_accept(spark, sf_dir):
 
 @registered
 def stream_accept_stateful(spark, sf_dir):
-    """The same with the stateful operator; a delivery bounds what one task sorts."""
+    """The same with the stateful operator; its task holds two numbers per record of a delivery."""
     folder = new_folder(spark, "stateful")
     rocks = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", rocks)
     for log in _deliveries(X.redelivered(spark, sf_dir), "arrival_seq", folder):
+        # Deliveries keep the order of arrival.
         writer = accept_stream(log).writeStream.format("parquet").trigger(availableNow=True)
         query = writer.option("checkpointLocation", f"{folder}/checkpoint").start(f"{folder}/accepted")
         query.awaitTermination()
