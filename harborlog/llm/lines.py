@@ -79,7 +79,7 @@ class LineRuns:
 
 
 def drop_frequent_lines(
-    df: DataFrame, text: str = "text", identity: str = "doc_id", min_docs: int = 10, min_length: int = 1, batches: int = 4
+    df: DataFrame, text: str = "text", identity: str = "doc_id", min_docs: int = 10, min_length: int = 1, batches: int = 6
 ) -> DataFrame:
     """Add n_lines, n_dropped and kept_text: the text without lines that ``min_docs`` rows or more have.
 

@@ -128,28 +128,30 @@ def plan(histogram: np.ndarray, window: int) -> Plan:
     return Plan(*columns, sequence)
 
 
-_encodings: dict[tuple[str, str], object] = {}
+_encodings: dict[tuple, object] = {}
 
 
-def encoding(ranks_path: str, pattern: str):
-    """The byte-level BPE of a file with a base64 piece and its rank in each line; special tokens are ordinary text."""
-    if (ranks_path, pattern) not in _encodings:
+def encoding(ranks_path: str, pattern: str, special: dict[str, int] | None = None):
+    """The byte-level BPE of a file with a base64 piece and its rank in each line; ``special`` strings are tokens of their own."""
+    key = ranks_path, pattern, tuple(sorted((special or {}).items()))
+    if key not in _encodings:
+        _encodings.clear()
         import tiktoken
 
         with open(ranks_path, "rb") as lines:
             ranks = {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, lines)}
-        _encodings[ranks_path, pattern] = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-    return _encodings[ranks_path, pattern]
+        _encodings[key] = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special or {})
+    return _encodings[key]
 
 
-def _cut(ranks_path: str, pattern: str, window: int, end_id: int):
+def _cut(ranks_path: str, pattern: str, special: dict[str, int] | None, window: int, end_id: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = encoding(ranks_path, pattern)
+        known = encoding(ranks_path, pattern, special)
         for batch in batches:
             for part in slices(batch, "text", 1 << 20):
                 row, start, length, crc, total = [], [], [], [], []
                 for k, value in enumerate(part.column("text").to_pylist()):
-                    ids = np.array([*known.encode_ordinary(value or ""), end_id], "<u4")
+                    ids = np.array([*known.encode(value or "", allowed_special="all"), end_id], "<u4")
                     for low in range(0, len(ids), window):
                         piece = ids[low : low + window]
                         row.append(k)
@@ -166,17 +168,19 @@ def _cut(ranks_path: str, pattern: str, window: int, end_id: int):
 
 
 def pack(
-    df: DataFrame, ranks_path: str, pattern: str, window: int = 1024, text: str = "text", identity: str = "doc_id", end_id: int = 0
+    df: DataFrame, ranks_path: str, pattern: str, window: int = 1024, text: str = "text", identity: str = "doc_id", end_id: int = 0,
+    special: dict[str, int] | None = None,
 ) -> DataFrame:
     """Cut every text's tokens (byte-level BPE by the ranks of its pieces, words cut by the pattern), followed by ``end_id``, into pieces and place these in sequences of at most ``window`` tokens.
 
+    Strings in ``special`` are single tokens with the given ids wherever they stand in a text.
     Per piece: identity, start, length, ids_crc32, doc_tokens, sequence_id, offset. A null or empty text is the end alone.
     Repeated rows are packed as often as they occur. An empty table has no sequences.
     """
     spark = df.sparkSession
     rows = df.select(F.col(identity).alias("id"), F.col(text).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    cut = rows.mapInArrow(_cut(ranks_path, pattern, window, end_id), f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long")
+    cut = rows.mapInArrow(_cut(ranks_path, pattern, special, window, end_id), f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long")
     pieces = stored(cut.withColumn("row", F.monotonically_increasing_id()))
     counts = pieces.groupBy("length").count().collect()  # at most one row per length
     histogram = np.zeros(window + 1, np.int64)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from string import ascii_lowercase, ascii_uppercase
 
@@ -41,6 +42,12 @@ def byte_bpe() -> tuple[str, str]:
     return public_vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+def added_tokens() -> dict[str, int]:
+    """Tokens that byte_bpe_50k.json adds to its vocabulary: its tokenizer finds them in any text."""
+    with open(public_vocabulary("byte_bpe_50k.json"), encoding="utf-8") as file:
+        return {token["content"]: token["id"] for token in json.load(file)["added_tokens"]}
+
+
 def held_out(doc_id: Column) -> Column:
     """Documents that language models don't learn from."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(False))
@@ -64,7 +71,7 @@ def op2_benchmark_leaks(spark, sf_dir):
 
 @registered
 def op4_packed_sequences(spark, sf_dir):
-    return packing.pack(table(spark, sf_dir, "documents"), *byte_bpe())
+    return packing.pack(table(spark, sf_dir, "documents"), *byte_bpe(), special=added_tokens())
 
 
 @registered

@@ -16,9 +16,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from harborlog.llm.bitmaps import marked, table_of
 from harborlog.llm.bytewords import _tables_for, mixed, raw, slices, span_hashes
+from harborlog.llm.shards import number_rows
 from harborlog.plans import stored
 
 PIECE = 20
@@ -157,16 +159,24 @@ def _compare(length: int):
     return run
 
 
+def _ordered(rows: DataFrame) -> DataFrame:
+    """Add ``doc``, a number of each row in the order of identities: the identity itself where it is a number of one row only."""
+    odd = rows.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("id is null or n > 1")
+    if isinstance(rows.schema["id"].dataType, IntegralType) and odd.isEmpty():
+        return rows.withColumn("doc", F.col("id").cast("bigint"))
+    numbered = number_rows(rows.withColumn("none", F.col("id").isNull()), ["none", "id"])
+    return numbered.select("id", "text", F.col("row_number").alias("doc"))
+
+
 def remove_repeats(df: DataFrame, length: int = 100, text: str = "text", identity: str = "doc_id") -> DataFrame:
     """Per row: identity, n_bytes, n_removed, n_spans, kept_sha256, kept (bytes).
 
     A byte goes if a string of ``length`` bytes that covers it also starts earlier: in a document of smaller identity, or earlier
-    in the same. Matches are judged on the input and never cross documents; null is empty. Identities should be unique: rows of
-    one identity are one document, whose repeats don't count against each other at equal places. Null identities come last.
+    in the same. Matches are judged on the input and never cross documents; null is empty. Every row is a document: rows of one
+    identity stand in any, but fixed, order after each other, and rows without one come last.
     """
-    spark = df.sparkSession
-    rows = df.select(F.col(identity).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    keyed = rows.select(F.coalesce("id", F.lit((1 << 63) - 1)).cast("bigint").alias("id"), "text")
+    rows = _ordered(df.select(F.col(f"`{identity}`").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")))
+    keyed = rows.select(F.col("doc").alias("id"), "text")
     counted = keyed.select("text").mapInArrow(_all_anchors(length), "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n"))
     schema = "anchor long, context long, before long, behind long, doc long, start long"
     found = keyed.mapInArrow(_occurrences(length, table_of(counted.where("n > 1"), "anchor"), False), schema)
@@ -207,6 +217,6 @@ def remove_repeats(df: DataFrame, length: int = 100, text: str = "text", identit
                     [part.column("own"), *(pa.array(c, k) for c, k in zip(out, kinds))], names=[identity, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
                 )
 
-    joined = rows.select(F.col("id").alias("own"), F.coalesce("id", F.lit((1 << 63) - 1)).cast("bigint").alias("doc"), "text").join(by_doc, "doc", "left").select("own", "text", "spans")
+    joined = rows.select(F.col("id").alias("own"), "doc", "text").join(by_doc, "doc", "left").select("own", "text", "spans")
     kind = rows.schema["id"].dataType.simpleString()
     return joined.mapInArrow(cut, f"`{identity}` {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")

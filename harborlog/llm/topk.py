@@ -23,8 +23,8 @@ PIVOTS = 32
 PIVOT_SAMPLE = 2048
 QUERY_BLOCK = 1024
 BLOCK = 8192
-#: Candidates that are evaluated at once, in the order of their bounds.
-STEP = 256
+#: Candidates with the best bounds that are evaluated first; then four times as many, and so on.
+STEP = 512
 
 
 def quantised(df: DataFrame, vector: str, identity: str, scale: int) -> DataFrame:
@@ -46,8 +46,12 @@ def choose_pivots(vectors: np.ndarray, n: int) -> np.ndarray:
     return vectors[chosen]
 
 
-def _matrix(column) -> np.ndarray:
-    return np.array([np.asarray(v, np.float64) for v in column]) if len(column) else np.zeros((0, 1))
+def _matrix(column, width: int) -> np.ndarray:
+    """Vectors as rows; zeros where one is shorter than ``width``."""
+    out = np.zeros((len(column), width))
+    for row, vector in zip(out, column):
+        row[: len(vector)] = vector
+    return out
 
 
 def _distances(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
@@ -56,24 +60,40 @@ def _distances(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
 
 
 def best(query_ids, queries, to_query, ids, vectors, to_vector, k) -> list[tuple[int, int, int]]:
-    """The best k of a block for each query of a block, exactly; ties to the smaller id."""
+    """The best k of a block for each query of a block, exactly; ties to the smaller id.
+
+    Candidates are taken by their bounds, best first, in growing steps. After each, those whose bound is below the k-th score are out
+    of the question, and it stops when none is left.
+    """
     out = []
     norm = (vectors**2).sum(1)
+    far = np.ascontiguousarray(to_vector.T, np.float32)
+    # Distances are rounded, so a gap gets some room.
+    room = np.float32(1e-6 * (1 + float(to_vector.max(initial=0)) + float(to_query.max(initial=0))))
+    gap, step = np.empty(len(vectors), np.float32), np.empty(len(vectors), np.float32)
     for i, q in enumerate(queries):
-        gap = np.abs(to_vector - to_query[i]).max(1) if to_vector.shape[1] else np.zeros(len(vectors))
-        # Distances are rounded, so the bound gets some room.
-        bound = ((q @ q) + norm - np.maximum(gap - 1e-6 * (1 + gap), 0) ** 2) / 2 + 1e-3
-        bound[ids == query_ids[i]] = -np.inf
-        order = np.argsort(-bound)
-        kept_score, kept_id = np.zeros(0), np.zeros(0, np.int64)
-        for low in range(0, len(order), STEP):
-            part = order[low : low + STEP]
-            if bound[part[0]] == -np.inf or len(kept_score) == k and bound[part[0]] < kept_score[-1]:
-                break
-            part = part[bound[part] > -np.inf]
+        gap[:] = room
+        for pivot, distance in zip(far, to_query[i].astype(np.float32)):
+            np.subtract(pivot, distance, out=step)
+            np.abs(step, out=step)
+            np.maximum(gap, step, out=gap)
+        bound = (q @ q + norm - (gap - room).astype(np.float64) ** 2) / 2 + 1e-3
+        open_rows = np.flatnonzero(ids != query_ids[i])
+        kept_score, kept_id, size = np.zeros(0), np.zeros(0, np.int64), STEP
+        while len(open_rows):
+            part, rest = open_rows, open_rows[:0]
+            if len(open_rows) > size:
+                order = np.argpartition(-bound[open_rows], size)
+                part, rest = open_rows[order[:size]], open_rows[order[size:]]
             score, at = np.concatenate((kept_score, vectors[part] @ q)), np.concatenate((kept_id, ids[part]))
+            if len(score) > 8 * k:
+                # All that reach the k-th score, ties included.
+                reach = np.flatnonzero(score >= np.partition(score, len(score) - k)[len(score) - k])
+                score, at = score[reach], at[reach]
             top = np.lexsort((at, -score))[:k]
             kept_score, kept_id = score[top], at[top]
+            open_rows = rest if len(kept_score) < k else rest[bound[rest] >= kept_score[-1]]
+            size *= 4
         out += [(int(query_ids[i]), int(x), int(s)) for x, s in zip(kept_id, kept_score)]
     return out
 
@@ -83,7 +103,7 @@ def top_k(df: DataFrame, queries: DataFrame, k: int, vector: str = "embedding",
 
     Components become floor(scale * x). Rows with the query's own identity are no candidates. Ties go to the smaller identity.
     Null vectors, vectors with null or non-finite components, and null identities take no part. Repeated rows are repeated
-    candidates; a repeated query is one query. All vectors must have one length.
+    candidates; a repeated query is one query. A vector that is shorter than others has zeros in the places it lacks.
     """
     spark = df.sparkSession
     all_rows = stored(quantised(df, vector, identity, scale).where("id is not null"))
@@ -91,11 +111,12 @@ def top_k(df: DataFrame, queries: DataFrame, k: int, vector: str = "embedding",
     sample = all_rows.limit(PIVOT_SAMPLE).toArrow()  # which vectors are pivots changes no result
     if not sample.num_rows:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    shared = spark.sparkContext.broadcast(choose_pivots(_matrix(sample["v"].to_pylist()), PIVOTS))
+    width = all_rows.unionByName(asked).agg(F.max(F.size("v"))).first()[0]
+    shared = spark.sparkContext.broadcast(choose_pivots(_matrix(sample["v"].to_pylist(), width), PIVOTS))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            far = _distances(_matrix(batch.column("v").to_pylist()), shared.value) if batch.num_rows else np.zeros((0, 1))
+            far = _distances(_matrix(batch.column("v").to_pylist(), width), shared.value) if batch.num_rows else np.zeros((0, 1))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(list(far), pa.list_(pa.float64()))], names=["id", "v", "far"])
 
     def blocked(rows: DataFrame, size: int) -> tuple[DataFrame, int]:
@@ -110,8 +131,8 @@ def top_k(df: DataFrame, queries: DataFrame, k: int, vector: str = "embedding",
 
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         rows = best(
-            left["id"].to_numpy(), _matrix(left["v"]), _matrix(left["far"]),
-            right["id"].to_numpy(), _matrix(right["v"]), _matrix(right["far"]), k,
+            left["id"].to_numpy(), _matrix(left["v"], width), np.stack(left["far"]),
+            right["id"].to_numpy(), _matrix(right["v"], width), np.stack(right["far"]), k,
         ) if len(left) and len(right) else []
         return pd.DataFrame(rows, columns=["query_id", "vec_id", "score"]).astype("int64")
 

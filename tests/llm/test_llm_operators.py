@@ -115,6 +115,27 @@ def test_line_runs_by_batches(spark, tmp_path):
     assert len(runs.levels) > 2
 
 
+def test_later_batches_leave_out_lines_that_runs_know_to_be_frequent(spark):
+    """With more batches than the fan-out, what comes after the first compaction is anti-joined with the frequent runs."""
+    rows = [(i, f"every document\nown {i}") for i in range(300)]
+    made, add = [], lines.LineRuns.add
+
+    class Watched(lines.LineRuns):
+        def add(self, batch):
+            known = len(self.frequent)
+            add(self, batch)
+            if known:
+                made.append((batch.count(), self.spark.read.parquet(f"{self.path}/run-{self._made}").count() if len(self.levels[0]) else None))
+
+    original, lines.LineRuns = lines.LineRuns, Watched
+    try:
+        out = lines.drop_frequent_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    finally:
+        lines.LineRuns = original
+    assert made and all(after == before - 1 for before, after in made)
+    assert {(r.n_lines, r.n_dropped, r.kept_text) for r in out} == {(2, 1, f"own {i}") for i in range(300)}
+
+
 def test_jaccard_components(table, texts, nothing):
     out = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_components(table).collect()}
     assert out == components(texts)
@@ -149,9 +170,8 @@ def test_contamination_in_blocks(spark, table, texts, monkeypatch):
 
 
 def test_packing(table, texts, nothing):
-    out = packing.pack(table, *queries.byte_bpe(), window=64).collect()
+    out = packing.pack(table, *queries.byte_bpe(), window=64, special=queries.added_tokens()).collect()
     encode = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    encode.encode_special_tokens = True
     ids = {i: np.array([*encode.encode(t or "", add_special_tokens=False).ids, 0], "<u4") for i, t in texts.items()}
     for i, own in ids.items():
         at = 0
@@ -170,10 +190,10 @@ def test_packing(table, texts, nothing):
 
 def test_ids_are_those_of_the_json_file():
     encode = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    encode.encode_special_tokens = True
-    odd = ["", "a  b", "a \n b", " x", "\u3000 z a", "don't 's 're <|endoftext|> x", "é ñ ü", "日本 語", "1 2 3 ,, .\t b", "a \x1c b", "tail ", "😀" * 50, "a" * 3000]
-    known = packing.encoding(*queries.byte_bpe())
-    assert [known.encode_ordinary(t) for t in odd] == [e.ids for e in encode.encode_batch(odd, add_special_tokens=False)]
+    odd = ["a <|endoftext|> b", "<|endoftext|><|endoftext|>", "x<|endoftext|", "", "a  b", "a \n b", " x", "\u3000 z a", "don't 's 're <|endoftext|> x", "é ñ ü", "日本 語", "1 2 3 ,, .\t b", "a \x1c b", "tail ", "😀" * 50, "a" * 3000]
+    known = packing.encoding(*queries.byte_bpe(), queries.added_tokens())
+    assert known.encode(odd[0], allowed_special="all") == [64, 220, 50256, 275]
+    assert [known.encode(t, allowed_special="all") for t in odd] == [e.ids for e in encode.encode_batch(odd, add_special_tokens=False)]
 
 
 def test_packing_plan_uses_every_piece_once():
@@ -190,6 +210,33 @@ def test_repeats(table, texts, nothing):
     assert repeats.remove_repeats(nothing).count() == 0
 
 
+def test_repeats_of_repeated_and_null_identities(spark):
+    """Every row is a document of its own; which of equal identities comes first is open, so sums are compared."""
+    first, second, third = ("".join(random.Random(i).choices("abcdefgh ", k=400)) for i in range(3))
+    rows = [(5, first), (5, second + first[:150]), (None, first), (None, third), (None, None), (9, third)]
+    out = repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(((r.doc_id or -1), r.n_bytes) for r in out) == sorted((i or -1, len(t or "")) for i, t in rows)
+    removed = sorted((r.n_bytes, r.n_removed) for r in out)
+    assert removed in ([(0, 0), (400, 0), (400, 0), (400, 400), (400, 400), (550, 150)], [(0, 0), (400, 0), (400, 150), (400, 400), (400, 400), (550, 0)])
+    distinct = repeats.remove_repeats(spark.createDataFrame([("b", first), ("a", first)], "doc_id string, text string")).collect()
+    assert {r.doc_id: r.n_removed for r in distinct} == {"a": 0, "b": 400}
+
+
+def test_top_k_of_vectors_of_two_lengths_and_ties(spark):
+    chance = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in chance.integers(-2, 3, size=3 + i % 2)]) for i in range(3000)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    whole = np.array([[*v, 0.0][:4] for _, v in rows])
+    whole = (64 * whole).astype(int)
+    out: dict = {}
+    for r in topk.top_k(table, table.where("vec_id % 500 = 0"), 30).collect():
+        out.setdefault(r.query_id, {})[r["rank"]] = (r.vec_id, r.score)
+    for q in range(0, 3000, 500):
+        score = whole @ whole[q]
+        best = [i for i in np.lexsort((np.arange(3000), -score)) if i != q][:30]
+        assert [out[q][k + 1] for k in range(30)] == [(i, score[i]) for i in best]
+
+
 def test_top_k(spark):
     chance = np.random.default_rng(2)
     vectors = np.round(chance.normal(size=(300, 6)), 1)
