@@ -7,7 +7,9 @@ from prefix sums modulo 2**64 and then mixed; it doesn't depend on where the wor
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -140,3 +142,17 @@ def slices(batch: pa.RecordBatch, column: str, size: int = 4 << 20) -> Iterator[
     for low, high in zip(cuts, cuts[1:]):
         if high > low:
             yield batch.slice(low, high - low)
+
+
+def tidied(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A task's function that gives memory back when it ends: a worker goes on to other stages, and keeps what it doesn't give back."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+    return each

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from harborlog.llm.bytewords import mixed, shingles, slices, words
+from harborlog.llm.bytewords import mixed, shingles, slices, tidied, words
 
 #: Bytes of item texts in one pass over the documents; further items take further passes.
 BLOCK_BYTES = 8 << 20
@@ -118,7 +118,7 @@ def find_items(
                             names=["id", "item", "n_item", "n_shared"],
                         )
 
-        return texts.mapInArrow(run, f"id {kinds['id']}, item {kinds['item']}, n_item long, n_shared long")
+        return texts.mapInArrow(tidied(run), f"id {kinds['id']}, item {kinds['item']}, n_item long, n_shared long")
 
     out = None
     for n in range(blocks):

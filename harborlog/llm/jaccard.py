@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from harborlog.llm.bitmaps import marked, table_of
-from harborlog.llm.bytewords import mixed, shingles, slices, words
+from harborlog.llm.bytewords import mixed, shingles, slices, tidied, words
 from harborlog.plans import stored
 
 #: Counters of shingles, by their leading bits. All documents count; the bound is on resolution only, and any order is right.
@@ -65,7 +65,7 @@ def _merge(rows: pd.DataFrame) -> pd.DataFrame:
 
 def shingle_counts(texts: DataFrame) -> np.ndarray:
     """In how many rows shingles occur, by counter; a fixed size, so it may go to the driver."""
-    merged = texts.mapInArrow(_count, "chunk int, counts binary").groupBy("chunk").applyInPandas(_merge, "chunk int, counts binary")
+    merged = texts.mapInArrow(tidied(_count), "chunk int, counts binary").groupBy("chunk").applyInPandas(_merge, "chunk int, counts binary")
     total = np.zeros((1 << COUNTER_BITS >> CHUNK_BITS, 1 << CHUNK_BITS), np.int32)
     for row in merged.collect():
         total[row["chunk"]] = np.frombuffer(zlib.decompress(row["counts"]), np.int32)
@@ -164,13 +164,13 @@ def jaccard_components(df: DataFrame, text: str = "text", identity: str = "doc_i
     texts = df.select(F.col(identity).alias("id"), F.col(text).alias("text"))
     counts = spark.sparkContext.broadcast(shingle_counts(texts.select("text")))
     schema = "id long, n long, d1 long, d2 long, tokens array<bigint>, sketch array<bigint>"
-    base = stored(texts.mapInArrow(_described(percent, counts, False), schema))
+    base = stored(texts.mapInArrow(tidied(_described(percent, counts, False)), schema))
     whole = base.where("n > 0 and id is not null")
     classes = stored(whole.groupBy("d1", "d2").agg(F.min("id").alias("id"), F.first("n").alias("n")))
     heads = whole.join(classes.select("id", "d1", "d2"), ["id", "d1", "d2"], "left_semi")
     # Tokens of a single class go before postings move.
     shared = heads.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    postings = heads.select("id", "n", "tokens").mapInArrow(_postings(table_of(shared, "token")), "token long, id long, n long")
+    postings = heads.select("id", "n", "tokens").mapInArrow(tidied(_postings(table_of(shared, "token"))), "token long, id long, n long")
     live = stored(postings.groupBy("token", "id").agg(F.first("n").alias("n")))
     names = stored(live.select("id").distinct())
     sketches = stored(heads.join(names, "id", "left_semi").select("id", "d1", "d2", "sketch").dropDuplicates(["id", "d1", "d2"]).select("id", "sketch"))
@@ -191,7 +191,7 @@ def jaccard_components(df: DataFrame, text: str = "text", identity: str = "doc_i
             return pairs.select(F.col("la").alias("a"), F.col("lb").alias("b"))
         ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
         own = texts.join(ids, "id", "left_semi").dropDuplicates(["id", "text"])
-        sets = stored(own.mapInArrow(_described(percent, None, True), schema).select("id", "n", "tokens"))
+        sets = stored(own.mapInArrow(tidied(_described(percent, None, True)), schema).select("id", "n", "tokens"))
         x = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
         y = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
         both = pairs.join(x, "a").join(y, "b")

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from harborlog.llm.bytewords import LOWER, raw, slices, span_hashes, words
+from harborlog.llm.bytewords import LOWER, raw, slices, span_hashes, tidied, words
 
 #: Longest piece in bytes that is used, and longest part of a word that is scored in one pass; longer words are cut.
 PIECE_BYTES = 12
@@ -173,7 +173,7 @@ def train(labelled: DataFrame, vocabulary_path: str, text: str = "text", lang: s
     for name, n in totals.items():
         part = F.when(F.col("lang") == name, F.lit(int(min(1.0, SAMPLE_TEXTS / max(n, 1)) * (1 << 20)))).otherwise(part)
     chosen = rows.where(F.pmod("mark", F.lit(1 << 20)) < part).dropDuplicates(["lang", "mark"]).select("lang", "text")
-    counted = chosen.mapInArrow(_count_words, "lang string, word binary, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    counted = chosen.mapInArrow(tidied(_count_words), "lang string, word binary, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     got = counted.toArrow().to_pandas()
     languages = sorted(totals)
     got = got[got["lang"].isin(languages)]
@@ -239,8 +239,8 @@ def predict(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
                     value = np.zeros((len(unique), len(languages)))
                     value[hit] = memory[0].value[place[hit]]
                     new = np.flatnonzero(~hit)
-                    for low in range(0, len(new), 20_000):
-                        some = new[low : low + 20_000]
+                    for low in range(0, len(new), 5_000):
+                        some = new[low : low + 5_000]
                         value[some] = word_scores(_terms(data, start[at[some]], end[at[some]]), pieces, chance)
                     if len(new):
                         memory[0].add(unique[new], value[new])
@@ -255,6 +255,7 @@ def predict(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
                     [*part.columns, names, pa.array(np.where(known, share, 0.0), pa.float64())],
                     names=[*part.schema.names, "lang_pred", "score"],
                 )
+        memory.clear()
 
     schema = df.select("*", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
-    return df.mapInArrow(score, schema)
+    return df.mapInArrow(tidied(score), schema)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from harborlog.llm.bytewords import slices
+from harborlog.llm.bytewords import slices, tidied
 from harborlog.plans import stored
 
 STEPS = 800
@@ -180,7 +180,7 @@ def pack(
     spark = df.sparkSession
     rows = df.select(F.col(identity).alias("id"), F.col(text).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    cut = rows.mapInArrow(_cut(ranks_path, pattern, special, window, end_id), f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long")
+    cut = rows.mapInArrow(tidied(_cut(ranks_path, pattern, special, window, end_id)), f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long")
     pieces = stored(cut.withColumn("row", F.monotonically_increasing_id()))
     counts = pieces.groupBy("length").count().collect()  # at most one row per length
     histogram = np.zeros(window + 1, np.int64)
