@@ -1,6 +1,6 @@
 """Plan shapes shared by the operators: sliced scans, stored join sides, the shared folder."""
 
-from harborlog.plans.bounded import Scratch, bounded, stored
+from harborlog.plans.bounded import Scratch, bounded, intermediate, stored
 from harborlog.plans.shipping import ship
 from harborlog.plans.sliced import SLICE_WIDTH, ranked, running_before, running_total, with_slice
 from harborlog.plans.workspace import delete_folder, new_folder, shared_folder
@@ -10,6 +10,7 @@ __all__ = [
     "Scratch",
     "bounded",
     "delete_folder",
+    "intermediate",
     "new_folder",
     "ranked",
     "running_before",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextvars import ContextVar
+
 from pyspark.sql import DataFrame, SparkSession
 
 from harborlog.plans.workspace import delete_folder, new_folder
@@ -10,7 +12,8 @@ from harborlog.plans.workspace import delete_folder, new_folder
 class Scratch:
     """A folder of intermediate tables below the shared folder, deleted when its owner is done with it.
 
-    Whatever is read from the tables must have been written elsewhere by then.
+    Within ``with``, tables that are stored without a path of their own go there. Whatever is read from the tables must have
+    been written elsewhere by the end.
     """
 
     def __init__(self, spark: SparkSession, label: str) -> None:
@@ -24,12 +27,23 @@ class Scratch:
         delete_folder(self.spark, self.folder)
 
     def __enter__(self) -> Scratch:
+        self._outer = _current.set(self)
         return self
 
     def __exit__(self, *failure) -> None:
+        _current.reset(self._outer)
         self.delete()
 
 
+_current: ContextVar[Scratch | None] = ContextVar("scratch", default=None)
+
+
+def intermediate(spark: SparkSession, label: str) -> str:
+    """A new path for an intermediate table: in the scratch folder at hand, else in the shared folder."""
+    scratch = _current.get()
+    return new_folder(spark, label) if scratch is None else scratch.path(label)
+
+
 def stored(side: DataFrame, path: str | None = None, scratch: Scratch | None = None) -> DataFrame:
     """Write ``side`` to the shared folder and read it back.
 
@@ -39,7 +53,7 @@ def stored(side: DataFrame, path: str | None = None, scratch: Scratch | None = N
     owner is done; without, the caller's ``path`` or the shared folder keeps it.
     """
     spark = side.sparkSession
-    path = path or (scratch.path("side") if scratch is not None else new_folder(spark, "side"))
+    path = path or (scratch.path("side") if scratch is not None else intermediate(spark, "side"))
     side.write.parquet(path)
     return spark.read.schema(side.schema).parquet(path)
 
