@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborlog.plans import new_folder, stored
+from harborlog.plans import Scratch, intermediate, new_folder, stored
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BLANKS = " \t\n\x0b\x0c\r"
@@ -78,6 +78,18 @@ class LineRuns:
         return counted.unionByName(self._read(self.frequent)).select(*KEY)
 
 
+def _dropped_lines(lines: DataFrame, batches: int, min_docs: int) -> DataFrame:
+    """Per document the places of its frequent lines. The index and the lines' hashes are needed for that only."""
+    spark = lines.sparkSession
+    lines = stored(lines.withColumn("__batch", F.pmod("__row", F.lit(batches)).cast("int")))
+    runs = LineRuns(spark, intermediate(spark, "runs"), min_docs)
+    for n in range(batches):
+        batch = lines.where(F.col("__batch") == n).select("__row", *KEY).distinct()
+        runs.add(batch.groupBy(*KEY).agg(F.count(F.lit(1)).alias("__docs")))
+    frequent = stored(runs.frequent_lines())
+    return lines.join(frequent, KEY).select(*DOC, "__at").groupBy(*DOC).agg(F.collect_set("__at").alias("__gone"))
+
+
 def drop_frequent_lines(
     df: DataFrame, text: str = "text", identity: str = "doc_id", min_docs: int = 10, min_length: int = 1, batches: int = 6
 ) -> DataFrame:
@@ -97,13 +109,8 @@ def drop_frequent_lines(
         .where(F.char_length("__key") >= min_length)
         .select("__row", *DOC, "__at", *(c.alias(n) for c, n in zip(_digest(F.col("__key")), KEY)))
     )
-    lines = stored(lines.withColumn("__batch", F.pmod("__row", F.lit(batches)).cast("int")))
-    runs = LineRuns(spark, new_folder(spark, "runs"), min_docs)
-    for n in range(batches):
-        batch = lines.where(F.col("__batch") == n).select("__row", *KEY).distinct()
-        runs.add(batch.groupBy(*KEY).agg(F.count(F.lit(1)).alias("__docs")))
-    frequent = stored(runs.frequent_lines())
-    dropped = lines.join(frequent, KEY).select(*DOC, "__at").groupBy(*DOC).agg(F.collect_set("__at").alias("__gone"))
+    with Scratch(spark, "lines"):
+        dropped = stored(_dropped_lines(lines, batches, min_docs), new_folder(spark, "dropped"))
     marked = df.select("*", *(c.alias(n) for c, n in zip(own, DOC))).join(dropped, DOC, "left")
     all_lines = split_lines(text)
     kept = F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), F.col("__gone"))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harborlog.llm import bpe, collocations, contamination, jaccard, language, licenses, lines, merkle, packing, repeats, secrets, shards, topk
-from harborlog.plans import ship
+from harborlog.plans import Scratch, new_folder, ship, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -82,7 +82,8 @@ def op5_line_dedup(spark, sf_dir):
 
 @registered
 def op6_ngram_jaccard(spark, sf_dir):
-    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+    with Scratch(spark, "jaccard"):
+        return stored(jaccard.jaccard_components(table(spark, sf_dir, "documents")), new_folder(spark, "components"))
 
 
 @registered
