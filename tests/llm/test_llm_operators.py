@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 import zlib
 
 import numpy as np
@@ -267,6 +268,54 @@ def test_licenses(spark, nothing):
     assert licenses.scan(nothing).count() == 0
 
 
+NOTICE = "Permission is hereby granted, free of charge, to any person obtaining\na copy of this software and associated documentation\r\nfiles (the Software)"
+
+
+def test_wrapped_license_notices_are_found_and_scattered_words_are_not(spark):
+    scattered = " filler".join(f" {w}" + " filler" * 3 for w in "released under the mit license".split())
+    rows = [
+        (1, NOTICE, "a"), (2, scattered, "b"), (3, "word " * 300_000 + NOTICE + " word" * 300_000, "c"), (4, NOTICE, "a"), (4, NOTICE, "a"), (None, NOTICE, "a"),
+        (5, "released under the", None), (6, "mit license", None), (7, "Licensed under CC BY-NC 4.0. " * 3, ""), (8, "Licensed under CC BY 4.0, licensed under CC BY-NC 4.0", ""),
+    ]
+    out = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string, labels string").coalesce(1)).collect()
+    labels = [(r.doc_id, r.labels) for r in out]
+    assert labels == [
+        (1, "mit"), (2, ""), (3, "mit"), (4, "mit"), (4, "mit"), (None, "mit"), (5, ""), (6, ""), (7, "cc-by,cc-by-nc-4.0"), (8, "cc-by,cc-by-4.0,cc-by-nc-4.0"),
+    ]
+
+
+def _license_windows(text, templates, percent):
+    """Labels and best containment, from all windows of words."""
+    found = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low(text))
+    sets = [set(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low(t))) for _, t in templates]
+    hits = []
+    for t, (_, template) in enumerate(templates):
+        width = -(-100 * len(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low(template))) // percent)
+        for i, word in enumerate(found):
+            block = found[i : i + width]
+            shared = sets[t] & set(block)
+            if word in sets[t] and 100 * len(shared) >= percent * len(sets[t]):
+                hits.append((t, i, max(i + block.index(w) for w in shared), len(shared) / len(sets[t])))
+    kept = [
+        h for h in hits
+        if not any(u[0] != h[0] and u[1] <= h[1] and h[2] <= u[2] and (u[3] > h[3] or (u[3] == h[3] and sets[h[0]] < sets[u[0]])) for u in hits)
+    ]
+    return ",".join(sorted({templates[t][0] for t, *_ in kept})), max((h[3] for h in kept), default=0.0)
+
+
+def test_licenses_against_all_windows(spark):
+    templates = [("a", "the red fox and the dog"), ("b", "red fox"), ("c", "the red fox and a blue dog jump over it"), ("d", "dog and cat"), ("e", "one two three four five six seven eight nine ten")]
+    pool = sorted({w for _, t in templates for w in t.split()}) + ["filler", "word"]
+    chance = random.Random(5)
+    texts = ["".join(chance.choice(pool) + chance.choice([" ", "\n", ", "]) for _ in range(chance.randrange(60))) for _ in range(300)]
+    texts += [" ".join(chance.sample(t.split(), len(t.split()) - chance.randrange(2))) + " word " + chance.choice(templates)[1] for _, t in templates for _ in range(30)]
+    for percent in (60, 90, 100):
+        frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        out = {r.doc_id: (r.labels, r.score) for r in licenses.scan(frame, templates, percent).collect()}
+        assert out == {i: _license_windows(t, templates, percent) for i, t in enumerate(texts)}
+    assert sum(bool(_license_windows(t, templates, 90)[0]) for t in texts) > 50
+
+
 def test_secrets(spark, nothing):
     chance = random.Random(4)
 
