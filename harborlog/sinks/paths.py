@@ -110,3 +110,9 @@ def delete_if_empty(path: str) -> None:
     filesystem, name = resolve(path)
     if filesystem.get_file_info(name).type == fs.FileType.Directory and not filesystem.get_file_info(fs.FileSelector(name)):
         filesystem.delete_dir(name)
+
+
+def read(path: str) -> bytes:
+    filesystem, name = resolve(path)
+    with filesystem.open_input_stream(name) as source:
+        return source.read()

@@ -9,6 +9,7 @@ from harborlog.sources.envelope import (
     route_counts,
     stream_topics,
 )
+from harborlog.sources.follow import follow_committed
 from harborlog.sources.listing import committed_files, leaf_directories, list_files
 from harborlog.sources.manifest import MANIFEST_SCHEMA, compact_manifest, read_manifest, rebuild_manifest
 
@@ -18,6 +19,7 @@ __all__ = [
     "TOPIC_PARTITION",
     "committed_files",
     "compact_manifest",
+    "follow_committed",
     "from_log_source",
     "leaf_directories",
     "list_files",

@@ -161,12 +161,33 @@ def _write_run(rows: DataFrame, manifest_root: str, stream_id: str, level: int,
 def manifest_folders(manifest_root: str) -> tuple[list[str], list[str]]:
     """What a reader visits: folders of parts, and of runs."""
     parts, runs = [], []
-    streams = {n for n in [*paths.subdirectories(manifest_root), *paths.subdirectories(f"{manifest_root}/{RUNS}")] if n.startswith("stream_id=")}
-    for stream in sorted(streams):
-        stream_id = stream.removeprefix("stream_id=")
+    for stream_id in streams_of(manifest_root):
         # Parts first: one that goes into a run meanwhile is then seen in its folder, which stays until the next compaction.
         numbers = _parts(manifest_root, stream_id)
         outer = runs_of(manifest_root, stream_id)
         runs += [run.path for run in outer]
-        parts += [f"{manifest_root}/{stream}/batch_id={n}" for n in numbers if not any(run.covers(n) for run in outer)]
+        parts += [f"{manifest_root}/stream_id={stream_id}/batch_id={n}" for n in numbers if not any(run.covers(n) for run in outer)]
     return parts, runs
+
+
+def streams_of(manifest_root: str) -> list[str]:
+    """Ids of the ingests that have published something."""
+    names = {*paths.subdirectories(manifest_root), *paths.subdirectories(f"{manifest_root}/{RUNS}")}
+    return sorted(name.removeprefix("stream_id=") for name in names if name.startswith("stream_id="))
+
+
+def last_batch(manifest_root: str, stream_id: str) -> int | None:
+    """The newest committed batch of a stream."""
+    for number in reversed(_parts(manifest_root, stream_id)):
+        if any(name.startswith("part-") for name in paths.file_names(f"{manifest_root}/stream_id={stream_id}/batch_id={number}")):
+            return number
+    return max((run.last for run in runs_of(manifest_root, stream_id)), default=None)
+
+
+def folders_between(manifest_root: str, stream_id: str, first: int, last: int) -> list[str]:
+    """Parts of batches ``first`` to ``last``, and runs that hold some of them beside others."""
+    # Parts first, as above.
+    numbers = _parts(manifest_root, stream_id)
+    runs = [run for run in runs_of(manifest_root, stream_id) if run.first <= last and first <= run.last]
+    parts = [n for n in numbers if first <= n <= last and not any(run.covers(n) for run in runs)]
+    return [run.path for run in runs] + [f"{manifest_root}/stream_id={stream_id}/batch_id={n}" for n in parts]

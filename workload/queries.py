@@ -483,6 +483,24 @@ def resume_new_checkpoint(spark, sf_dir):
     return rows.select(*TOPIC_PARTITION, "event_id", "protocol", "props")
 
 
+@registered
+def follow_committed(spark, sf_dir):
+    """Ingests of two streams, followed batch by batch while they come; the follower is restarted for each."""
+    folder = new_folder(spark, "follow")
+    X.records(spark, sf_dir).select(*ENVELOPE.names).write.parquet(f"{folder}/log")
+    log = spark.read.schema(ENVELOPE).parquet(f"{folder}/log")
+    config = IngestConfig(base_path=f"{folder}/out", flush_size=X.FLUSH_SIZE, partitioner="protocol")
+    steps = [("a", 0, log.where("kafka_partition < 2 and kafka_offset < 700")), ("b", 0, log.where("kafka_partition >= 2")), ("a", 1, log.where("kafka_partition < 2"))]
+    for stream, batch_id, rows in steps:
+        ingest_batch(rows, batch_id, config, X.message(), query_id=stream)
+        published = sources.follow_committed(
+            spark, config.manifest_root, "event_id bigint, protocol string, props string", batches_per_trigger=1, progress=f"{folder}/progress"
+        )
+        writer = published.writeStream.trigger(availableNow=True).option("checkpointLocation", f"{folder}/checkpoint")
+        writer.format("parquet").start(f"{folder}/followed").awaitTermination()
+    return spark.read.schema(published.schema).parquet(f"{folder}/followed").select(*TOPIC_PARTITION, "event_id", "protocol", "props")
+
+
 @registered
 def tail_drained(spark, sf_dir):
     """A batch holds its tail back; from the next one on tails are published, over three batches."""
