@@ -116,3 +116,10 @@ def read(path: str) -> bytes:
     filesystem, name = resolve(path)
     with filesystem.open_input_stream(name) as source:
         return source.read()
+
+
+def copy_file(source: str, target: str) -> None:
+    """Copy a file on one file system, creating the parent directory of the target."""
+    filesystem, name = resolve(target)
+    filesystem.create_dir(name.rsplit("/", 1)[0], recursive=True)
+    filesystem.copy_file(resolve(source)[1], name)

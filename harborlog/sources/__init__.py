@@ -1,6 +1,6 @@
 """Sources: topic logs, directories of published files, the manifest."""
 
-from harborlog.sources.committed import read_committed, read_sequence
+from harborlog.sources.committed import read_committed
 from harborlog.sources.envelope import (
     ENVELOPE,
     TOPIC_PARTITION,
@@ -12,6 +12,7 @@ from harborlog.sources.envelope import (
 from harborlog.sources.follow import follow_committed
 from harborlog.sources.listing import committed_files, leaf_directories, list_files
 from harborlog.sources.manifest import MANIFEST_SCHEMA, compact_manifest, read_manifest, rebuild_manifest
+from harborlog.sources.sequence import read_sequence
 
 __all__ = [
     "ENVELOPE",

@@ -63,16 +63,3 @@ def _below(path: Column, topics_root: str) -> Column:
     """A path below the topics root, whatever scheme and host stand before it."""
     root = topics_root.rstrip("/").rsplit("/", 1)[-1]
     return F.substring_index(path, f"/{root}/", -1)
-
-
-def read_sequence(spark: SparkSession, topics_root: str) -> DataFrame:
-    """Pairs of all published sequence files: ``key, value``."""
-    hadoop = "org.apache.hadoop."
-    pairs = spark.sparkContext.newAPIHadoopFile(
-        topics_root,
-        f"{hadoop}mapreduce.lib.input.SequenceFileInputFormat",
-        f"{hadoop}io.BytesWritable",
-        f"{hadoop}io.BytesWritable",
-        conf={"mapreduce.input.fileinputformat.input.dir.recursive": "true"},
-    )
-    return pairs.map(lambda pair: (bytes(pair[0]), bytes(pair[1]))).toDF("key binary, value binary")

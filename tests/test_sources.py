@@ -1,3 +1,8 @@
+import gzip
+import io
+import struct
+import zlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,8 +14,10 @@ from harborlog.sources import (
     leaf_directories,
     list_files,
     read_manifest,
+    read_sequence,
     rebuild_manifest,
 )
+from harborlog.sources.sequence import pairs as sequence_pairs
 
 
 @pytest.fixture
@@ -125,3 +132,52 @@ def test_small_stored_sides_are_broadcast_and_large_ones_are_not(spark):
 def test_folders_are_below_the_shared_folder(spark):
     first, second = new_folder(spark, "x"), new_folder(spark, "x")
     assert first != second and first.startswith(shared_folder(spark))
+
+
+def sequence_file(pairs, codec=None):
+    """A sequence file of byte pairs with a sync marker after every third."""
+
+    def text(value):
+        return bytes([len(value)]) + value.encode()
+
+    def packed(data):
+        return struct.pack(">i", len(data)) + data
+
+    marker, writable = bytes(range(16)), "org.apache.hadoop.io.BytesWritable"
+    out = b"SEQ\x06" + text(writable) * 2 + (b"\x01\x00" + text(codec) if codec else b"\x00\x00") + struct.pack(">i", 1) + text("a") + text("b") + marker
+    for i, (key, value) in enumerate(pairs):
+        value = packed(value) if codec is None else zlib.compress(packed(value))
+        if codec and codec.endswith("GzipCodec"):
+            value = gzip.compress(packed(pairs[i][1]))
+        out += struct.pack(">ii", len(key) + 4 + len(value), len(key) + 4) + packed(key) + value
+        out += struct.pack(">i", -1) + marker if i % 3 == 2 else b""
+    return out
+
+
+@pytest.mark.parametrize("codec", [None, "org.apache.hadoop.io.compress.DefaultCodec", "org.apache.hadoop.io.compress.GzipCodec"])
+def test_sequence_files_by_name_and_by_manifest(spark, tmp_path, codec):
+    root = tmp_path / "topics"
+    content = [(bytes([i]), b"v" * (i % 7)) for i in range(20)]
+    for place in ("t/a/t+0+0+19.seq", "t/a/t+0+20+39.seq", "u/b/u+3+0+19.seq", "+tmp/t/t+0+0+19.seq", "t/a/odd.seq", "t/a/t+0+5+6.parquet"):
+        (root / place).parent.mkdir(parents=True, exist_ok=True)
+        good = "odd" not in place and "parquet" not in place and "+tmp" not in place
+        (root / place).write_bytes(sequence_file(content, codec) if good else b"half")
+    rows = read_sequence(spark, str(root)).collect()
+    assert sorted({(r.committed_file, r.topic, r.kafka_partition, r.start_offset, r.end_offset) for r in rows}) == [
+        ("t+0+0+19.seq", "t", 0, 0, 19), ("t+0+20+39.seq", "t", 0, 20, 39), ("u+3+0+19.seq", "u", 3, 0, 19),
+    ]
+    assert sorted((bytes(r.key), bytes(r.value)) for r in rows) == sorted(content * 3)
+    assert read_sequence(spark, str(root), topic="t").count() == 40
+    assert read_sequence(spark, str(root), kafka_partition=3).count() == 20
+    manifest = rebuild_manifest(spark, str(root)).where("start_offset = 0")
+    assert read_sequence(spark, str(root), manifest).count() == 40
+    assert read_sequence(spark, str(root), manifest, topic="u").count() == 20
+    assert read_sequence(spark, str(tmp_path / "nothing")).count() == 0
+
+
+def test_sequence_files_that_are_cut_or_of_another_kind_fail():
+    whole = sequence_file([(b"k", b"value")])
+    assert list(sequence_pairs(io.BytesIO(whole), "x")) == [(b"k", b"value")]
+    for bad in (whole[:-2], whole[:30], b"", b"PAR1" + whole[4:], sequence_file([], "some.Codec"), whole.replace(b"BytesWritable", b"IntsWritables")):
+        with pytest.raises((EOFError, ValueError), match="^x "):
+            list(sequence_pairs(io.BytesIO(bad), "x"))

@@ -282,6 +282,11 @@ select topic, kafka_partition, encoded_partition, start_offset, end_offset, comm
 with {PLAN}
 select topic, kafka_partition, start_offset, end_offset, event_id, protocol
 from rec join plan using (topic, kafka_partition)
+where protocol = encoded_partition and kafka_offset // 1000 = chunk""",
+    "read_committed_sequence": f"""
+with {PLAN}
+select topic, kafka_partition, start_offset, end_offset, event_id, protocol
+from rec join plan using (topic, kafka_partition)
 where protocol = encoded_partition and kafka_offset // 1000 = chunk""",
     "parquet_sink_roundtrip": f"""
 with {REC}

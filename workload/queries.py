@@ -12,6 +12,7 @@ from harborlog import functions as H
 from harborlog import operators as O
 from harborlog.plans import new_folder, ship, stored
 from harborlog.sinks import Part, SequenceFormat
+from harborlog.sinks.paths import copy_file
 from harborlog.sources import (
     ENVELOPE,
     TOPIC_PARTITION,
@@ -383,6 +384,21 @@ def sequence_sink_roundtrip(spark, sf_dir):
     )
 
 
+@registered
+def read_committed_sequence(spark, sf_dir):
+    """Published sequence files by the manifest, beside a file that no manifest lists and one in progress."""
+    clock = X.millis(F.lit("2024-02-01 00:00:00").cast("timestamp"))
+    config = _published(spark, sf_dir, format=SequenceFormat(clock=clock), partitioner="protocol")
+    manifest = read_manifest(spark, config.manifest_root)
+    first = manifest.agg(F.min("path")).first()[0]
+    folder, name = first.rsplit("/", 1)
+    topic, kafka_partition, *_ = name.split("+")
+    copy_file(first, f"{folder}/{topic}+{kafka_partition}+0000000001+0000000002.seq")
+    copy_file(first, f"{config.topics_root}/+tmp/{topic}/{name}")
+    rows = O.decode(read_sequence(spark, config.topics_root, manifest), X.message())
+    return rows.select(*TOPIC_PARTITION, "start_offset", "end_offset", "payload.event_id", "payload.protocol")
+
+
 @registered
 def exactly_once_ingest(spark, sf_dir):
     """Batches that overlap, are replayed, and are replayed after a failure between publishing and committing."""
