@@ -12,6 +12,7 @@ from __future__ import annotations
 import base64
 from array import array
 from collections.abc import Callable, Iterator
+from functools import cached_property
 from itertools import chain
 
 import ahocorasick
@@ -27,15 +28,37 @@ from harborlog.llm.bytewords import slices
 
 #: Characters beyond its end that the pattern may look at before it settles a piece.
 LOOKAHEAD = 8
-#: Characters that are split into pieces at once, and how many pieces a worker remembers beyond a segment (pairs of tokens: four times).
+#: Characters that are split into pieces at once, and how many pieces a worker remembers beyond a segment, twice (pairs of tokens: eight times).
 SEGMENT = 1 << 20
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 17
 #: Bytes of a piece up to which tokens are looked up one by one; an automaton finds those in longer pieces.
 SHORT = 48
 #: A rank beyond all ranks.
 NEVER = 1 << 31
 
 
+class Decoder:
+    """The bytes of all tokens in a row, by id."""
+
+    def __init__(self, token: dict[int, bytes]) -> None:
+        size = np.zeros(max(token, default=-1) + 2, np.int64)
+        for rank, data in token.items():
+            size[rank] = len(data)
+        self.size, self.start = size[:-1], np.cumsum(size) - size
+        self.data = np.frombuffer(b"".join(token[rank] for rank in sorted(token)), np.uint8)
+
+    def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All bytes, and where each id's begin, the last one's end included."""
+        ids = ids.astype(np.int64)
+        # No token is empty, so an id without bytes isn't one.
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.size) or not self.size[ids].all()):
+            raise KeyError("an id is not in the vocabulary")
+        ends = np.concatenate(([0], np.cumsum(self.size[ids])))
+        place = np.repeat(self.start[ids] - ends[:-1], self.size[ids])
+        place += np.arange(len(place))
+        return self.data[place], ends
+
+
 class Vocabulary:
     """Tokens by rank, and which of them may follow each other."""
 
@@ -48,15 +71,25 @@ class Vocabulary:
         self._pairs: dict[int, bool] = {}
         self._halves: dict[int, tuple[int, int] | None] = {}
         self._pieces: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
         #: By its last three bytes, how long a token may be, from the longest on.
         self._lengths: dict[bytes, tuple[int, ...]] = {}
         for token in sorted(self.rank, key=len):
             if len(token) > 2 and len(token) not in self._lengths.get(token[-3:], (2, 1))[:1]:
                 self._lengths[token[-3:]] = (len(token), *self._lengths.get(token[-3:], (2, 1)))
-        self._ends = ahocorasick.Automaton()
+
+    @cached_property
+    def decoder(self) -> Decoder:
+        return Decoder(self.bytes)
+
+    @cached_property
+    def _ends(self) -> ahocorasick.Automaton:
+        """Finds all tokens in a long piece."""
+        automaton = ahocorasick.Automaton()
         for token, rank in self.rank.items():
-            self._ends.add_word(token.decode("latin-1"), (len(token), rank))
-        self._ends.make_automaton()
+            automaton.add_word(token.decode("latin-1"), (len(token), rank))
+        automaton.make_automaton()
+        return automaton
 
     def merged(self, data: bytes, down_to: int = 1) -> list[int]:
         """Merge the leftmost pair of least rank until none, or only so many parts, are left; for the bytes of a token or two."""
@@ -83,7 +116,7 @@ class Vocabulary:
         parts that touched there were never to be merged before the merge that is undone next; of two merges of equal
         rank the left one comes first.
         """
-        if len(self._pairs) >= REMEMBERED * 4:
+        if len(self._pairs) >= REMEMBERED * 8:
             self._pairs.clear()
         if not self._made(right):
             fits = False
@@ -167,11 +200,16 @@ class Vocabulary:
 
     def remember(self, pieces: set[str]) -> None:
         """Encode all pieces that aren't known, in bytewise order: what a piece shares with the one before it is done already."""
-        known, missing = self._pieces, []
-        if len(known) > REMEMBERED:
-            known.clear()
+        if len(self._pieces) > REMEMBERED:
+            # What turns up again is taken over, so pieces of every segment stay.
+            self._older, self._pieces = self._pieces, {}
+        known, older, missing = self._pieces, self._older.get, []
         for piece in pieces:
             if piece not in known:
+                ids = older(piece)
+                if ids is not None:
+                    known[piece] = ids
+                    continue
                 data = piece.encode()
                 whole = self.rank.get(data)
                 if whole is None:
@@ -221,8 +259,8 @@ class Vocabulary:
         self.remember(set().union(*split))
         return [self.ids_of(pieces) for pieces in split]
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.bytes.__getitem__, ids))
+    def decode(self, ids: list[int] | np.ndarray) -> bytes:
+        return self.decoder.decode(np.asarray(ids, np.int64))[0].tobytes()
 
 
 class Prefixes:
@@ -335,7 +373,7 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", nam
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = vocabulary(ranks_path, pattern)
         for batch in batches:
-            for part in slices(batch, given, 1 << 20):
+            for part in slices(batch, given, 2 * SEGMENT):
                 ids = known.encode_all([value or "" for value in part.column(part.num_columns - 1).to_pylist()])
                 ends = np.cumsum([0, *map(len, ids)])
                 made = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids)))
@@ -353,14 +391,21 @@ def decode(df: DataFrame, ranks_path: str, pattern: str, ids: str = "ids", name:
     kept, shape = _added(df, keep, name, BinaryType())
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = vocabulary(ranks_path, pattern)
+        known = vocabulary(ranks_path, pattern).decoder
         for batch in batches:
             column = batch.column(batch.num_columns - 1)
             size = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
             part = np.cumsum(size) // SEGMENT
             cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
             for low, high in zip(cuts, cuts[1:]):
-                data = [known.decode(x for x in one or () if x is not None) for one in column.slice(low, high - low).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*(c.slice(low, high - low) for c in batch.columns[:-1]), pa.array(data, pa.binary())], names=[*kept, name])
+                if high == low:
+                    continue
+                flat = column.slice(low, high - low).flatten()
+                there = flat.is_valid().to_numpy(zero_copy_only=False)
+                data, ends = known.decode(flat.drop_null().to_numpy(zero_copy_only=False))
+                upto = np.concatenate(([0], np.cumsum(there)))[np.concatenate(([0], np.cumsum(size[low:high])))]
+                offsets = pa.py_buffer(ends[upto].astype(np.int64))
+                made = pa.Array.from_buffers(pa.large_binary(), high - low, [None, offsets, pa.py_buffer(data)])
+                yield pa.RecordBatch.from_arrays([*(c.slice(low, high - low) for c in batch.columns[:-1]), made.cast(pa.binary())], names=[*kept, name])
 
     return df.select(*(F.col(f"`{c}`") for c in kept), F.col(f"`{ids}`").alias(_free(df))).mapInArrow(each, shape)
