@@ -36,6 +36,9 @@ class IngestConfig:
     #: Merge the manifest's parts as they come, so that readers visit few folders however many batches there were.
     compact_manifest: bool = True
 
+    #: Of two queries on one topic-partition, let the older one fail before it commits.
+    claims: bool = True
+
     def __post_init__(self) -> None:
         if not self.base_path:
             raise ValueError("base_path is required")
@@ -58,6 +61,10 @@ class IngestConfig:
     def manifest_root(self) -> str:
         return f"{self.base_path.rstrip('/')}/{self.logs_dir}/manifest"
 
+    @property
+    def claims_root(self) -> str:
+        return f"{self.base_path.rstrip('/')}/{self.logs_dir}/claims"
+
     @property
     def clock_root(self) -> str:
         return f"{self.base_path.rstrip('/')}/{self.logs_dir}/clock"

@@ -9,9 +9,10 @@ aborted deletes what its tasks wrote; what a lost executor leaves is found by ``
 from __future__ import annotations
 
 import io
+import json
 import sys
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -24,6 +25,7 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterComm
 from harborlog.functions.naming import committed_name, relative_directory
 from harborlog.operators.files import FILE_KEY
 from harborlog.sinks import paths
+from harborlog.sinks.claims import Claims
 from harborlog.sinks.publish import Part
 from harborlog.sources.envelope import TOPIC_PARTITION
 from harborlog.sources.listing import list_files
@@ -60,6 +62,7 @@ class _Writer(DataSourceArrowWriter):
     def __init__(self, options: dict[str, str]) -> None:
         lowered = {name.lower(): value for name, value in options.items()}
         self.root, self.part = lowered["topics_root"], lowered["part"]
+        self.claims = json.loads(lowered["claims"]) if "claims" in lowered else None
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         token, files, writer = uuid.uuid4().hex, [], _File(self.root)
@@ -90,6 +93,8 @@ class _Writer(DataSourceArrowWriter):
         columns = [pa.array([row[i] for row in files], kind) for i, kind in enumerate(kinds)]
         out = io.BytesIO()
         pq.write_table(pa.table(columns, names), out)
+        if self.claims is not None:
+            Claims(self.claims["root"], self.claims["owner"]).check(map(tuple, self.claims["claimed"]))
         if not paths.put_if_absent(f"{self.part}/part-0.parquet", out.getvalue()):
             # The batch was committed by another attempt; these files are nobody's.
             _delete(files)
@@ -156,17 +161,20 @@ def _delete(files: list[tuple]) -> None:
 def register(spark: SparkSession) -> None:
     """Make the format known to a session."""
     # Spark pickles the source by name in processes that don't see added Python files.
-    for name in ("harborlog.sinks.direct", "harborlog.sinks.paths"):
+    for name in ("harborlog.sinks.direct", "harborlog.sinks.claims", "harborlog.sinks.paths"):
         cloudpickle.register_pickle_by_value(sys.modules[name])
     spark.dataSource.register(CommittedFiles)
 
 
-def write_committed(rows: DataFrame, topics_root: str, part: Part, extension: str = ".parquet", pad_width: int = 10) -> None:
+def write_committed(
+    rows: DataFrame, topics_root: str, part: Part, extension: str = ".parquet", pad_width: int = 10, claims: Claims | None = None, claimed: Iterable[tuple[str, int]] = ()
+) -> None:
     """Write routed and chunked records as committed files of ``part``, and commit it, in one job.
 
     ``rows`` carry ``topic, kafka_partition, kafka_offset, encoded_partition, chunk``; a ``payload`` becomes the columns of the files,
     else key and value do. One shuffle by file brings a file's rows together; what the file is called is known from the same
-    partitioning, so there is no pass to plan files.
+    partitioning, so there is no pass to plan files. With ``claims`` the job fails, and leaves nothing, if any of those on
+    ``claimed`` topic-partitions are lost when it commits.
     """
     spark = rows.sparkSession
     register(spark)
@@ -178,6 +186,8 @@ def write_committed(rows: DataFrame, topics_root: str, part: Part, extension: st
     ordered = named.sortWithinPartitions(*FILE_KEY, "kafka_offset")
     routing = (F.col(name.removeprefix("__")).alias(name) for name in ROUTING)
     written = ordered.select(*routing, *content).write.format(FORMAT).mode("append")
+    if claims is not None:
+        written = written.option("claims", json.dumps({"root": claims.root, "owner": claims.owner, "claimed": list(claimed)}))
     written.options(topics_root=topics_root, part=part.path).save()
 
 

@@ -123,3 +123,11 @@ def copy_file(source: str, target: str) -> None:
     filesystem, name = resolve(target)
     filesystem.create_dir(name.rsplit("/", 1)[0], recursive=True)
     filesystem.copy_file(resolve(source)[1], name)
+
+
+def files_below(path: str) -> list[str]:
+    """Paths, from ``path`` on, of all files below a directory."""
+    filesystem, name = resolve(path)
+    selector = fs.FileSelector(name, allow_not_found=True, recursive=True)
+    start = len(name.rstrip("/")) + 1
+    return [info.path[start:] for info in filesystem.get_file_info(selector) if info.type == fs.FileType.File]

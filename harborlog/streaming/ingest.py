@@ -23,6 +23,7 @@ from harborlog.operators.payload import FAILFAST, MessageType, dead_letters, dec
 from harborlog.operators.positions import resume
 from harborlog.plans import Scratch, bounded, ranked, stored
 from harborlog.sinks import paths
+from harborlog.sinks.claims import Claims, Fenced
 from harborlog.sinks.direct import write_committed
 from harborlog.sinks.formats import OutputFormat, format_for
 from harborlog.sinks.publish import Part, publish
@@ -84,6 +85,10 @@ def ingest_batch(
     Without ``arrival``, records count in order of offset, and one of each offset. ``on_step`` is called after each step:
     ``staged``, ``published``, ``recorded``, ``committed``. ``clock_ms`` is the time of the batch, by default that of its first attempt;
     it is committed before anything is published, so that a replay routes and closes files as before.
+
+    A stream claims the topic-partitions it ingests. One that another stream has claimed since fails with ``Fenced`` before it
+    commits, and from then on; it goes on as a new query, after everything published. So does a batch whose records others have
+    published meanwhile; its replay starts after them.
     """
     spark = batch.sparkSession
     output = format_for(config.format)
@@ -95,6 +100,7 @@ def ingest_batch(
         return
     staging = f"{attempts}/{uuid.uuid4().hex}"
     positions = Positions(config.manifest_root, stream_id)
+    noted = positions.others() if config.claims else {}
     before = bounded(positions.read(spark, batch_id))
     clock_ms = _clock(config, stream_id, batch_id, clock_ms)
 
@@ -107,6 +113,17 @@ def ingest_batch(
     scratch = Scratch(spark, "ingest")
     try:
         accepted, spans = _accept(landed, before, config, arrival, scratch)
+        claims, claimed = None, []
+        if config.claims:
+            claims, claimed = Claims(config.claims_root, stream_id), [tuple(row) for row in spans.select(*TOPIC_PARTITION).collect()]
+            claims.take(claimed)
+
+        def keep_claims() -> None:
+            if claims is not None:
+                claims.check(claimed)
+                if positions.overtaken(noted, before, spans):
+                    raise Fenced(f"others have published what batch {batch_id} of {stream_id} was to publish")
+
         spans = _rotations(spans, config, clock_ms)
         numbered = _chunked(accepted, spans, config)
         chunked = numbered if config.publish_tail else numbered.where("chunk < _closed")
@@ -130,7 +147,8 @@ def ingest_batch(
         if config.publish == "direct":
             _record(part, positions, delivered, left, ends, before)
             on_step("recorded")
-            write_committed(rows, config.topics_root, part, output.extension, config.zero_pad_width)
+            keep_claims()
+            write_committed(rows, config.topics_root, part, output.extension, config.zero_pad_width, claims, claimed)
         else:
             files = stored(_files(rows, config, output.extension), scratch=scratch)
             staged = output.stage(rows, files, staging)
@@ -139,6 +157,7 @@ def ingest_batch(
             on_step("published")
             _record(part, positions, delivered, left, ends, before)
             on_step("recorded")
+            keep_claims()
             part.commit()
         on_step("committed")
         positions.forget_before(batch_id)

@@ -49,6 +49,22 @@ class Positions:
             return spark.createDataFrame([], SCHEMA).select(*TOPIC_PARTITION, *KNOWN)
         return tables[0] if len(tables) == 1 else _latest(reduce(DataFrame.unionByName, tables))
 
+    def others(self) -> dict[str, str]:
+        """Where the newest positions of other streams lie."""
+        names = [name.removeprefix("stream_id=") for name in paths.subdirectories(self.root) if name.startswith("stream_id=")]
+        found = {stream_id: self._last(stream_id, None) for stream_id in names if stream_id != self.stream_id}
+        return {stream_id: path for stream_id, path in found.items() if path is not None}
+
+    def overtaken(self, noted: dict[str, str], before: DataFrame, taking: DataFrame) -> bool:
+        """Whether other streams have published more of the topic-partitions in ``taking`` since ``noted`` and ``before`` were read."""
+        changed = [path for stream_id, path in self.others().items() if noted.get(stream_id) != path]
+        if not changed:
+            return False
+        spark = before.sparkSession
+        now = spark.read.schema(SCHEMA).parquet(*changed).select(*TOPIC_PARTITION, F.col("next_offset").alias("_now"))
+        known = now.join(taking.select(*TOPIC_PARTITION), TOPIC_PARTITION, "left_semi").join(before, TOPIC_PARTITION, "left")
+        return not known.where(F.col("_now") > F.coalesce("next_offset", F.lit(0))).isEmpty()
+
     def advance(self, part: Part, ends: DataFrame, before: DataFrame) -> None:
         """Attach the positions after a batch that ended at ``ends`` to its part; where it ended nowhere, ``before`` holds.
 

@@ -307,6 +307,7 @@ from rec join sizes using (topic, kafka_partition) where kafka_offset // 1000 <
 with {PLAN} select topic, kafka_partition, encoded_partition, start_offset, end_offset, n_records, committed_file from plan where complete""",
     "manifest_addressed": f"with {REC} select topic, kafka_partition, event_id, protocol, props from rec",
     "follow_committed": f"with {REC} select topic, kafka_partition, event_id, protocol, props from rec",
+    "fenced_writers": f"with {REC} select topic, kafka_partition, event_id, protocol, props from rec",
     "tail_drained": f"with {REC} select topic, kafka_partition, event_id, protocol, props from rec",
     "crash_before_manifest": f"with {REC} select topic, kafka_partition, event_id, protocol, props from rec",
     "resume_new_checkpoint": f"with {REC} select topic, kafka_partition, event_id, protocol, props from rec",

@@ -11,7 +11,7 @@ from harborlog import IngestConfig, sources
 from harborlog import functions as H
 from harborlog import operators as O
 from harborlog.plans import new_folder, ship, stored
-from harborlog.sinks import Part, SequenceFormat
+from harborlog.sinks import Fenced, Part, SequenceFormat
 from harborlog.sinks.paths import copy_file
 from harborlog.sources import (
     ENVELOPE,
@@ -556,6 +556,29 @@ def crash_before_manifest(spark, sf_dir):
     return rows.select(*TOPIC_PARTITION, "event_id", "protocol", "props")
 
 
+@registered
+def fenced_writers(spark, sf_dir):
+    """A second query takes over half of the topic-partitions while the first is about to commit a batch of all of them."""
+    folder = new_folder(spark, "fenced")
+    X.records(spark, sf_dir).select(*ENVELOPE.names).write.parquet(f"{folder}/log")
+    log = spark.read.schema(ENVELOPE).parquet(f"{folder}/log")
+    config = IngestConfig(base_path=f"{folder}/out", flush_size=X.FLUSH_SIZE, partitioner="protocol")
+
+    def overtake(step: str) -> None:
+        if step == "recorded":
+            ingest_batch(log.where("kafka_partition < 2 and kafka_offset < 900"), 0, config, X.message(), query_id="new")
+
+    ingest_batch(log.where("kafka_offset < 400"), 0, config, X.message(), query_id="old")
+    try:
+        ingest_batch(log.where("kafka_offset < 1300"), 1, config, X.message(), query_id="old", on_step=overtake)
+    except Fenced:
+        pass
+    ingest_batch(log.where("kafka_partition < 2"), 1, config, X.message(), query_id="new")
+    ingest_batch(log.where("kafka_partition >= 2"), 1, config, X.message(), query_id="old")
+    rows = sources.read_committed(spark, config.topics_root, manifest=read_manifest(spark, config.manifest_root))
+    return rows.select(*TOPIC_PARTITION, "event_id", "protocol", "props")
+
+
 @registered
 def replay_time_partitioned(spark, sf_dir):
     """A batch routed by the clock fails between publishing and committing, and is replayed a day later."""
