@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DataType, IntegerType, StructField, StructType
 
-from harborlog.llm.bytewords import slices
+from harborlog.llm.bytewords import slices, tidied
 
 #: Characters beyond its end that the pattern may look at before it settles a piece.
 LOOKAHEAD = 8
@@ -379,7 +379,7 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", nam
                 made = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids)))
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], made], names=[*kept, name])
 
-    return df.select(*(F.col(f"`{c}`") for c in kept), F.col(f"`{text}`").alias(given)).mapInArrow(each, shape)
+    return df.select(*(F.col(f"`{c}`") for c in kept), F.col(f"`{text}`").alias(given)).mapInArrow(tidied(each), shape)
 
 
 def decode(df: DataFrame, ranks_path: str, pattern: str, ids: str = "ids", name: str = "decoded", keep: list[str] | None = None) -> DataFrame:
@@ -408,4 +408,4 @@ def decode(df: DataFrame, ranks_path: str, pattern: str, ids: str = "ids", name:
                 made = pa.Array.from_buffers(pa.large_binary(), high - low, [None, offsets, pa.py_buffer(data)])
                 yield pa.RecordBatch.from_arrays([*(c.slice(low, high - low) for c in batch.columns[:-1]), made.cast(pa.binary())], names=[*kept, name])
 
-    return df.select(*(F.col(f"`{c}`") for c in kept), F.col(f"`{ids}`").alias(_free(df))).mapInArrow(each, shape)
+    return df.select(*(F.col(f"`{c}`") for c in kept), F.col(f"`{ids}`").alias(_free(df))).mapInArrow(tidied(each), shape)
