@@ -1,7 +1,7 @@
 """Follow what is published: a streaming source over the manifest.
 
 The position of a stream is the last batch read of each ingest. A micro-batch lists no data files: the manifest's parts and runs
-of the batches in between tell what to read, and each file is read by a task of its own.
+of the batches in between tell what to read, and a task reads files one after another, however small they are.
 """
 
 from __future__ import annotations
@@ -25,6 +25,9 @@ FORMAT = "published_files"
 PROVENANCE = "topic string, kafka_partition int, start_offset bigint, end_offset bigint, committed_file string"
 #: Rows that a task hands over at a time.
 ROWS = 1 << 14
+#: Rows of the files that a task reads; opening a file counts as some rows more.
+TASK_ROWS = 1 << 17
+OPENING = 1 << 10
 
 
 def follow_committed(
@@ -91,7 +94,7 @@ class _Reader(DataSourceStreamReader):
                     if name.startswith("part-"):
                         files += _listed(f"{folder}/{name}", first, last, self.topic)
         # Spark wants one partition at least.
-        return [InputPartition(file) for file in files] or [InputPartition(None)]
+        return [InputPartition(task) for task in _tasks(files)] or [InputPartition([])]
 
     def _remember(self, end: dict) -> None:
         # Spark has logged this end before it asks, so the next micro-batch starts here, after a restart as well.
@@ -102,9 +105,10 @@ class _Reader(DataSourceStreamReader):
                 paths.put_if_absent(f"{self.progress}/{len(known):010d}.json", json.dumps(end).encode())
 
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
-        if partition.value is None:
-            return
-        path, *known = partition.value
+        for file in partition.value:
+            yield from self._rows(*file)
+
+    def _rows(self, path: str, *known) -> Iterator[pa.RecordBatch]:
         filesystem, name = paths.resolve(path)
         provenance = dict(zip(("topic", "kafka_partition", "start_offset", "end_offset", "committed_file"), known))
         with filesystem.open_input_file(name) as source:
@@ -123,16 +127,29 @@ class _Reader(DataSourceStreamReader):
                 yield pa.RecordBatch.from_arrays(columns, schema=self.schema)
 
 
-def _listed(path: str, first: int, last: int, topic: str | None) -> list[tuple]:
+def _tasks(files: list[tuple[int, tuple]]) -> Iterator[list[tuple]]:
+    """Files, given with their numbers of rows, by the task that reads them."""
+    task, held = [], 0
+    for n, file in files:
+        if task and held + n + OPENING > TASK_ROWS:
+            yield task
+            task, held = [], 0
+        task.append(file)
+        held += n + OPENING
+    if task:
+        yield task
+
+
+def _listed(path: str, first: int, last: int, topic: str | None) -> list[tuple[int, tuple]]:
     """Files that a manifest file lists for some batches; a part has no column for its batch, a run has."""
     filesystem, name = paths.resolve(path)
     with filesystem.open_input_file(name) as source:
         file = pq.ParquetFile(source)
         columns = ["path", "topic", "kafka_partition", "start_offset", "end_offset", "committed_file"]
         in_run = "batch_id" in file.schema_arrow.names
-        rows = file.read(columns + ["batch_id"] * in_run).to_pylist()
+        rows = file.read([*columns, "n_records"] + ["batch_id"] * in_run).to_pylist()
     return [
-        tuple(row[column] for column in columns)
+        (row["n_records"] or 0, tuple(row[column] for column in columns))
         for row in rows
         if (topic is None or row["topic"] == topic) and (not in_run or first <= row["batch_id"] <= last)
     ]

@@ -1,9 +1,11 @@
 """Following published files over restarts, bounds, compaction and both ways to publish."""
 
 import pytest
+from pyspark.sql.types import StructType
 from test_ingest import config, expect, log
 
 from harborlog.sources import compact_manifest, follow_committed, read_manifest
+from harborlog.sources.follow import OPENING, PROVENANCE, TASK_ROWS, _Reader, _tasks
 from harborlog.streaming import ingest_batch
 from workload.fixtures import message
 
@@ -54,3 +56,19 @@ def test_topics_and_what_is_not_committed(spark, tmp_path):
     assert seen(follow(spark, conf, tmp_path, topic="t")) == expect({0: (0, 4)})
     ingest_batch(log(spark, {0: (4, 9)}, "t"), 1, conf, message())
     assert seen(follow(spark, conf, tmp_path, topic="t")) == expect({0: (0, 9)})
+
+
+def test_a_task_reads_many_files(spark, tmp_path):
+    conf = config(tmp_path)
+    ingest_batch(log(spark, {0: (0, 200), 1: (0, 200)}), 0, conf, message())
+    reader = _Reader({"manifest_root": conf.manifest_root}, StructType.fromDDL(f"{COLUMNS}, {PROVENANCE}"))
+    tasks = reader.partitions({}, reader.latestOffset())
+    assert len(tasks) == 1 and len(tasks[0].value) == read_manifest(spark, conf.manifest_root).count() > 20
+    assert seen(follow(spark, conf, tmp_path)) == expect({0: (0, 200), 1: (0, 200)})
+
+
+def test_tasks_are_bounded():
+    files = [(n, (i,)) for i, n in enumerate([0, 5, TASK_ROWS, TASK_ROWS // 2, 7] + [100] * 1000)]
+    tasks = list(_tasks(files))
+    assert [file for task in tasks for file in task] == [file for _, file in files]
+    assert all(len(task) == 1 or sum(files[i][0] + OPENING for (i,) in task) <= TASK_ROWS for task in tasks)
