@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harborlog.functions.keys import time_key
-from harborlog.plans import stored
+from harborlog.sinks.staged import SequenceFile, stage_files
 
 
 class OutputFormat(Protocol):
@@ -63,21 +63,8 @@ class SequenceFormat:
     needs_value: bool = True
 
     def stage(self, rows: DataFrame, files: DataFrame, folder: str) -> DataFrame:
-        # Spark writes one sequence file per partition, so number the files and make each number a partition. Sorting
-        # by the unique id makes the numbers the same whenever they are computed.
-        numbers = files.select("file_id").orderBy("file_id").rdd.map(lambda row: row[0]).zipWithIndex()
-        numbered = stored(numbers.toDF("file_id string, file_number int"), f"{folder}/numbers")
         clock = self.clock if self.clock is not None else F.unix_millis(F.current_timestamp())
-        pairs = (
-            rows.withColumn("_clock", time_key(clock))
-            .join(numbered, "file_id")
-            .repartitionById(max(numbered.count(), 1), F.col("file_number"))
-            .sortWithinPartitions("kafka_offset")
-            .select("_clock", "value")
-        )
-        pairs.rdd.map(lambda row: (bytearray(row[0]), bytearray(row[1]))).saveAsSequenceFile(f"{folder}/pairs")
-        path = F.format_string(f"{folder}/pairs/part-%05d", F.col("file_number"))
-        return numbered.select("file_id", path.alias("staged_path"))
+        return stage_files(rows, [time_key(clock).alias("_clock"), F.col("value")], folder, self.extension, SequenceFile)
 
 
 # Codec, row group size and page size of published Parquet files.
