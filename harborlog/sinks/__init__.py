@@ -2,7 +2,7 @@
 
 from harborlog.sinks.claims import Claims, Fenced
 from harborlog.sinks.direct import stray_files, write_committed
-from harborlog.sinks.formats import FORMATS, OutputFormat, SequenceFormat, TableFormat, format_for
+from harborlog.sinks.formats import FORMATS, OutputFormat, ParquetFormat, SequenceFormat, TableFormat, format_for
 from harborlog.sinks.publish import Part, publish
 
 __all__ = [
@@ -10,6 +10,7 @@ __all__ = [
     "FORMATS",
     "Fenced",
     "OutputFormat",
+    "ParquetFormat",
     "Part",
     "SequenceFormat",
     "TableFormat",

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harborlog.functions.keys import time_key
-from harborlog.sinks.staged import SequenceFile, stage_files
+from harborlog.sinks.staged import ParquetFile, SequenceFile, stage_files
 
 
 class OutputFormat(Protocol):
@@ -67,14 +67,19 @@ class SequenceFormat:
         return stage_files(rows, [time_key(clock).alias("_clock"), F.col("value")], folder, self.extension, SequenceFile)
 
 
-# Codec, row group size and page size of published Parquet files.
-PARQUET = TableFormat(
-    "parquet",
-    ".parquet",
-    {"compression": "snappy", "parquet.block.size": "268435456", "parquet.page.size": "65536"},
-)
+@dataclass(frozen=True)
+class ParquetFormat:
+    """Parquet files with a fixed codec, row group size and page size, written one after another by the tasks that sort their rows."""
+
+    extension: str = ".parquet"
+    needs_value: bool = False
+
+    def stage(self, rows: DataFrame, files: DataFrame, folder: str) -> DataFrame:
+        content = ["payload.*"] if "payload" in rows.columns else ["key", "value"]
+        return stage_files(rows, content, folder, self.extension, ParquetFile)
+
 
-FORMATS: dict[str, OutputFormat] = {"parquet": PARQUET, "sequence": SequenceFormat()}
+FORMATS: dict[str, OutputFormat] = {"parquet": ParquetFormat(), "sequence": SequenceFormat()}
 
 
 def format_for(name: str | OutputFormat) -> OutputFormat:

@@ -10,6 +10,7 @@ from typing import Protocol
 
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +18,9 @@ from harborlog.plans import stored
 from harborlog.sinks import paths
 
 FILE = "__file_id"
+#: Bytes of a row group and of a page of published Parquet files.
+ROW_GROUP = 256 << 20
+PAGE = 64 << 10
 #: Bytes between two sync markers of a sequence file, and those it collects before it writes.
 SYNC_EVERY = 100 << 10
 BUFFER = 1 << 20
@@ -65,6 +69,31 @@ def stage_files(rows: DataFrame, content: list[str | Column], folder: str, exten
     return stored(picked.mapInArrow(write, "file_id string, staged_path string"), f"{folder}/written")
 
 
+class ParquetFile:
+    """Snappy, row groups of 256 MiB, pages of 64 KiB."""
+
+    def __init__(self, path: str, schema: pa.Schema) -> None:
+        filesystem, name = paths.resolve(path)
+        self.out = pq.ParquetWriter(name, schema, filesystem=filesystem, compression="snappy", data_page_size=PAGE)
+        self.held: list[pa.RecordBatch] = []
+        self.bytes = 0
+
+    def add(self, rows: pa.RecordBatch) -> None:
+        self.held.append(rows)
+        self.bytes += rows.nbytes
+        if self.bytes >= ROW_GROUP:
+            self._flush()
+
+    def _flush(self) -> None:
+        self.out.write_table(pa.Table.from_batches(self.held), row_group_size=1 << 30)
+        self.held, self.bytes = [], 0
+
+    def close(self) -> None:
+        if self.held:
+            self._flush()
+        self.out.close()
+
+
 class SequenceFile:
     """Plain pairs of bytes, from a batch's first column and its second."""
 

@@ -1,9 +1,13 @@
 """Staging many small files: few tasks, one file each id, rows in order of offset."""
 
+import glob
+import os
+
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from harborlog.sinks import SequenceFormat
+from harborlog.sinks import SequenceFormat, format_for
 
 FILES, ROWS = 300, 7
 
@@ -47,3 +51,15 @@ def test_sequence_files_have_sync_markers(spark, tmp_path):
     # Hadoop's own reader finds its way by the markers when a file is read in splits.
     pairs = spark.sparkContext.sequenceFile(row.staged_path, minSplits=5)
     assert pairs.getNumPartitions() >= 5 and sorted(int.from_bytes(key, "big") for key in pairs.keys().collect()) == list(range(3000))
+
+
+def test_parquet_files_are_written_by_the_tasks_that_sort(spark, tmp_path, ids):
+    folder = str(tmp_path / "p")
+    found = staged(spark, format_for("parquet"), folder)
+    assert all(os.path.isfile(path) for path in found.values()) and not glob.glob(f"{folder}/file_id=*")
+    for file_id, path in found.items():
+        assert [int(value) for value in pq.read_table(path, columns=["value"])["value"].to_pylist()] == list(range(ids[file_id], FILES * ROWS, FILES))
+    first = pq.ParquetFile(next(iter(found.values())))
+    assert first.schema_arrow.names == ["key", "value"] and first.metadata.row_group(0).column(0).compression == "SNAPPY"
+    read = spark.read.parquet(*list(found.values())[:10])
+    assert [field.dataType.simpleString() for field in read.schema] == ["binary", "binary"] and read.count() == 10 * ROWS
