@@ -144,15 +144,20 @@ def slices(batch: pa.RecordBatch, column: str, size: int = 4 << 20) -> Iterator[
             yield batch.slice(low, high - low)
 
 
+def give_back() -> None:
+    """Return memory that is free to the system: a process that lives on keeps it otherwise."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def tidied(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A task's function that gives memory back when it ends: a worker goes on to other stages, and keeps what it doesn't give back."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from run(batches)
-        gc.collect()
-        pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-        if trim is not None:
-            trim(0)
+        give_back()
 
     return each

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from harborlog.llm.bitmaps import marked, table_of
-from harborlog.llm.bytewords import mixed, shingles, slices, tidied, words
+from harborlog.llm.bytewords import give_back, mixed, shingles, slices, tidied, words
 from harborlog.plans import stored
 
 #: Counters of shingles, by their leading bits. All documents count; the bound is on resolution only, and any order is right.
@@ -163,6 +163,7 @@ def jaccard_components(df: DataFrame, text: str = "text", identity: str = "doc_i
     spark = df.sparkSession
     texts = df.select(F.col(identity).alias("id"), F.col(text).alias("text"))
     counts = spark.sparkContext.broadcast(shingle_counts(texts.select("text")))
+    give_back()
     schema = "id long, n long, d1 long, d2 long, tokens array<bigint>, sketch array<bigint>"
     base = stored(texts.mapInArrow(tidied(_described(percent, counts, False)), schema))
     whole = base.where("n > 0 and id is not null")
@@ -171,6 +172,7 @@ def jaccard_components(df: DataFrame, text: str = "text", identity: str = "doc_i
     # Tokens of a single class go before postings move.
     shared = heads.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     postings = heads.select("id", "n", "tokens").mapInArrow(tidied(_postings(table_of(shared, "token"))), "token long, id long, n long")
+    give_back()
     live = stored(postings.groupBy("token", "id").agg(F.first("n").alias("n")))
     names = stored(live.select("id").distinct())
     sketches = stored(heads.join(names, "id", "left_semi").select("id", "d1", "d2", "sketch").dropDuplicates(["id", "d1", "d2"]).select("id", "sketch"))

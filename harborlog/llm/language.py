@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from harborlog.llm.bytewords import LOWER, raw, slices, span_hashes, tidied, words
+from harborlog.llm.bytewords import give_back, LOWER, raw, slices, span_hashes, tidied, words
 
 #: Longest piece in bytes that is used, and longest part of a word that is scored in one pass; longer words are cut.
 PIECE_BYTES = 12
@@ -182,7 +182,9 @@ def train(labelled: DataFrame, vocabulary_path: str, text: str = "text", lang: s
         return Model([], pieces, np.zeros((len(pieces), 0)))
     counts = np.zeros((len(terms), len(languages)))
     np.add.at(counts, (at, [languages.index(x) for x in got["lang"]]), got["n"].to_numpy(float))
-    return fit(languages, terms.tolist(), counts, pieces)
+    model = fit(languages, terms.tolist(), counts, pieces)
+    give_back()
+    return model
 
 
 class _Memory:

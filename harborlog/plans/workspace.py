@@ -36,3 +36,8 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     context = spark.sparkContext
     hadoop = context._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(context._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def give_back_heap(spark: SparkSession) -> None:
+    """Have the driver's JVM return heap that earlier queries of a long session have left free."""
+    spark.sparkContext._jvm.System.gc()

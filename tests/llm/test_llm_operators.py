@@ -414,3 +414,22 @@ def test_secrets_in_addresses_and_json_are_found(spark):
         rows.append((i, text))
     out = secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, text string"), public_tokenizers.path("byte_bpe_50k.tiktoken")).collect()
     assert {(r.doc_id, r.word, r.length) for r in out} == {(i, 1, 40) for i in real}
+
+
+def test_free_memory_goes_back_to_the_system():
+    """What a process no longer uses does not stay with it, as on the driver between two stages of a pipeline."""
+    import numpy as np
+
+    from harborlog.llm.bytewords import give_back
+
+    def resident():
+        with open("/proc/self/statm") as file:
+            return int(file.read().split()[1]) * 4096
+
+    # Pieces below the size at which malloc maps memory of its own, with one kept at the end so that the heap can't shrink by itself.
+    pieces = [np.ones(12_000) for _ in range(1500)]
+    kept = pieces[-1]
+    del pieces
+    before = resident()
+    give_back()
+    assert kept.sum() == 12_000 and before - resident() > 50 << 20
