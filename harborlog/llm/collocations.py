@@ -24,7 +24,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from harborlog.llm.bytewords import mixed, raw, slices, words
+from harborlog.llm.bytewords import give_back, mixed, raw, slices, tidied, words
 from harborlog.plans import Scratch, stored
 
 SCALE = 2_000_000
@@ -32,8 +32,8 @@ LONGEST = 4
 #: Bits of one of Spark's bitmaps, and the most bits a table of phrases has: 32 MB.
 BITMAP = 1 << 15
 MOST_PLACES = 28
-#: Words of sequences that are counted together.
-TOGETHER = 1 << 21
+#: Words of sequences that are counted together: a task holds about 150 bytes for each.
+TOGETHER = 1 << 19
 
 #: Words of a row of a sequence.
 ROW_WORDS = 1 << 10
@@ -204,7 +204,7 @@ def _counted(
     frequent: Bits | None = None, starts: Bits | None = None, ends: Bits | None = None, exact: Bits | None = None,
 ) -> DataFrame:
     shape = ", ".join(f"{w} long" for w in WORDS[:n])
-    parts = sequences.mapInArrow(_counter(n, frequent, starts, ends, exact), f"lang string, {shape}, a long")
+    parts = sequences.mapInArrow(tidied(_counter(n, frequent, starts, ends, exact)), f"lang string, {shape}, a long")
     phrases = parts.groupBy("lang", *WORDS[:n]).agg(F.sum("a").alias("a")).where(F.col("a") >= least)
     return stored(phrases, scratch=scratch)
 
@@ -269,7 +269,7 @@ def collocations(
     """
     scratch = scratch or Scratch(df.sparkSession, "collocations")
     rows = df.select(F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("und")).alias("lang"), F.col(f"`{text}`").alias("text"))
-    both = stored(rows.mapInArrow(_sequences, "lang string, hashes array<long>, skip int, w1 long, word string, a long"), scratch=scratch)
+    both = stored(rows.mapInArrow(tidied(_sequences), "lang string, hashes array<long>, skip int, w1 long, word string, a long"), scratch=scratch)
     sequences = both.where("hashes is not null").select("lang", "hashes", "skip")
     single = both.where("w1 is not null").groupBy("lang", "w1").agg(F.sum("a").alias("a"), F.min("word").alias("word"))
     single = stored(single, scratch=scratch)
@@ -284,6 +284,7 @@ def collocations(
     def let_go() -> None:
         while frontier:
             frontier.pop().bits.destroy()
+        give_back()
 
     known = {1: stored(single.where(F.col("a") >= least).select("lang", "w1", "a"), scratch=scratch)}
     known[2] = _counted(sequences, 2, least, scratch, frequent=bits(known[1], 1))
