@@ -28,8 +28,12 @@ from harborlog.llm.bytewords import give_back, mixed, shingles, slices, tidied,
 from harborlog.plans import stored
 
 #: Counters of shingles, by their leading bits. All documents count; the bound is on resolution only, and any order is right.
-COUNTER_BITS = 22
-CHUNK_BITS = 14
+COUNTER_BITS = 26
+CHUNK_BITS = 16
+#: Shingles whose counters a task sends together.
+TOGETHER = 1 << 22
+#: A counter is known by the last of these that it reaches: four bits.
+LEVELS = np.array([0, 1, 2, 3, 4, 5, 6, 8, 12, 16, 32, 128, 512, 2048, 8192, 32768])
 #: Bits of a set's parity sketch. Two sketches differ in no more bits than their sets differ in tokens.
 SKETCH_BITS = 2048
 #: 64-bit words of the sketch that goes with every posting of the last round.
@@ -44,34 +48,65 @@ def _sets(column: pa.Array) -> Iterator[np.ndarray]:
         yield np.unique(shingles(found.hash[low:high]))
 
 
+def _packed(places: np.ndarray) -> bytes:
+    """Ascending 16-bit places, as steps of which low and high bytes stand apart: the high ones are mostly 0."""
+    steps = np.diff(places, prepend=places.dtype.type(0))
+    return zlib.compress(steps.astype("<u2").view(np.uint8).reshape(-1, 2).T.tobytes(), 1)
+
+
+def _unpacked(steps: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(steps), np.uint8).reshape(2, -1)
+    return np.cumsum(planes[0].astype(np.int64) + (planes[1].astype(np.int64) << 8))
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(1 << COUNTER_BITS, np.int32)
+    """The counters that shingles belong to, a place for each shingle, by chunk."""
+    held: list[np.ndarray] = []
+
+    def flush() -> pa.RecordBatch:
+        places = np.sort(np.concatenate(held))
+        chunk = places >> np.uint32(CHUNK_BITS)
+        first = np.flatnonzero(np.diff(chunk, prepend=-1))
+        low = (places & np.uint32((1 << CHUNK_BITS) - 1)).astype(np.int32)
+        parts = [_packed(low[a:b]) for a, b in zip(first.tolist(), [*first[1:].tolist(), len(low)])]
+        held.clear()
+        return pa.record_batch({"chunk": pa.array(chunk[first].astype(np.int32)), "counts": pa.array(parts, pa.binary())})
+
+    size = 0
     for batch in batches:
         for part in slices(batch, "text"):
-            every = [np.zeros(0, np.uint64), *_sets(part.column("text"))]
-            np.add.at(total, (np.concatenate(every) >> np.uint64(64 - COUNTER_BITS)).astype(np.int64), np.int32(1))
-    chunks = total.reshape(-1, 1 << CHUNK_BITS)
-    yield pa.record_batch({
-        "chunk": pa.array(range(len(chunks)), pa.int32()), "counts": pa.array([zlib.compress(c.tobytes(), 1) for c in chunks], pa.binary())
-    })
+            every = np.concatenate([np.zeros(0, np.uint64), *_sets(part.column("text"))])
+            held.append((every >> np.uint64(64 - COUNTER_BITS)).astype(np.uint32))
+            size += len(every)
+            if size >= TOGETHER:
+                yield flush()
+                size = 0
+    if size:
+        yield flush()
 
 
 def _merge(rows: pd.DataFrame) -> pd.DataFrame:
-    total = np.zeros(1 << CHUNK_BITS, np.int32)
+    total = np.zeros(1 << CHUNK_BITS, np.int64)
     for x in rows["counts"]:
-        total += np.frombuffer(zlib.decompress(x), np.int32)
-    return pd.DataFrame({"chunk": rows["chunk"].iloc[:1], "counts": [zlib.compress(total.tobytes(), 1)]})
+        total += np.bincount(_unpacked(x), minlength=1 << CHUNK_BITS)
+    level = (np.searchsorted(LEVELS, total, "right") - 1).astype(np.uint8)
+    return pd.DataFrame({"chunk": rows["chunk"].iloc[:1], "counts": [(level[::2] | level[1::2] << 4).tobytes()]})
 
 
 def shingle_counts(texts: DataFrame) -> np.ndarray:
-    """In how many rows shingles occur, by counter; a fixed size, so it may go to the driver."""
+    """In how many rows shingles occur, by counter, as levels of four bits; a fixed size, so it may go to the driver."""
     merged = texts.mapInArrow(tidied(_count), "chunk int, counts binary").groupBy("chunk").applyInPandas(_merge, "chunk int, counts binary")
-    total = np.zeros((1 << COUNTER_BITS >> CHUNK_BITS, 1 << CHUNK_BITS), np.int32)
-    for row in merged.collect():
-        total[row["chunk"]] = np.frombuffer(zlib.decompress(row["counts"]), np.int32)
+    total = np.zeros((1 << COUNTER_BITS >> CHUNK_BITS, 1 << CHUNK_BITS >> 1), np.uint8)
+    for row in merged.toLocalIterator():
+        total[row["chunk"]] = np.frombuffer(row["counts"], np.uint8)
     return total.reshape(-1)
 
 
+def level_of(counts: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    place = (tokens >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)
+    return counts[place >> 1] >> (place.astype(np.uint8) & 1) * 4 & 15
+
+
 def _sketch(own: np.ndarray) -> np.ndarray:
     odd = np.bincount((own & np.uint64(SKETCH_BITS - 1)).astype(np.int64), minlength=SKETCH_BITS) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
@@ -115,7 +150,7 @@ def _described(percent: int, counts, with_set: bool):
                     if with_set:
                         tokens.append(own.view(np.int64))
                     else:
-                        often = number[(own >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)]
+                        often = level_of(number, own)
                         size = prefix_size(len(own), percent) if len(own) else 0
                         tokens.append(own[np.lexsort((own, often))[:size]].view(np.int64))
                 yield pa.RecordBatch.from_arrays(

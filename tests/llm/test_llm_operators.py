@@ -143,6 +143,17 @@ def test_jaccard_components(table, texts, nothing):
     assert jaccard.jaccard_components(nothing).count() == 0
 
 
+def test_shingles_of_one_row_are_known_as_such(spark):
+    """With too few counters rare shingles look as frequent as shared ones, and prefixes hold what many rows share."""
+    texts = [" ".join(f"w{i}" for i in range(at, at + 2004)) for at in range(0, 200 * 3000, 3000)]
+    counts = jaccard.shingle_counts(spark.createDataFrame([(text,) for text in texts], "text string"))
+    levels = np.concatenate([jaccard.level_of(counts, own) for own in jaccard._sets(pa.array(texts))])
+    assert levels.min() == 1
+    assert (levels == 1).mean() > 0.98
+    twice = jaccard.shingle_counts(spark.createDataFrame([(text,) for text in texts[:5] * 2], "text string"))
+    assert jaccard.level_of(twice, next(jaccard._sets(pa.array(texts[:1])))).min() == 2
+
+
 def test_jaccard_of_a_chain(spark):
     """Links that only a chain of near copies makes, and many near copies of one text."""
     chance = random.Random(1)
