@@ -79,32 +79,66 @@ def _all_anchors(length: int):
     return run
 
 
-def _occurrences(length: int, table, with_bytes: bool):
+def _place_hash(doc: np.ndarray | int, start: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of an occurrence: where its first string starts."""
+    return mixed(mixed(np.asarray(doc, np.int64).view(np.uint64)) + start.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def _in_doc(doc: int, data: np.ndarray, length: int, bits: np.ndarray, places: np.ndarray | None = None) -> Iterator[tuple]:
+    """Of one text: the bytes of a stretch, where it starts, then hash, place, first and last string of each anchor marked in ``bits``
+    (and in ``places``, by document and start)."""
+    for low, anchor, at, first, last in _anchors(data, length):
+        keep = marked(bits, anchor)
+        if places is not None:
+            keep[keep] = marked(places, _place_hash(doc, first[keep] + low))
+        if keep.any():
+            yield data[low:][: STRETCH + length - 1], low, anchor[keep], at[keep], first[keep], last[keep]
+
+
+def _occurrences(length: int, table):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = table.value
         for batch in batches:
             for part in slices(batch, "text", 1 << 20):
                 data, offsets = raw(part.column("text"))
-                columns: list[list] = [[] for _ in range(7)]
+                columns: list[list] = [[] for _ in range(4)]
                 for doc, a, b in zip(part.column("id").to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist()):
-                    for low, anchor, at, first, last in _anchors(data[a:b], length):
-                        keep = np.flatnonzero(marked(bits, anchor))
-                        if not len(keep):
-                            continue
-                        stretch = data[a + low : b][: STRETCH + length - 1]
-                        at, first, last = at[keep], first[keep], last[keep]
+                    for stretch, low, anchor, _, first, last in _in_doc(doc, data[a:b], length, table.value):
                         context = span_hashes(stretch, first, last + length)
-                        whole = stretch.tobytes() if with_bytes else b""
-                        for column, value in zip(columns, (anchor[keep].view(np.int64), context.view(np.int64), at - first, last - first, np.full(len(keep), doc), first + low)):
+                        for column, value in zip(columns, (anchor.view(np.int64), context.view(np.int64), np.full(len(first), doc), first + low)):
                             column.append(value)
-                        if with_bytes:
-                            columns[6] += [whole[x : y + length] for x, y in zip(first.tolist(), last.tolist())]
                 if columns[0]:
-                    arrays = [pa.array(np.concatenate(c).astype(np.int64)) for c in columns[:6]]
-                    names = ["anchor", "context", "before", "behind", "doc", "start"]
-                    if with_bytes:
-                        arrays, names = [*arrays, pa.array(columns[6], pa.binary())], [*names, "bytes"]
-                    yield pa.RecordBatch.from_arrays(arrays, names=names)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(np.int64)) for c in columns], names=["anchor", "context", "doc", "start"])
+
+    return run
+
+
+def _written(length: int, table, places):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text", 1 << 20):
+                data, offsets = raw(part.column("text"))
+                columns: list[list] = [[] for _ in range(6)]
+                texts: list[bytes] = []
+                for doc, a, b in zip(part.column("id").to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist()):
+                    for stretch, low, anchor, at, first, last in _in_doc(doc, data[a:b], length, table.value, places.value):
+                        context, whole = span_hashes(stretch, first, last + length), stretch.tobytes()
+                        for column, value in zip(columns, (anchor.view(np.int64), context.view(np.int64), at - first, last - first, np.full(len(first), doc), first + low)):
+                            column.append(value)
+                        texts += [whole[x : y + length] for x, y in zip(first.tolist(), last.tolist())]
+                if texts:
+                    arrays = [pa.array(np.concatenate(c).astype(np.int64)) for c in columns]
+                    yield pa.RecordBatch.from_arrays([*arrays, pa.array(texts, pa.binary())], names=["anchor", "context", "before", "behind", "doc", "start", "bytes"])
+
+    return run
+
+
+def _places(table):
+    """Of classes whose anchor is in a table: a hash of where the first occurrence is."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            anchor, doc, start = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("anchor", "doc", "start"))
+            keep = marked(table.value, anchor.view(np.uint64))
+            yield pa.RecordBatch.from_arrays([pa.array(_place_hash(doc[keep], start[keep]).view(np.int64))], names=["place"])
 
     return run
 
@@ -145,15 +179,23 @@ def _compare(length: int):
                     [pa.array(doc[row[first]]), pa.array(start[row[first]] + nth[first]), pa.array(start[row[last]] + nth[last] + length)], names=["doc", "low", "high"]
                 )
 
+        previous = None
         for batch in batches:
-            held.append(batch)
+            anchor, context = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("anchor", "context"))
+            if not len(anchor):
+                continue
+            new = np.concatenate(([previous != (anchor[0], context[0])], (anchor[1:] != anchor[:-1]) | (context[1:] != context[:-1])))
+            previous = anchor[-1], context[-1]
+            held.append(batch.filter(pa.array(new)))
             table = pa.Table.from_batches(held)
+            if not len(table):
+                continue
             last = table["anchor"][len(table) - 1].as_py()
             whole = int(np.searchsorted(table["anchor"].to_numpy(), last))
             if whole:
                 yield from spans(table.slice(0, whole))
                 held = table.slice(whole).to_batches()
-        if held:
+        if any(len(batch) for batch in held):
             yield from spans(pa.Table.from_batches(held))
 
     return run
@@ -178,45 +220,55 @@ def remove_repeats(df: DataFrame, length: int = 100, text: str = "text", identit
     rows = _ordered(df.select(F.col(f"`{identity}`").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")))
     keyed = rows.select(F.col("doc").alias("id"), "text")
     counted = keyed.select("text").mapInArrow(_all_anchors(length), "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n"))
-    schema = "anchor long, context long, before long, behind long, doc long, start long"
-    found = keyed.mapInArrow(_occurrences(length, table_of(counted.where("n > 1"), "anchor"), False), schema)
-    one_class, first = ["anchor", "context", "before", "behind"], F.min(F.struct("doc", "start")).alias("f")
-    classes = stored(found.groupBy(*one_class).agg(first, F.count(F.lit(1)).alias("n")))
-    # Texts are read once more for the bytes of anchors of several classes, which are few.
-    several = classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    written = keyed.mapInArrow(_occurrences(length, table_of(several, "anchor"), True), f"{schema}, bytes binary")
-    # The bytes of a class are the same for all its rows.
-    mixed_classes = written.groupBy(*one_class).agg(first, F.first("bytes").alias("bytes"))
-    mixed_classes = mixed_classes.select("anchor", "before", "behind", F.col("f.doc").alias("doc"), F.col("f.start").alias("start"), "bytes")
-    firsts = mixed_classes.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_compare(length), "doc long, low long, high long")
-    repeated = classes.where("n > 1").select(*one_class, "f")
-    later = found.join(repeated, one_class).where((F.col("doc") != F.col("f.doc")) | (F.col("start") != F.col("f.start")))
-    spans = later.select("doc", F.col("start").alias("low"), (F.col("start") + F.col("behind") + length).alias("high")).unionByName(firsts)
-    by_doc = stored(spans.groupBy("doc").agg(F.collect_set(F.struct("low", "high")).alias("spans")))
+    shared = table_of(counted.where("n > 1"), "anchor")
+    found = keyed.mapInArrow(_occurrences(length, shared), "anchor long, context long, doc long, start long")
+    # A context fixes its anchor and the anchor's place in it.
+    classes = found.groupBy("anchor", "context").agg(F.min(F.struct("doc", "start")).alias("f"))
+    classes = stored(classes.select("anchor", F.col("f.doc").alias("doc"), F.col("f.start").alias("start")))
+    # Texts are read once more for the bytes of first occurrences of anchors of several classes, which are few.
+    several = table_of(classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "anchor")
+    places = table_of(classes.mapInArrow(_places(several), "place long"), "place")
+    schema = "anchor long, context long, before long, behind long, doc long, start long, bytes binary"
+    written = keyed.mapInArrow(_written(length, several, places), schema)
+    # Rows of a class stand together, its first occurrence first; others that share a place in the table are left out there.
+    order = ["anchor", "context", "doc", "start"]
+    firsts = written.repartition("anchor").sortWithinPartitions(*order).mapInArrow(_compare(length), "doc long, low long, high long")
+    # What is not the first of its class goes as a whole. Firsts, without an end, are named to the document, which finds the others again.
+    named = classes.select("doc", F.col("start").alias("low"), F.lit(None).cast("bigint").alias("high")).unionByName(firsts)
+    by_doc = stored(named.groupBy("doc").agg(F.collect_list(F.struct("low", "high")).alias("spans")))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", 1 << 20):
                 data, offsets = raw(part.column("text"))
                 out: list[list] = [[] for _ in range(5)]
-                for spans, a, b in zip(part.column("spans").to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist()):
-                    own, n_spans = data[a:b], 0
-                    kept = own
-                    if spans:
-                        depth = np.zeros(len(own) + 1, np.int64)
-                        np.add.at(depth, [s["low"] for s in spans], 1)
-                        np.add.at(depth, [s["high"] for s in spans], -1)
-                        gone = np.cumsum(depth[:-1]) > 0
-                        n_spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
-                        kept = own[~gone]
-                    body = kept.tobytes()
-                    for column, value in zip(out, (len(own), len(own) - len(kept), n_spans, hashlib.sha256(body).hexdigest(), body)):
+                spans = part.column("spans")
+                low, high = (spans.values.field(i) for i in (0, 1))
+                is_first = high.is_null().to_numpy(zero_copy_only=False)
+                low, high = low.to_numpy(zero_copy_only=False), high.fill_null(0).to_numpy(zero_copy_only=False)
+                edge, some = spans.offsets.to_numpy(), spans.is_valid().to_numpy(zero_copy_only=False)
+                for i, (doc, a, b) in enumerate(zip(part.column("doc").to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist())):
+                    own = data[a:b]
+                    mine = slice(int(edge[i]), int(edge[i + 1]) if some[i] else int(edge[i]))
+                    firsts = low[mine][is_first[mine]]
+                    depth = np.zeros(len(own) + 1, np.int64)
+                    np.add.at(depth, low[mine][~is_first[mine]], 1)
+                    np.add.at(depth, high[mine][~is_first[mine]], -1)
+                    for _, at, _, _, first, last in _in_doc(doc, own, length, shared.value):
+                        later = ~np.isin(first + at, firsts)
+                        np.add.at(depth, (first + at)[later], 1)
+                        np.add.at(depth, (last + at)[later] + length, -1)
+                    gone = np.cumsum(depth[:-1]) > 0
+                    n_spans = int(gone[:1].sum()) + int((gone[1:] & ~gone[:-1]).sum())
+                    body = own[~gone].tobytes()
+                    for column, value in zip(out, (len(own), len(own) - len(body), n_spans, hashlib.sha256(body).hexdigest(), body)):
                         column.append(value)
                 kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
                 yield pa.RecordBatch.from_arrays(
                     [part.column("own"), *(pa.array(c, k) for c, k in zip(out, kinds))], names=[identity, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
                 )
 
-    joined = rows.select(F.col("id").alias("own"), "doc", "text").join(by_doc, "doc", "left").select("own", "text", "spans")
+    # Spans come with every text, in all a good part of the texts' size: no side is small enough for every executor.
+    joined = rows.select(F.col("id").alias("own"), "doc", "text").join(by_doc.hint("merge"), "doc", "left").select("own", "doc", "text", "spans")
     kind = rows.schema["id"].dataType.simpleString()
     return joined.mapInArrow(cut, f"`{identity}` {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")

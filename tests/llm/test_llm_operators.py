@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from brute import components, leaks, low, shingles, without_lines, without_repeats
 from pyspark.sql import functions as F
@@ -222,6 +223,35 @@ def test_repeats(table, texts, nothing):
     assert repeats.remove_repeats(nothing).count() == 0
 
 
+def test_repeats_send_bytes_once_for_each_class():
+    """Of copies of a passage only the first occurrence goes along with its bytes, and one that goes by chance changes nothing."""
+    class Table:
+        value = np.full(1 << 24, 255, np.uint8)
+
+    rng = random.Random(5)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(400))
+    batch = pa.record_batch({"id": pa.array(range(50), pa.int64()), "text": pa.array([passage] * 50)})
+    every = pa.Table.from_batches(repeats._written(100, Table, Table)(iter([batch])))
+    first = every.filter(pc.equal(every["doc"], 0))
+    firsts = every.select(["anchor", "doc", "start"]).filter(pc.equal(every["doc"], 0)).to_batches()
+    place = np.concatenate([x.column("place").to_numpy().view(np.uint64) for x in repeats._places(Table)(iter(firsts))])
+
+    class Firsts:
+        value = np.zeros(1 << 24, np.uint8)
+
+    at = (place >> np.uint64(64 - 27)).astype(np.int64)
+    np.bitwise_or.at(Firsts.value, at >> 3, (1 << (at & 7)).astype(np.uint8))
+    sent = pa.Table.from_batches(repeats._written(100, Table, Firsts)(iter([batch])))
+    assert sent.sort_by([("start", "ascending")]) == first.sort_by([("start", "ascending")])
+    assert 0 < len(sent) * 50 == len(every)
+
+    def spans(rows):
+        ordered = rows.sort_by([(c, "ascending") for c in ("anchor", "context", "doc", "start")])
+        return [x for made in repeats._compare(100)(iter(ordered.to_batches(max_chunksize=7))) for x in made.to_pylist()]
+
+    assert spans(every) == spans(sent)
+
+
 def test_repeats_of_repeated_and_null_identities(spark):
     """Every row is a document of its own; which of equal identities comes first is open, so sums are compared."""
     first, second, third = ("".join(random.Random(i).choices("abcdefgh ", k=400)) for i in range(3))
