@@ -23,9 +23,9 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from harborlog.llm.bitmaps import marked, table_of
+from harborlog.llm.bitmaps import PLACES_BITS, marked, table_of
 from harborlog.llm.bytewords import give_back, mixed, shingles, slices, tidied, words
-from harborlog.plans import stored
+from harborlog.plans import Scratch, give_back_heap, stored
 
 #: Counters of shingles, by their leading bits. All documents count; the bound is on resolution only, and any order is right.
 COUNTER_BITS = 26
@@ -34,6 +34,9 @@ CHUNK_BITS = 16
 TOGETHER = 1 << 22
 #: A counter is known by the last of these that it reaches: four bits.
 LEVELS = np.array([0, 1, 2, 3, 4, 5, 6, 8, 12, 16, 32, 128, 512, 2048, 8192, 32768])
+#: Leading bits by which prefix tokens are told apart when those of several classes are looked for, and how many of them make a chunk.
+APART_BITS = 40
+APART_CHUNKS_BITS = 12
 #: Bits of a set's parity sketch. Two sketches differ in no more bits than their sets differ in tokens.
 SKETCH_BITS = 2048
 #: 64-bit words of the sketch that goes with every posting of the last round.
@@ -48,15 +51,15 @@ def _sets(column: pa.Array) -> Iterator[np.ndarray]:
         yield np.unique(shingles(found.hash[low:high]))
 
 
-def _packed(places: np.ndarray) -> bytes:
-    """Ascending 16-bit places, as steps of which low and high bytes stand apart: the high ones are mostly 0."""
+def _packed(places: np.ndarray, width: int = 2) -> bytes:
+    """Ascending places of ``width`` bytes, as steps of which low and high bytes stand apart: the high ones are mostly 0."""
     steps = np.diff(places, prepend=places.dtype.type(0))
-    return zlib.compress(steps.astype("<u2").view(np.uint8).reshape(-1, 2).T.tobytes(), 1)
+    return zlib.compress(steps.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T.tobytes(), 1)
 
 
-def _unpacked(steps: bytes) -> np.ndarray:
-    planes = np.frombuffer(zlib.decompress(steps), np.uint8).reshape(2, -1)
-    return np.cumsum(planes[0].astype(np.int64) + (planes[1].astype(np.int64) << 8))
+def _unpacked(steps: bytes, width: int = 2) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(steps), np.uint8).reshape(width, -1)
+    return np.cumsum(sum(plane.astype(np.int64) << 8 * i for i, plane in enumerate(planes)))
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,11 +120,71 @@ def _folded(i: int) -> Column:
     return reduce(Column.bitwiseXOR, (F.col("sketch")[k] for k in range(i, SKETCH_BITS // 64, FOLDED)))
 
 
-def _postings(table):
-    """Tokens that several classes may have, one a row."""
+def _picked(batch: pa.RecordBatch, copied, want: bool) -> pa.RecordBatch:
+    """The rows whose class may have other rows, or those whose class has none for certain."""
+    return batch.filter(pa.array(marked(copied, batch.column("d1").to_numpy().view(np.uint64)) == want))
+
+
+def _copies(copied):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield _picked(batch, copied.value, True)
+
+    return run
+
+
+def _apart(copied):
+    """Leading bits of tokens, by chunk; of rows that are a class of their own, or of all rows without ``copied``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+
+        def flush() -> pa.RecordBatch:
+            places = np.sort(np.concatenate(held)).astype(np.int64)
+            chunk = places >> APART_BITS - APART_CHUNKS_BITS
+            first = np.flatnonzero(np.diff(chunk, prepend=-1))
+            low = places & (1 << APART_BITS - APART_CHUNKS_BITS) - 1
+            parts = [_packed(low[a:b], 4) for a, b in zip(first.tolist(), [*first[1:].tolist(), len(low)])]
+            held.clear()
+            return pa.record_batch({"chunk": pa.array(chunk[first].astype(np.int32)), "places": pa.array(parts, pa.binary())})
+
+        size = 0
+        for batch in batches:
+            part = batch if copied is None else _picked(batch, copied.value, False)
+            token = part.column("tokens").flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+            held.append(token >> np.uint64(64 - APART_BITS))
+            size += len(token)
+            if size >= TOGETHER:
+                yield flush()
+                size = 0
+        if size:
+            yield flush()
+
+    return run
+
+
+def _several(rows: pd.DataFrame) -> pd.DataFrame:
+    places = np.sort(np.concatenate([_unpacked(x, 4) for x in rows["places"]]))
+    again = np.zeros(1 << PLACES_BITS - APART_CHUNKS_BITS, bool)
+    again[places[1:][places[1:] == places[:-1]] >> APART_BITS - PLACES_BITS] = True
+    return pd.DataFrame({"chunk": rows["chunk"].iloc[:1], "bits": [np.packbits(again, bitorder="little").tobytes()]})
+
+
+def shared_tokens(own: DataFrame, others: DataFrame, copied) -> np.ndarray:
+    """A table of bits like ``bitmaps.table_of``: tokens that several rows have, of ``own`` that are no copies and all of ``others``."""
+    schema = "chunk int, places binary"
+    places = own.select("d1", "tokens").mapInArrow(tidied(_apart(copied)), schema).unionByName(others.select("tokens").mapInArrow(tidied(_apart(None)), schema))
+    bits = np.zeros((1 << APART_CHUNKS_BITS, 1 << PLACES_BITS - APART_CHUNKS_BITS >> 3), np.uint8)
+    for row in places.groupBy("chunk").applyInPandas(_several, "chunk int, bits binary").toLocalIterator():
+        bits[row["chunk"]] = np.frombuffer(row["bits"], np.uint8)
+    return bits.reshape(-1)
+
+
+def _postings(table, copied):
+    """Tokens that several classes may have, one a row; of rows that are a class of their own, or of all rows without ``copied``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = table.value
         for batch in batches:
+            batch = batch if copied is None else _picked(batch, copied.value, False)
             n = pc.list_value_length(batch.column("tokens")).to_numpy(zero_copy_only=False).astype(np.int64)
             token = batch.column("tokens").flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
             keep = np.flatnonzero(marked(bits, token))
@@ -143,20 +206,24 @@ def _described(percent: int, counts, with_set: bool):
                 n, one, two, tokens, sketches = [], [], [], [], []
                 for own in _sets(part.column("text")):
                     n.append(len(own))
+                    if with_set:
+                        tokens.append(own.view(np.int64))
+                        continue
                     # Two independent sums over the set tell sets apart.
                     one.append(int(mixed(own).sum(dtype=np.uint64).astype(np.int64)))
                     two.append(int(mixed(own ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).astype(np.int64)))
                     sketches.append(_sketch(own))
-                    if with_set:
-                        tokens.append(own.view(np.int64))
-                    else:
-                        often = level_of(number, own)
-                        size = prefix_size(len(own), percent) if len(own) else 0
-                        tokens.append(own[np.lexsort((own, often))[:size]].view(np.int64))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(tokens, pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.int64()))],
-                    names=["id", "n", "d1", "d2", "tokens", "sketch"],
-                )
+                    often = level_of(number, own)
+                    size = prefix_size(len(own), percent) if len(own) else 0
+                    tokens.append(own[np.lexsort((own, often))[:size]].view(np.int64))
+                if with_set:
+                    found = {"id": part.column("id"), "as_a": part.column("as_a"), "as_b": part.column("as_b"), "n": pa.array(n, pa.int64()), "tokens": pa.array(tokens, pa.list_(pa.int64()))}
+                else:
+                    found = {
+                        "id": part.column("id"), "n": pa.array(n, pa.int64()), "d1": pa.array(one, pa.int64()), "d2": pa.array(two, pa.int64()),
+                        "tokens": pa.array(tokens, pa.list_(pa.int64())), "sketch": pa.array(sketches, pa.list_(pa.int64())),
+                    }
+                yield pa.RecordBatch.from_arrays(list(found.values()), names=list(found))
 
     return describe
 
@@ -199,18 +266,34 @@ def jaccard_components(df: DataFrame, text: str = "text", identity: str = "doc_i
     texts = df.select(F.col(identity).alias("id"), F.col(text).alias("text"))
     counts = spark.sparkContext.broadcast(shingle_counts(texts.select("text")))
     give_back()
-    schema = "id long, n long, d1 long, d2 long, tokens array<bigint>, sketch array<bigint>"
-    base = stored(texts.mapInArrow(tidied(_described(percent, counts, False)), schema))
-    whole = base.where("n > 0 and id is not null")
-    classes = stored(whole.groupBy("d1", "d2").agg(F.min("id").alias("id"), F.first("n").alias("n")))
-    heads = whole.join(classes.select("id", "d1", "d2"), ["id", "d1", "d2"], "left_semi")
+    wide = Scratch(spark, "described")
+    described = stored(
+        texts.mapInArrow(tidied(_described(percent, counts, False)), "id long, n long, d1 long, d2 long, tokens array<bigint>, sketch array<bigint>"), scratch=wide
+    )
+    counts.destroy()
+    base = stored(described.select("id", "n", "d1", "d2"))
+    whole = described.where("n > 0 and id is not null")
+    classes = stored(whole.groupBy("d1", "d2").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.count(F.lit(1)).alias("c")))
+    heads = classes.select("id", "d1", "d2")
+    # Only rows whose class may have others move to find out which one stands for it.
+    copied = table_of(classes.where("c > 1"), "d1")
+    listed = whole.select("id", "n", "d1", "d2", "tokens")
+    others = listed.mapInArrow(tidied(_copies(copied)), listed.schema).join(heads, ["id", "d1", "d2"], "left_semi")
+    others = stored(others.dropDuplicates(["id", "d1", "d2"]).select("id", "n", "tokens"), scratch=wide)
     # Tokens of a single class go before postings move.
-    shared = heads.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    postings = heads.select("id", "n", "tokens").mapInArrow(tidied(_postings(table_of(shared, "token"))), "token long, id long, n long")
+    shared = spark.sparkContext.broadcast(shared_tokens(listed, others, copied))
     give_back()
+    posted = "token long, id long, n long"
+    postings = listed.select("id", "n", "d1", "tokens").mapInArrow(tidied(_postings(shared, copied)), posted).unionByName(others.mapInArrow(tidied(_postings(shared, None)), posted))
     live = stored(postings.groupBy("token", "id").agg(F.first("n").alias("n")))
+    copied.destroy()
+    shared.destroy()
     names = stored(live.select("id").distinct())
-    sketches = stored(heads.join(names, "id", "left_semi").select("id", "d1", "d2", "sketch").dropDuplicates(["id", "d1", "d2"]).select("id", "sketch"))
+    named = heads.join(names, "id", "left_semi")
+    sketches = stored(whole.join(named, ["id", "d1", "d2"], "left_semi").select("id", "d1", "d2", "sketch").dropDuplicates(["id", "d1", "d2"]).select("id", "sketch"))
+    # Prefixes and sketches of all rows have done their work.
+    wide.delete()
+    give_back_heap(spark)
     labels = names.select("id", F.col("id").alias("label"))
 
     def verified(pairs: DataFrame) -> DataFrame:
@@ -226,11 +309,14 @@ def jaccard_components(df: DataFrame, text: str = "text", identity: str = "doc_i
         pairs = stored(close)
         if pairs.isEmpty():
             return pairs.select(F.col("la").alias("a"), F.col("lb").alias("b"))
-        ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
-        own = texts.join(ids, "id", "left_semi").dropDuplicates(["id", "text"])
-        sets = stored(own.mapInArrow(tidied(_described(percent, None, True)), schema).select("id", "n", "tokens"))
-        x = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
-        y = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
+        ends = F.explode(F.array(F.struct(F.col("a").alias("id"), F.lit(True).alias("first")), F.struct(F.col("b").alias("id"), F.lit(False).alias("first"))))
+        ids = stored(pairs.select(ends.alias("end")).groupBy("end.id").agg(F.max("end.first").alias("as_a"), F.max(~F.col("end.first")).alias("as_b")))
+        own = texts.join(ids, "id").dropDuplicates(["id", "text"])
+        kept = Scratch(spark, "sets")
+        sets = stored(own.mapInArrow(tidied(_described(percent, None, True)), "id long, as_a boolean, as_b boolean, n long, tokens array<bigint>"), scratch=kept)
+        # Pivots are few: most sets are the one end only, and move once.
+        x = sets.where("as_a").select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
+        y = sets.where("as_b").select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
         both = pairs.join(x, "a").join(y, "b")
 
         def prefix(t: str, n: str) -> Column:
@@ -243,10 +329,12 @@ def jaccard_components(df: DataFrame, text: str = "text", identity: str = "doc_i
             F.slice("tb", (F.col("nb") - prefix("tb", "nb") + 1).cast("int"), prefix("tb", "nb").cast("int")),
         )
         common = F.size(F.array_intersect("ta", "tb"))
-        return both.where(second & third).where(common * 100 >= (F.col("na") + F.col("nb") - common) * percent).select(F.col("la").alias("a"), F.col("lb").alias("b"))
+        links = stored(both.where(second & third).where(common * 100 >= (F.col("na") + F.col("nb") - common) * percent).select(F.col("la").alias("a"), F.col("lb").alias("b")))
+        kept.delete()
+        return links
 
     for turn in range(PIVOT_ROUNDS):
-        named = live.join(labels, "id")
+        named = live.join(labels, "id") if turn else live.withColumn("label", F.col("id"))
         order = F.col("id") if turn == 0 else F.xxhash64("id", F.lit(turn))
         pivots = named.groupBy("token").agg(F.min_by(F.struct("id", "n", "label"), order).alias("p"))
         proposals = (
@@ -263,6 +351,7 @@ def jaccard_components(df: DataFrame, text: str = "text", identity: str = "doc_i
         if pairs.isEmpty():
             break
         labels = merged(labels, verified(pairs))
+        give_back_heap(spark)
 
     # All that is left: both ends share a token, and nothing connects them so far.
     named = stored(live.join(labels, "id").select("token", "id", "n", "label"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -39,5 +40,9 @@ def delete_folder(spark: SparkSession, path: str) -> None:
 
 
 def give_back_heap(spark: SparkSession) -> None:
-    """Have the driver's JVM return heap that earlier queries of a long session have left free."""
+    """Have the driver's JVM return heap that earlier queries of a long session have left free.
+
+    Spark deletes shuffle files when the driver collects what refers to them, so those of finished tables go as well.
+    """
+    gc.collect()
     spark.sparkContext._jvm.System.gc()

@@ -5,17 +5,20 @@ from __future__ import annotations
 import random
 import re
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.parquet as pq
 import pytest
 from brute import components, leaks, low, shingles, without_lines, without_repeats
 from pyspark.sql import functions as F
 
 from tokenizers import Tokenizer
 
-from harborlog.plans import new_folder
+from harborlog.llm.bitmaps import marked, table_of
+from harborlog.plans import Scratch, new_folder, shared_folder
 from harborlog.llm import bytewords, contamination, jaccard, language, licenses, lines, packing, queries, repeats, secrets, shards, topk
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -166,6 +169,31 @@ def test_jaccard_of_a_chain(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in out.collect()} == components(found)
 
 
+def test_jaccard_looks_up_tokens_that_several_classes_have(spark):
+    """Rows of classes of their own and those that stand for copies count alike, exactly as far as the table tells."""
+    chance = random.Random(8)
+    tokens = [chance.getrandbits(64) - (1 << 63) for _ in range(400)]
+    sets = [chance.sample(tokens, 30) for _ in range(12)]
+    own = spark.createDataFrame([(i, i << 50, x) for i, x in enumerate(sets[:8])], "id long, d1 long, tokens array<bigint>")
+    others = spark.createDataFrame([(i, x) for i, x in enumerate(sets[8:])], "id long, tokens array<bigint>")
+    # A row whose class may have copies is left to the others.
+    copied = table_of(spark.createDataFrame([(3 << 50,)], "d1 long"), "d1")
+    bits = jaccard.shared_tokens(own, others, copied)
+    listed = [x for i, row in enumerate(sets) if i != 3 for x in row]
+    want = {x for x in listed if listed.count(x) > 1}
+    assert want and {x for x in tokens if marked(bits, np.array([x], np.int64).view(np.uint64))[0]} == want
+
+
+def test_jaccard_gives_prefixes_and_sets_back(spark, table):
+    """Tables with arrays of tokens are as large as the texts; they go as soon as nothing needs them."""
+    with Scratch(spark, "jaccard"):
+        before = {str(x) for x in Path(shared_folder(spark)).rglob("*.parquet")}
+        components = jaccard.jaccard_components(table)
+        left = {str(x) for x in Path(shared_folder(spark)).rglob("part-*.parquet")} - before
+        assert left and not [x for x in left if "tokens" in pq.read_schema(x).names]
+        assert components.count() == table.count()
+
+
 def test_contamination(spark, table, texts, nothing):
     words = texts[3].split()
     items = {1: " ".join(words[5:40]), 2: "one two", 3: None, 4: "", 5: "not there at all of course", 6: " ".join(texts[65].split()[20_000:20_060]).upper()}
