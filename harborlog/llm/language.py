@@ -24,6 +24,8 @@ WORD_BYTES = 48
 #: Labelled texts that are learned from, about so many of each language (their choice depends on the text alone).
 SAMPLE_TEXTS = 600
 ROUNDS = 3
+#: Terms that training looks at together: their lattices and sums are all it holds beside the counts, on the driver.
+TOGETHER = 2_000
 SMOOTH = 0.05
 #: Words whose probabilities a worker remembers; beyond, it starts anew.
 REMEMBERED = 400_000
@@ -96,11 +98,11 @@ def fit(languages: list[str], terms: list[bytes], counts: np.ndarray, pieces: np
     # Terms of like lengths together keep the lattices narrow.
     order = sorted(range(len(terms)), key=lambda i: len(terms[i]))
     terms, counts = [terms[i] for i in order], counts[order]
-    parts = [slice(low, low + 20_000) for low in range(0, len(terms), 20_000)]
-    lattices = [_lattice(terms[p], pieces) for p in parts]
+    parts = [slice(low, low + TOGETHER) for low in range(0, len(terms), TOGETHER)]
     for _ in range(ROUNDS):
         seen = np.zeros_like(chance)
-        for p, (length, found) in zip(parts, lattices):
+        for p in parts:
+            length, found = _lattice(terms[p], pieces)
             ahead = _forward(found, chance)
             places, _, n = found.shape
             behind = np.zeros_like(ahead)

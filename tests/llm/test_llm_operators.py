@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 import zlib
 from pathlib import Path
 
@@ -423,6 +424,20 @@ def test_language(spark, nothing):
     assert {r.lang_pred for r in language.predict(table, language.train(nothing, path)).collect()} == {"und"}
 
 
+def test_training_holds_few_terms_at_once():
+    """What the driver needs to learn from many long words stays far below its memory, and parts change nothing."""
+    chance = random.Random(9)
+    pieces = language.vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    terms = sorted({b" " + bytes(chance.choices(range(97, 123), k=chance.randint(12, 47))) for _ in range(12_000)})
+    counts = np.ones((len(terms), 4))
+    tracemalloc.start()
+    model = language.fit(["a", "b", "c", "d"], terms, counts, pieces)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 48 << 20
+    assert np.allclose(model.chance.sum(0), 1) and np.allclose(model.chance[:, 0], model.chance[:, 3], rtol=1e-12)
+
+
 def test_scores_sum_over_segmentations():
     pieces = np.unique(bytewords.span_hashes(np.frombuffer(b"ababc", np.uint8), np.array([0, 1, 2, 2, 4]), np.array([1, 2, 4, 5, 5])))
     chance = np.full((len(pieces), 1), 0.1)
