@@ -41,6 +41,8 @@ APART_CHUNKS_BITS = 12
 SKETCH_BITS = 2048
 #: 64-bit words of the sketch that goes with every posting of the last round.
 FOLDED = 8
+#: Least tokens of a class that go with them: a pair is left to the first of these that both have.
+FIRST_TOKENS = 8
 PIVOT_ROUNDS = 4
 PROPOSALS = 6
 
@@ -254,6 +256,11 @@ def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     return labels
 
 
+def met_first(token: Column) -> Column:
+    """Of columns fa and fb, the least tokens of two classes: none below ``token`` is in both."""
+    return ~F.exists("fa", lambda x: (x < token) & F.array_contains("fb", x))
+
+
 def jaccard_components(df: DataFrame, text: str = "text", identity: str = "doc_id", percent: int = 80) -> DataFrame:
     """Per row of ``df``: the identity, n_shingles and component_id.
 
@@ -358,12 +365,15 @@ def jaccard_components(df: DataFrame, text: str = "text", identity: str = "doc_i
     open_blocks = named.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("token")
     folded = sketches.select("id", *(_folded(i).alias(f"s{i}") for i in range(FOLDED)))
     rest = stored(named.join(open_blocks, "token").join(folded, "id"))
-    a = rest.select("token", F.col("id").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"), *(F.col(f"s{i}").alias(f"a{i}") for i in range(FOLDED)))
-    b = rest.select("token", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"), *(F.col(f"s{i}").alias(f"b{i}") for i in range(FOLDED)))
+    # A token that both ends have is an open block as well, so the least one that they share never leaves a pair to another.
+    first = stored(rest.groupBy("id").agg(F.slice(F.array_sort(F.collect_list("token")), 1, FIRST_TOKENS).alias("first")))
+    rest = rest.join(first, "id")
+    a = rest.select("token", F.col("id").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"), F.col("first").alias("fa"), *(F.col(f"s{i}").alias(f"a{i}") for i in range(FOLDED)))
+    b = rest.select("token", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"), F.col("first").alias("fb"), *(F.col(f"s{i}").alias(f"b{i}") for i in range(FOLDED)))
     differ = reduce(Column.__add__, (F.bit_count(F.col(f"a{i}").bitwiseXOR(F.col(f"b{i}"))) for i in range(FOLDED)))
     # The filters meet within the join: a pair that fails one of them is never a row.
     close = (F.col("la") < F.col("lb")) & _near(F.col("na"), F.col("nb"), percent) & (differ * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent))
-    pairs = a.join(b, (a["token"] == b["token"]) & close).select("a", "b", "na", "nb", "la", "lb").distinct()
+    pairs = a.join(b, (a["token"] == b["token"]) & close & met_first(a["token"])).select("a", "b", "na", "nb", "la", "lb").distinct()
     labels = merged(labels, verified(stored(pairs)))
 
     named = classes.select("d1", "d2", "id").join(labels, "id", "left").select("d1", "d2", F.coalesce("label", "id").alias("class"))

@@ -195,6 +195,19 @@ def test_jaccard_gives_prefixes_and_sets_back(spark, table):
         assert components.count() == table.count()
 
 
+def test_jaccard_pairs_of_many_shared_tokens_are_met_once(spark):
+    """Every pair that shares a token is met at the least one they share, and near ones hardly anywhere else."""
+    chance = random.Random(4)
+    near = chance.sample(range(1 << 40), 100)
+    sets = {i: chance.sample(near, 90) for i in range(20)} | {20 + i: [*chance.sample(range(1 << 41, 1 << 42), 40), near[i]] for i in range(20)}
+    rows = [(t, i, sorted(x)[: jaccard.FIRST_TOKENS]) for i, x in sets.items() for t in x]
+    a = spark.createDataFrame(rows, "token long, a long, fa array<bigint>")
+    b = a.withColumnsRenamed({"token": "other", "a": "b", "fa": "fb"})
+    met = [(r.a, r.b) for r in a.join(b, (F.col("token") == F.col("other")) & (F.col("a") < F.col("b")) & jaccard.met_first(F.col("token"))).collect()]
+    assert set(met) == {(i, j) for i in sets for j in sets if i < j and set(sets[i]) & set(sets[j])}
+    assert len([1 for i, j in met if j < 20]) < 2 * 190
+
+
 def test_contamination(spark, table, texts, nothing):
     words = texts[3].split()
     items = {1: " ".join(words[5:40]), 2: "one two", 3: None, 4: "", 5: "not there at all of course", 6: " ".join(texts[65].split()[20_000:20_060]).upper()}
